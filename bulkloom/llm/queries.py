@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, mixing, secrets, sharding
+from . import embedding_dedup, exact_dedup, langid, mixing, secrets, sentencepiece_bpe, sharding, simhash
 from .common import read_table
 from .sql import ORACLE_SQL
 
@@ -16,6 +16,9 @@ QUERIES = {
     "op2_exact_dedup": _over(exact_dedup.op2),
     "op5_secrets": _over(secrets.op5),
     "op6_mix": _over(mixing.op6),
+    "op7_simhash": _over(simhash.op7),
+    "op8_language": _over(langid.op8),
+    "op9_sentencepiece": _over(sentencepiece_bpe.op9),
     "op10_embedding_dedup": _over(embedding_dedup.op10, "embeddings"),
 }
 
