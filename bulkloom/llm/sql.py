@@ -44,3 +44,14 @@ a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FIL
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a ON d.doc_id = a.doc_id
 """
+
+ORACLE_SQL["op4_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS i, w FROM d WHERE len(w) >= 20),
+k AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM s),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM k),
+g AS (SELECT DISTINCT doc_id, i + o AS i FROM f, generate_series(0, 19) x(o) WHERE later),
+u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+r AS (SELECT u.doc_id, count(*) AS n, count(g.i) AS gone, coalesce(string_agg(u.word, ' ' ORDER BY u.i) FILTER (g.i IS NULL), '') AS kept FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.i = g.i GROUP BY u.doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+"""
