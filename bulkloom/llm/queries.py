@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, langid, mixing, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup
+from . import embedding_dedup, exact_dedup, langid, mixing, pii, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup
 from .common import read_table
 from .sql import ORACLE_SQL
 
@@ -14,6 +14,7 @@ def _over(op, table: str = "documents"):
 QUERIES = {
     "op1_shard": _over(sharding.op1),
     "op2_exact_dedup": _over(exact_dedup.op2),
+    "op3_pii": _over(pii.op3),
     "op4_substring_dedup": _over(substring_dedup.op4),
     "op5_secrets": _over(secrets.op5),
     "op6_mix": _over(mixing.op6),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, shuffle_parts
+from .common import materialise, prepare, row_ordinal, shuffle_parts
 from .components import Forest, connected_components
 
 BITS = 64
@@ -237,30 +237,44 @@ def near_prints(prints: DataFrame, distance: int = 2) -> DataFrame:
     return links
 
 
-def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """docs with fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links.
+def label(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
+    """(_ord, doc_id, fingerprint, component_id) for every row of docs; _ord is the row's number in the scan.
 
-    Rows with one fingerprint collapse before any join, so groups of copies cost one row per task; a text without
-    words has fingerprint zero and links like others. Null doc_ids rank after all others; a component of nulls alone
-    has id null. Repeated doc_ids, extra columns and empty tables are fine; columns with the added names are replaced.
+    Rows with one fingerprint collapse before any join, so groups of copies cost one row per task; texts leave the JVM
+    once and are never shuffled.
     """
-    rows = with_fingerprint(docs.drop("fingerprint", "component_id"), words)
-    return _components(rows, distance)
-
-
-def _components(rows: DataFrame, distance: int) -> DataFrame:
-    names = [c for c in rows.columns if c != "_fp"]
-    keys = materialise(rows.select("doc_id", "_fp"), "prints")
+    keys = materialise(with_fingerprint(docs.select("doc_id", "text", row_ordinal().alias("_ord")), words, keep_text=False), "prints")
     prints = materialise(keys.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("least")), "distinct-prints")
     parts = connected_components(near_prints(prints.select("fp"), distance))
     labelled = prints.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     roots = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root")
-    ids = labelled.join(roots, F.col("root") == F.col("_root")).select("fp", "component_id")
-    source = keys if names == ["doc_id"] else rows
-    out = source.join(ids, F.col("_fp") == F.col("fp"))
-    hexed = F.lower(F.lpad(F.hex("_fp"), 16, "0"))
-    return out.select(*(F.col(f"`{c}`") for c in names), hexed.alias("fingerprint"), "component_id")
+    ids = labelled.join(roots, F.col("root") == F.col("_root")).select("fp", "root", "component_id")
+    return keys.join(ids, F.col("_fp") == F.col("fp")).select("_ord", "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
+    """docs with fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links.
+
+    A text without words, null or empty, has fingerprint zero and links like others. Null doc_ids rank after all others;
+    a component of nulls alone has id null. Repeated doc_ids and rows, extra columns and empty tables are fine; columns
+    with the added names are replaced. docs should be a table on storage: its row order joins labels to rows.
+    """
+    rows = docs.drop("fingerprint", "component_id").withColumn("_row", row_ordinal())
+    found = label(docs, words, distance)
+    return rows.join(found.select("_ord", "fingerprint", "component_id"), F.col("_row") == F.col("_ord")).drop("_row", "_ord")
+
+
+def keep_one(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
+    """docs with one row of each component: that with the smallest doc_id, and of several such rows the first in the scan.
+
+    The rows that go are few as a rule, so they are what the documents are joined with.
+    """
+    found = label(docs, words, distance).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank"))
+    found = materialise(found, "near-labels")
+    best = found.groupBy("root").agg(F.min(F.struct("_rank", "_ord")).alias("_best")).select(F.col("root").alias("_root"), F.col("_best._ord").alias("_stays"))
+    gone = materialise(found.join(best, F.col("root") == F.col("_root")).where("_ord <> _stays").select("_ord"), "near-gone")
+    return docs.withColumn("_ord", row_ordinal()).join(gone, "_ord", "left_anti").drop("_ord")
 
 
 def op7(docs: DataFrame) -> DataFrame:
-    return _components(with_fingerprint(docs.select("doc_id", "text"), keep_text=False), 2)
+    return label(docs.select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
