@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,3 +57,20 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shield(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame, list[str]], DataFrame]]:
+    """docs as the needed columns and one struct with all others, so that no name of the caller's meets an operator's own.
+
+    The second value puts the columns back in their order, before those that the operator adds; columns of docs with
+    an added name are left out.
+    """
+    extra = [c for c in docs.columns if c not in needed]
+    packed = [F.struct(*(F.col(f"`{c}`") for c in extra)).alias("_extra")] if extra else []
+    inner = docs.select(*(c for c in needed if c in docs.columns), *packed)
+
+    def restore(out: DataFrame, added: list[str]) -> DataFrame:
+        own = [F.col("_extra").getField(c).alias(c) if c in extra else F.col(c) for c in docs.columns if c not in added]
+        return out.select(*own, *added)
+
+    return inner, restore

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_ordinal
+from .common import row_ordinal, shield
 
 _ADDED = ["keep_id", "group_size", "kept", "text_sha256"]
 
@@ -20,21 +20,22 @@ def exact_dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
 
     keep: "largest" or "smallest" doc_id stays. Null text counts as the empty text. Null doc_ids rank after all
     others. Of rows that share the doc_id that stays, exactly one is kept. docs should be a table on storage (its
-    row order is used to tell repeated rows apart). Columns of docs with the added names are replaced.
+    row order is used to tell repeated rows apart). Columns of docs with the added
+    names are replaced, all others stay; an empty table gives an empty one.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError("keep must be 'largest' or 'smallest'")
     sign = 1 if keep == "largest" else -1
     text = F.coalesce(F.col("text"), F.lit(""))
     rank = F.coalesce(F.col("doc_id") * sign, F.lit(-(2**63)))
-    rows = docs.drop(*_ADDED).withColumns({"_md5": F.unhex(F.md5(text)), "_sha": F.unhex(F.sha2(text, 256)), "_ord": row_ordinal()})
+    inner, restore = shield(docs, ["doc_id", "text"])
+    rows = inner.withColumns({"_md5": F.unhex(F.md5(text)), "_sha": F.unhex(F.sha2(text, 256)), "_ord": row_ordinal()})
     texts = rows.select("_md5", "_sha", text.alias("_text"), "doc_id", rank.alias("_rank"), "_ord").groupBy("_md5", "_sha", "_text").agg(F.count("*").alias("n"), F.max("_rank").alias("r"), F.max_by("_ord", "_rank").alias("o"), F.max_by("doc_id", "_rank").alias("id"))
     one = F.when(F.count("*") > 1, F.raise_error(F.lit("two texts share md5 and sha256"))).otherwise(F.sum("n"))
     groups = texts.groupBy("_md5", "_sha").agg(one.cast("long").alias("group_size"), F.max_by("id", "r").alias("keep_id"), F.max_by("o", "r").alias("_keep_ord"))
     groups = groups.select(F.concat("_md5", "_sha").alias("_key"), "group_size", "keep_id", "_keep_ord")
     out = rows.withColumn("_key", F.concat("_md5", "_sha")).join(groups, "_key")
-    names = [c for c in docs.columns if c not in _ADDED]
-    return out.select(*(F.col(f"`{c}`") for c in names), "keep_id", "group_size", (F.col("_ord") == F.col("_keep_ord")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"))
+    return restore(out.withColumns({"kept": F.col("_ord") == F.col("_keep_ord"), "text_sha256": F.lower(F.hex("_sha"))}), _ADDED)
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare
+from .common import materialise, prepare, shield
 
 #: Labelled documents of each language that the network is fitted on, at most: a bounded sample, on the driver.
 SAMPLE_DOCS = 400
@@ -224,8 +224,9 @@ def identify(docs: DataFrame, model: ByteGru | None = None, keep_text: bool = Tr
     """
     prepare(docs.sparkSession)
     model = model or train(docs)
-    added = ("held_out", "lang_pred", "score")
-    rows = docs.drop(*added).withColumn("held_out", held_out(F.col("doc_id"))).withColumn("_letters", F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
+    added = ["held_out", "lang_pred", "score"]
+    inner, restore = shield(docs, ["doc_id", "text"])
+    rows = inner.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("_letters", F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
     fields = [f for f in rows.schema.fields if f.name != "_letters" and (keep_text or f.name != "text")]
     names = [f.name for f in fields]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -244,14 +245,15 @@ def identify(docs: DataFrame, model: ByteGru | None = None, keep_text: bool = Tr
                     lang[i], score[i] = model.languages[k], float(p[k])
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in names), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    return restore(out, added) if keep_text else out
 
 
 def keep_identified(docs: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """docs without those that language ID rejects: undetermined ones, and scores below reject_below."""
-    names = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
-    out = identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= reject_below))
-    return out.select(*(F.col(f"`{c}`") for c in names))
+    inner, restore = shield(docs, ["doc_id", "text"])
+    out = identify(inner, train(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= reject_below))
+    return restore(out, [])
 
 
 def op8(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, materialise
+from .common import WORD, broadcast_if_small, materialise, shield
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -58,8 +58,8 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float
     gives an empty one.
     """
     added = ["size", "source_size", "target", "rate", "copies"]
-    names = [c for c in docs.columns if c not in added]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names)).withColumns({"size": n_words(F.col("text")), "_text_md5": F.md5(F.coalesce(F.col("text"), F.lit("")))})
+    inner, restore = shield(docs, ["doc_id", "text", "source"])
+    rows = inner.withColumns({"size": n_words(F.col("text")), "_text_md5": F.md5(F.coalesce(F.col("text"), F.lit("")))})
     keys = materialise(rows.select("source", "size", "doc_id", "_text_md5"), "mix-sizes")
     rates = materialise(targets(keys.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap).withColumn("rate", F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))), "mix-rates")
     rates = broadcast_if_small(rates.withColumnRenamed("source", "_source"), MAX_BROADCAST)
@@ -72,13 +72,14 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float
     plan = broadcast_if_small(plan, MAX_BROADCAST)
     out = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
     copies = (F.floor("rate") + F.when(_coin(F.col("_seed")) < fraction, 1).otherwise(0)).cast("long")
-    return out.select(*(F.col(f"`{c}`") for c in names), "size", "source_size", "target", "rate", copies.alias("copies"))
+    return restore(out.withColumn("copies", copies), added)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: every document as often as its copies say, with the columns of docs."""
-    plan = mixing_plan(docs, **options)
-    return plan.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    inner, restore = shield(docs, ["doc_id", "text", "source"])
+    plan = mixing_plan(inner, **options).where("copies > 0")
+    return restore(plan.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), [])
 
 
 def op6(docs: DataFrame) -> DataFrame:

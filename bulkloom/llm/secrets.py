@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shield
+
 #: Rules in the order of the contract: the pattern, the least length of a group, the group, the words of which a match holds one (lower case; none: no such word is mandatory).
 #: For access and hex a run that is too short fails as a whole, so the length stands in the pattern.
 RULES = {
@@ -85,9 +87,9 @@ def scan_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
 
     Null text counts as empty; extra columns stay, one named secrets is replaced; an empty table gives an empty one.
     """
-    names = [c for c in docs.columns if c != "secrets"]
-    may = candidates(build_index(docs, rules), rules)
-    rows = docs.select(*(F.col(f"`{c}`") for c in names)).join(may, F.col("doc_id") == F.col("_id"), "left")
+    inner, restore = shield(docs, ["doc_id", "text"])
+    may = candidates(build_index(inner, rules), rules)
+    rows = inner.join(may, F.col("doc_id") == F.col("_id"), "left")
     empty = F.array().cast("array<struct<kind:string,rank:int,start:bigint,end:bigint,text:string>>")
     text = F.coalesce(F.col("text"), F.lit(""))
     parts = []
@@ -98,7 +100,7 @@ def scan_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
     by_start = lambda a, b: F.when(F.struct(a["start"], a["rank"]) < F.struct(b["start"], b["rank"]), -1).otherwise(1)
     every = F.array_sort(F.concat(*parts), by_start)
     every = F.transform(every, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text")))
-    return rows.select(*(F.col(f"`{c}`") for c in names), every.alias("secrets"))
+    return restore(rows.withColumn("secrets", every), ["secrets"])
 
 
 def op5(docs: DataFrame) -> DataFrame:

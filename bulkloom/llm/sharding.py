@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, materialise, row_ordinal
+from .common import broadcast_if_small, materialise, row_ordinal, shield
 
 #: Bytes of text that a bucket holds on average; a task shuffles one bucket in memory.
 BUCKET_BYTES = 8 << 20
@@ -43,20 +43,21 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int =
     docs with the added names are replaced.
     """
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    docs, restore = shield(docs, ["doc_id", "text"])
+    names = docs.columns
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    rows = docs.select(*(F.col(f"`{c}`") for c in names)).withColumn("size", size)
-    total, n = rows.agg(F.sum("size"), F.count("*")).first()
+    rows = docs.withColumns({"size": size, "_ord": row_ordinal()})
+    total, n = docs.agg(F.sum(size), F.count("*")).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
     hot = materialise(docs.groupBy("doc_id").count().where(F.col("count") > max(64, (n or 0) // (8 * buckets))).select(F.col("doc_id").alias("_hot"), F.lit(True).alias("_is_hot")), "hot-ids")
     rows = rows.join(broadcast_if_small(hot, 8 * buckets), F.col("doc_id").eqNullSafe(F.col("_hot")), "left")
-    salt = F.when(F.col("_is_hot"), row_ordinal()).otherwise(F.lit(0))
+    salt = F.when(F.col("_is_hot"), F.col("_ord")).otherwise(F.lit(0))
     content = F.xxhash64("doc_id", "text")
     rows = rows.withColumn("_content", content).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "_content", salt), F.lit(buckets)).cast("int"))
     counts = materialise(rows.groupBy("_bucket").count(), "bucket-counts")
     before = F.coalesce(F.sum("count").over(W.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = broadcast_if_small(materialise(counts.select("_bucket", before.alias("_before")), "bucket-offsets"), MAX_BROADCAST)
-    rows = rows.join(offsets, "_bucket").select("_bucket", "_before", "_content", *(F.col(f"`{c}`") for c in names), "size")
+    rows = rows.join(offsets, "_bucket").select("_bucket", "_before", "_content", *names, "size")
     fields = [f for f in rows.schema.fields if f.name not in ("_bucket", "_before", "_content")]
     schema = T.StructType([*fields, T.StructField("_at", T.LongType())])
 
@@ -74,7 +75,7 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int =
     long_ = at < cut
     which = F.when(long_, F.floor(at / (less + 1))).otherwise(more + F.floor((at - cut) / max(less, 1)))
     slot = F.when(long_, at % (less + 1)).otherwise((at - cut) % max(less, 1))
-    return out.select(*(F.col(f"`{c}`") for c in names), "size", which.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+    return restore(out.withColumns({"shard": which.cast("int"), "slot": slot.cast("long")}), ["size", "shard", "slot"])
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:

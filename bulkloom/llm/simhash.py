@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, row_ordinal, shuffle_parts
+from .common import materialise, prepare, row_ordinal, shield, shuffle_parts
 from .components import Forest, connected_components
 
 BITS = 64
@@ -259,9 +259,9 @@ def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFr
     a component of nulls alone has id null. Repeated doc_ids and rows, extra columns and empty tables are fine; columns
     with the added names are replaced. docs should be a table on storage: its row order joins labels to rows.
     """
-    rows = docs.drop("fingerprint", "component_id").withColumn("_row", row_ordinal())
-    found = label(docs, words, distance)
-    return rows.join(found.select("_ord", "fingerprint", "component_id"), F.col("_row") == F.col("_ord")).drop("_row", "_ord")
+    inner, restore = shield(docs, ["doc_id", "text"])
+    found = label(inner, words, distance).select("_ord", "fingerprint", "component_id")
+    return restore(inner.withColumn("_row", row_ordinal()).join(found, F.col("_row") == F.col("_ord")), ["fingerprint", "component_id"])
 
 
 def keep_one(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
@@ -269,11 +269,12 @@ def keep_one(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
 
     The rows that go are few as a rule, so they are what the documents are joined with.
     """
-    found = label(docs, words, distance).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank"))
+    inner, restore = shield(docs, ["doc_id", "text"])
+    found = label(inner, words, distance).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank"))
     found = materialise(found, "near-labels")
     best = found.groupBy("root").agg(F.min(F.struct("_rank", "_ord")).alias("_best")).select(F.col("root").alias("_root"), F.col("_best._ord").alias("_stays"))
     gone = materialise(found.join(best, F.col("root") == F.col("_root")).where("_ord <> _stays").select("_ord"), "near-gone")
-    return docs.withColumn("_ord", row_ordinal()).join(gone, "_ord", "left_anti").drop("_ord")
+    return restore(inner.withColumn("_ord", row_ordinal()).join(gone, "_ord", "left_anti"), [])
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, row_ordinal, shuffle_parts
+from .common import materialise, prepare, row_ordinal, shield, shuffle_parts
 
 #: Words of a window, and of the short prefixes by which suffixes are first split.
 WINDOW, PREFIX = 20, 6
@@ -188,9 +188,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     is cut. An empty table gives an empty one. Columns of docs with the added names are replaced.
     """
     spark = prepare(docs.sparkSession)
-    added = ("n_words", "n_removed", "kept", "kept_sha256")
-    names = [c for c in docs.columns if c not in added]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names)).withColumn("rid", row_ordinal())
+    added = ["n_words", "n_removed", "kept", "kept_sha256"]
+    inner, restore = shield(docs, ["doc_id", "text"])
+    names = inner.columns
+    rows = inner.withColumn("rid", row_ordinal())
     texts = rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text")
     parts = shuffle_parts(spark)
     found = _anchor_rows(texts, window)
@@ -208,8 +209,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     out = (texts if names == ["doc_id", "text"] else rows).repartition(parts, "rid").join(marks, F.col("rid") == F.col("_rid"), "left")
     if names == ["doc_id", "text"]:
         out = out.withColumn("doc_id", F.when(F.col("id") != 2**63 - 1, F.col("id")))
-    out = out.select(*(F.col(f"`{c}`") for c in names), "later")
-    fields = [f for f in docs.schema.fields if f.name in names and (keep_text or f.name != "text")]
+    out = out.select(*names, "later")
+    fields = [f for f in inner.schema.fields if keep_text or f.name != "text"]
     kept_names = [f.name for f in fields]
     more = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), *([T.StructField("kept", T.StringType())] if keep_text else []), T.StructField("kept_sha256", T.StringType())]
 
@@ -233,7 +234,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
             arrays = [pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), *([pa.array(made[2], pa.string())] if keep_text else []), pa.array(made[3], pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in kept_names), *arrays], names=[*kept_names, *(f.name for f in more)])
 
-    return out.mapInArrow(run, T.StructType([*fields, *more]))
+    out = out.mapInArrow(run, T.StructType([*fields, *more]))
+    return restore(out, added) if keep_text else out
 
 
 def op4(docs: DataFrame) -> DataFrame:
