@@ -19,7 +19,8 @@ def _paths(path) -> list[str]:
 def read_wide(spark: SparkSession, path) -> DataFrame:
     """The table as text columns. Ragged rows and repeated column names are errors; paths may be several."""
     df = spark.read.csv(_paths(path), sep="\t", header=True, mode="FAILFAST", ignoreLeadingWhiteSpace=True, enforceSchema=False)
-    seen = [c.lower() for c in df.columns]
+    head = spark.read.text(_paths(path)[0]).limit(1).collect()
+    seen = [c.strip().lower() for c in head[0]["value"].split("\t")] if head else []
     if len(set(seen)) < len(seen):
         raise ValueError("a column name occurs twice")
     return df
