@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, row_ordinal, shield, shuffle_parts
+from .common import broadcast_if_small, materialise, prepare, row_ordinal, shield, shuffle_parts
 from .components import Forest, connected_components
 
 BITS = 64
@@ -19,36 +19,44 @@ BITS = 64
 BUCKET = 20_000
 #: Times that buckets are split at most; what is larger then is compared in blocks, in bounded memory.
 SPLITS = 3
+#: Keys of such buckets are broadcast up to so many rows.
+MAX_BROADCAST = 1_000_000
+#: When one of a group is to stay: bits of the wider links, words of the second fingerprint's shingles, bits of its distance.
+WIDE, CHECK_WORDS, CHECK_DISTANCE = 7, 5, 12
 #: Cost of a key against that of a candidate pair.
 KEY_COST = 4.0
 _PLACES = (np.arange(8, dtype=np.int64) * 256)[None, :]
 _TABLE = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """SimHash of the text's word shingles, repeats included; A-Z in lower case; no words: 0."""
+def fingerprint(text: str | None, words: int = 3, repeats: bool = True) -> int:
+    """SimHash of the text's word shingles, with their repeats or once each; A-Z in lower case; no words: 0."""
     w = (text or "").encode().lower().split()
     if not w:
         return 0
     shingles = [b" ".join(w)] if len(w) < words else map(b" ".join, zip(*(w[k:] for k in range(words)), strict=False))
     h = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64)
+    h = h if repeats else np.unique(h)
     seen = np.bincount((h.view(np.uint8).reshape(-1, 8) + _PLACES).ravel(), minlength=2048).reshape(8, 256)
     ones = (seen @ _TABLE).ravel() * 2 > len(h)
     return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
 
 
-def with_fingerprint(docs: DataFrame, words: int = 3, name: str = "_fp", keep_text: bool = True) -> DataFrame:
-    """docs with the fingerprint as a signed long in column `name`."""
+def with_fingerprints(docs: DataFrame, words: int = 3, check_words: int = 0) -> DataFrame:
+    """(doc_id, _ord, fp, check) from docs(doc_id, text, _ord), as signed longs.
+
+    check is a second fingerprint, over distinct shingles of check_words words, or 0 if check_words is.
+    """
     prepare(docs.sparkSession)
-    fields = [f for f in docs.schema.fields if keep_text or f.name != "text"]
-    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(t, words) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in names), pa.array(made)], names=[*names, name])
+            texts = batch.column(1).to_pylist()
+            made = [np.array([fingerprint(t, words) for t in texts], np.uint64), np.array([fingerprint(t, check_words, False) if check_words else 0 for t in texts], np.uint64)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x.view(np.int64)) for x in made)], names=["doc_id", "_ord", "fp", "check"])
 
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.LongType())]))
+    kind = docs.schema["doc_id"]
+    return docs.select("doc_id", "text", "_ord").mapInArrow(run, T.StructType([kind, *(T.StructField(k, T.LongType()) for k in ("_ord", "fp", "check"))]))
 
 
 # -- the partition of the bits and its thresholds
@@ -143,113 +151,105 @@ def signatures(groups: list[list[int]], thresholds: list[int]) -> list[list[int]
 
 def _keyed(prints: DataFrame, sets: list[list[int]], before: Column) -> DataFrame:
     masks = F.array(*(F.lit(_mask(s)).cast("long") for s in sets))
-    return prints.select("fp", before.alias("_before"), F.posexplode(masks).alias("_no", "_m")).select("fp", F.xxhash64("_before", "_no", F.col("fp").bitwiseAND(F.col("_m"))).alias("key"))
+    each = prints.select("node", "fp", "check", before.alias("_before"), F.posexplode(masks).alias("_no", "_m"))
+    return each.select(F.xxhash64("_before", "_no", F.col("fp").bitwiseAND(F.col("_m"))).alias("key"), "node", "fp", "check")
 
 
 # -- probing and verifying
 
 
-def _links_in(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that join trees among the fingerprints of one bucket."""
-    forest = Forest(len(values))
-    for i in range(len(values) - 1):
-        near = np.nonzero(np.bitwise_count(values[i + 1 :] ^ values[i]) <= distance)[0]
-        if len(near):
-            forest.link(i, near + i + 1)
-    return forest.kept
+def _near(fp: np.ndarray, check: np.ndarray, i, j, distance: int, check_distance: int) -> np.ndarray:
+    near = np.bitwise_count(fp[i] ^ fp[j]) <= distance
+    return near if check_distance >= BITS else near & (np.bitwise_count(check[i] ^ check[j]) <= check_distance)
 
 
-def link_buckets(keys: np.ndarray, values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between fingerprints of equal key, for whole buckets in key order: enough links to connect what links."""
-    u = values.view(np.uint64)
+def link_buckets(keys: np.ndarray, nodes: np.ndarray, fp: np.ndarray, check: np.ndarray, distance: int, check_distance: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Links between nodes of equal key, for whole buckets in key order: enough links to connect what links."""
     start = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0]
     size = np.diff(np.concatenate([start, [len(keys)]]))
-    a, b = [], []
+    a, b = [nodes[:0]], [nodes[:0]]
     small = size <= 32
     rest = np.repeat(np.where(small, size, 0), size) - (np.arange(len(keys)) - np.repeat(start, size))
+    i = np.arange(len(keys))
     for d in range(1, 32):  # row i against row i + d of its bucket, all small buckets at once
-        i = np.nonzero(rest > d)[0]
+        i = i[rest[i] > d]
         if not len(i):
             break
-        i = i[np.bitwise_count(u[i] ^ u[i + d]) <= distance]
-        a.append(values[i])
-        b.append(values[i + d])
+        near = i[_near(fp, check, i, i + d, distance, check_distance)]
+        a.append(nodes[near])
+        b.append(nodes[near + d])
     for s, n in zip(start[~small], size[~small], strict=True):
-        pairs = _links_in(u[s : s + n], distance)
-        a.append(values[s + np.array([p for p, _ in pairs], np.int64)])
-        b.append(values[s + np.array([q for _, q in pairs], np.int64)])
-    return np.concatenate(a or [values[:0]]), np.concatenate(b or [values[:0]])
+        forest = Forest(n)
+        for k in range(n - 1):
+            forest.link(k, np.nonzero(_near(fp, check, s + k, slice(s + k + 1, s + n), distance, check_distance))[0] + k + 1)
+        a.append(nodes[s + np.array([p for p, _ in forest.kept], np.int64)])
+        b.append(nodes[s + np.array([q for _, q in forest.kept], np.int64)])
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _link(keyed: DataFrame, distance: int) -> DataFrame:
-    """Links (a, b) of the buckets of keyed(key, fp); buckets come sorted and whole, a batch's last one waits for the next batch."""
+def _link(keyed: DataFrame, distance: int, check_distance: int) -> DataFrame:
+    """Links (a, b) of the buckets of keyed; buckets come sorted and whole, a batch's last one waits for the next batch."""
+
+    def linked(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        key, node, fp, check = (np.concatenate(c) for c in zip(*parts, strict=True))
+        found = link_buckets(key, node, fp.view(np.uint64), check.view(np.uint64), distance, check_distance)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k0, v0 = [], []
+        waiting: list[list[np.ndarray]] = []
         for batch in batches:
-            k, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(k):
-                continue
-            k0.append(k)
-            v0.append(v)
-            if k[0] == k[-1] and k0[0][-1] == k[-1]:
+            columns = [c.to_numpy() for c in batch.columns]
+            if not len(columns[0]):
                 continue
-            k, v = np.concatenate(k0), np.concatenate(v0)
-            cut = int(np.searchsorted(k, k[-1]))
-            k0, v0 = [k[cut:]], [v[cut:]]
-            if cut:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in link_buckets(k[:cut], v[:cut], distance)], names=["a", "b"])
-        if k0:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in link_buckets(np.concatenate(k0), np.concatenate(v0), distance)], names=["a", "b"])
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if cut or (waiting and waiting[-1][0][-1] != columns[0][-1]):
+                yield linked([*waiting, [c[:cut] for c in columns]])
+                waiting = []
+            waiting.append([c[cut:] for c in columns])
+        if waiting:
+            yield linked(waiting)
 
     n = shuffle_parts(keyed.sparkSession)
-    return keyed.repartition(n, "key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long")
+    return keyed.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long")
 
 
-def near_prints(prints: DataFrame, distance: int = 2) -> DataFrame:
-    """(a, b) links of prints(fp), distinct fingerprints, that connect whatever lies within `distance` bits.
+def near_prints(prints: DataFrame, distance: int = 2, check_distance: int = BITS) -> DataFrame:
+    """(a, b) links of prints(node, fp, check) that connect whatever lies within both distances.
 
-    Buckets of one fingerprint drop out by a count. A bucket above BUCKET agrees on its group's bits, so its pairs
-    differ in the others alone: these are cut into distance + 1 groups, one of which must be equal, and the bucket
-    is dealt again by them; so on for SPLITS rounds, always with all of its fingerprints. Each bucket gives a spanning
-    forest of its links instead of all its pairs.
+    A bucket above BUCKET agrees on its group's bits; it is dealt again by other cuts of all bits into distance + 1
+    parts, one of which must be equal for a pair to link; so on for SPLITS rounds, always with all of its
+    fingerprints. Each bucket gives a spanning forest of its links instead of all its pairs.
     """
     n, together = bit_counts(prints)
     groups, thresholds = allocate(n, together, distance)
-    sets = signatures(groups, thresholds)
-    keyed = _keyed(prints, sets, F.lit(0))
-    found, used = [], [list(s) for s in sets]
+    keyed, links = _keyed(prints, signatures(groups, thresholds), F.lit(0)), None
     for split in range(SPLITS + 1):
-        sizes = keyed.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key"), F.col("count").alias("_n"))
-        keyed = materialise(keyed.join(sizes, F.col("key") == F.col("_key")).select("key", "fp", "_n"), "buckets")
-        large = keyed.where(F.col("_n") > BUCKET)
-        if split == SPLITS or not large.limit(1).count():
-            found.append(_link(keyed.select("key", "fp"), distance))
+        hot = materialise(keyed.groupBy("key").count().where(F.col("count") > BUCKET).select("key"), "hot-buckets")
+        any_hot = split < SPLITS and hot.limit(1).count() > 0
+        hot = broadcast_if_small(hot, MAX_BROADCAST)
+        found = _link(keyed.join(hot, "key", "left_anti") if any_hot else keyed, distance, check_distance)
+        links = found if links is None else links.union(found)
+        if not any_hot:
             break
-        found.append(_link(keyed.where(F.col("_n") <= BUCKET).select("key", "fp"), distance))
-        # other cuts of all bits each time: groups of this round cross those of the rounds before
         parts = group_bits(n, together, (distance + 1) * (split + 2))
-        again = [parts[k :: distance + 1] for k in range(distance + 1)]
-        keyed = _keyed(large, [sorted(b for g in some for b in g) for some in again], F.col("key"))
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
+        again = [sorted(b for g in parts[k :: distance + 1] for b in g) for k in range(distance + 1)]
+        keyed = _keyed(keyed.join(hot, "key", "left_semi"), again, F.col("key"))
     return links
 
 
 def label(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """(_ord, doc_id, fingerprint, component_id) for every row of docs; _ord is the row's number in the scan.
+    """(_ord, doc_id, fingerprint, component_id, root) for every row of docs; _ord is the row's number in the scan.
 
     Rows with one fingerprint collapse before any join, so groups of copies cost one row per task; texts leave the JVM
     once and are never shuffled.
     """
-    keys = materialise(with_fingerprint(docs.select("doc_id", "text", row_ordinal().alias("_ord")), words, keep_text=False), "prints")
-    prints = materialise(keys.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("least")), "distinct-prints")
-    parts = connected_components(near_prints(prints.select("fp"), distance))
-    labelled = prints.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    keys = materialise(with_fingerprints(docs.select("doc_id", "text", row_ordinal().alias("_ord")), words), "prints")
+    prints = materialise(keys.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumns({"node": F.col("fp"), "check": F.lit(0).cast("long")}), "distinct-prints")
+    parts = connected_components(near_prints(prints.select("node", "fp", "check"), distance)).withColumnRenamed("node", "_node")
+    labelled = prints.join(parts, F.col("fp") == F.col("_node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     roots = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root")
-    ids = labelled.join(roots, F.col("root") == F.col("_root")).select("fp", "root", "component_id")
-    return keys.join(ids, F.col("_fp") == F.col("fp")).select("_ord", "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+    ids = labelled.join(roots, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "root", "component_id")
+    return keys.join(ids, F.col("fp") == F.col("_fp")).select("_ord", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
 def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
@@ -264,14 +264,27 @@ def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFr
     return restore(inner.withColumn("_row", row_ordinal()).join(found, F.col("_row") == F.col("_ord")), ["fingerprint", "component_id"])
 
 
-def keep_one(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """docs with one row of each component: that with the smallest doc_id, and of several such rows the first in the scan.
+def keep_one(docs: DataFrame, words: int = 3, distance: int = 2, check_words: int = CHECK_WORDS, wide: int = WIDE, check_distance: int = CHECK_DISTANCE) -> DataFrame:
+    """docs with one row of each group: that with the smallest doc_id, and of several such rows the first in the scan.
 
-    The rows that go are few as a rule, so they are what the documents are joined with.
+    Rows group over two kinds of links: fingerprints within `distance` bits; and fingerprints within `wide` bits if
+    those of the distinct check_words-word shingles are within check_distance, which stands for a similarity of
+    about 0.8 or more: copies with a few words changed are often 3 to 7 bits apart. Repeated lines weigh once in
+    the second, so that texts that share only these stay. The rows that go are few as a rule, so they are what the
+    documents are joined with.
     """
     inner, restore = shield(docs, ["doc_id", "text"])
-    found = label(inner, words, distance).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank"))
-    found = materialise(found, "near-labels")
+    keys = materialise(with_fingerprints(inner.select("doc_id", "text", row_ordinal().alias("_ord")), words, check_words), "prints")
+    prints = materialise(keys.groupBy("fp", "check").agg(F.min("_ord").alias("node")), "distinct-prints")
+    same = prints.groupBy("fp").agg(F.min("node").alias("least"))
+    first = same.select(F.col("least").alias("node"), "fp", F.lit(0).cast("long").alias("check"))
+    twins = prints.join(same.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).select(F.col("node").alias("a"), F.col("least").alias("b"))
+    links = twins.union(near_prints(materialise(first, "first-prints"), distance)).union(near_prints(prints, wide, check_distance))
+    parts = connected_components(links).withColumnRenamed("node", "_node")
+    roots = prints.join(parts, F.col("node") == F.col("_node")).select(F.col("fp").alias("_fp"), F.col("check").alias("_check"), F.col("component").alias("root"))
+    shared = keys.groupBy("fp", "check").agg(F.count("*").alias("n"), F.min("_ord").alias("node")).where("n > 1").select(F.col("fp").alias("_fp"), F.col("check").alias("_check"), F.col("node").alias("root"))
+    groups = roots.union(shared.join(roots.select("_fp", "_check"), ["_fp", "_check"], "left_anti"))
+    found = materialise(keys.join(groups, (F.col("fp") == F.col("_fp")) & (F.col("check") == F.col("_check"))).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank")), "near-labels")
     best = found.groupBy("root").agg(F.min(F.struct("_rank", "_ord")).alias("_best")).select(F.col("root").alias("_root"), F.col("_best._ord").alias("_stays"))
     gone = materialise(found.join(best, F.col("root") == F.col("_root")).where("_ord <> _stays").select("_ord"), "near-gone")
     return restore(inner.withColumn("_ord", row_ordinal()).join(gone, "_ord", "left_anti"), [])
