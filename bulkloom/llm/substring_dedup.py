@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, row_ordinal, shield, shuffle_parts
+from .common import broadcast_if_small, materialise, prepare, row_ordinal, shield, shuffle_parts
 
 #: Words of a window, and of the short prefixes by which suffixes are first split.
 WINDOW, PREFIX = 20, 6
-#: Suffixes that a subtree may hold; above it they are split by a longer prefix, the whole window.
-SUBTREE = 20_000
+#: Suffixes that a short prefix may have; those of a more frequent one are split by the longest prefix, the whole window.
+SUBTREE = 2_000
+#: Pieces that a task remembers, to send equal ones once.
+REMEMBERED = 60_000
+#: Rows of whole copies are broadcast up to so many.
+MAX_BROADCAST = 1_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
+_PLACE_BITS = np.uint64(24)
 
 
 class _Hashes(dict):
@@ -34,6 +39,23 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _sliding_least(run: np.ndarray, width: int) -> np.ndarray:
+    """Places of the least value in each slice of `width`, the leftmost of equals.
+
+    Place numbers ride in the low bits, and slices double: the least of 2d values is the lesser of two of d. Texts of
+    more than 2^24 words, whose places don't fit, take the direct way.
+    """
+    n = len(run) - width + 1
+    if len(run) >> int(_PLACE_BITS):
+        return np.lib.stride_tricks.sliding_window_view(run >> _PLACE_BITS, width).argmin(axis=1) + np.arange(n)
+    least, depth = (run >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(run), dtype=np.uint64), 1
+    while depth * 2 <= width:
+        least = np.minimum(least[:-depth], least[depth:])
+        depth *= 2
+    least = np.minimum(least[:n], least[width - depth : width - depth + n])
+    return (least & np.uint64((1 << int(_PLACE_BITS)) - 1)).astype(np.int64)
+
+
 def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, hash, first window, last window) of each anchor of the words.
 
@@ -53,7 +75,7 @@ def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX) -> t
     run ^= run >> np.uint64(31)
     run *= np.uint64(0xBF58476D1CE4E5B9)
     run ^= run >> np.uint64(29)
-    least = np.lib.stride_tricks.sliding_window_view(run, window - prefix + 1).argmin(axis=1) + np.arange(n - window + 1)
+    least = _sliding_least(run, window - prefix + 1)
     first = np.nonzero(np.concatenate([[True], least[1:] != least[:-1]]))[0]
     last = np.concatenate([first[1:], [len(least)]]) - 1
     return least[first], run[least[first]], first, last
@@ -79,9 +101,6 @@ def equal_windows(words: np.ndarray, starts: np.ndarray, window: int = WINDOW) -
     return np.unique(pair, return_inverse=True)[1]
 
 
-_PIECE = T.StructType([T.StructField("key", T.LongType()), T.StructField("rid", T.LongType()), T.StructField("id", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("windows", T.IntegerType()), T.StructField("offset", T.IntegerType()), T.StructField("words", T.BinaryType())])
-
-
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     """(key, rid, at) of every anchor."""
 
@@ -98,88 +117,142 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(run, "key long, rid long, at int")
 
 
+_PIECE = {"key": pa.int64(), "id": pa.int64(), "rid": pa.int64(), "at": pa.int32(), "n": pa.int32(), "words": pa.binary()}
+
+
+class _Pieces:
+    """Pieces of one task on their way out; of equal ones only the earliest is sent, the windows of the others are known to be later."""
+
+    def __init__(self):
+        self.rows: list[list] = [[] for _ in _PIECE]
+        self.seen: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
+
+    def _put(self, key, place, words) -> None:
+        for column, value in zip(self.rows, (key, *place, words), strict=True):
+            column.append(value)
+
+    def add(self, key: int, place: tuple[int, int, int, int], words: bytes) -> None:
+        """place: (id, rid, at, n) of a piece with n windows."""
+        old = self.seen.setdefault((key, words), place)
+        if old is place:
+            if len(self.seen) > REMEMBERED:
+                self.flush()
+            return
+        early, late = min(old, place), max(old, place)
+        self.seen[key, words] = early
+        self._put(late[1], late, None)
+
+    def flush(self) -> None:
+        for (key, words), place in self.seen.items():
+            self._put(key, place, words)
+        self.seen = {}
+
+    def take(self) -> pa.RecordBatch:
+        rows, self.rows = self.rows, [[] for _ in _PIECE]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _PIECE.values(), strict=True)], names=list(_PIECE))
+
+
 def _pieces(docs: DataFrame, window: int) -> DataFrame:
-    """Of docs(rid, id, text, some), for each anchor among `some`, the words that its windows cover."""
+    """(key, id, rid, at, n, words): of docs(rid, id, text, some), for each anchor among `some`, the words that its n windows cover.
+
+    some holds 2 x place, plus 1 where the prefix is frequent: there each window goes by itself, keyed by all its words.
+    Rows without words are windows that a piece of the same task has shown to be later.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Pieces()
         for batch in batches:
-            out: list[list] = [[] for _ in _PIECE.fields]
             for rid, doc, text, some in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                words = (text or "").encode().split()
+                words = text.encode().split()
                 at, key, first, last = anchors(words, window)
-                here = np.isin(at, np.array(some, np.int64))
-                for a, k, s, e in zip(at[here].tolist(), key[here].view(np.int64).tolist(), first[here].tolist(), last[here].tolist(), strict=True):
-                    for column, value in zip(out, (k, rid, doc, s, e - s + 1, a - s, b" ".join(words[s : e + window])), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[f.name for f in _PIECE.fields])
-
-    return docs.select("rid", "id", "text", "some").mapInArrow(run, _PIECE)
-
-
-def _later_windows(table: pa.Table, window: int) -> pa.RecordBatch:
-    """(rid, at) of the windows of whole subtrees that also start earlier; rows come by key, id, rid, at."""
-    split = [w.split() for w in table["words"].to_pylist()]
-    sizes = np.array([len(w) for w in split], np.int64)
-    names: dict[bytes, int] = {}
-    number = np.fromiter((names.setdefault(w, len(names)) for words in split for w in words), np.int64, int(sizes.sum()))
-    n_windows = table["windows"].to_numpy().astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    row = np.repeat(np.arange(len(split)), n_windows)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    kind = equal_windows(number, begin[row] + step, window)
-    _, first = np.unique(kind, return_index=True)
-    later = np.ones(len(row), bool)
-    later[first] = False  # rows are in document order within a subtree, and equal windows share their subtree
-    at = table["at"].to_numpy().astype(np.int64)[row] + step
-    return pa.RecordBatch.from_arrays([pa.array(table["rid"].to_numpy()[row][later]), pa.array(at[later].astype(np.int32))], names=["rid", "at"])
+                some = np.sort(np.array(some, np.int64))
+                where = np.searchsorted(at, some >> 1)
+                for k, s, e, hot in zip(key[where].view(np.int64).tolist(), first[where].tolist(), last[where].tolist(), (some & 1).tolist(), strict=True):
+                    if hot:
+                        for w in range(s, e + 1):
+                            piece = b" ".join(words[w : w + window])
+                            out.add(xxhash.xxh64_intdigest(piece) - (1 << 63), (doc, rid, w, 1), piece)
+                    else:
+                        out.add(k, (doc, rid, s, e - s + 1), b" ".join(words[s : e + window]))
+            yield out.take()
+        out.flush()
+        yield out.take()
+
+    return docs.select("rid", "id", "text", "some").mapInArrow(run, "key long, id long, rid long, at int, n int, words binary")
+
+
+def _later_in_subtrees(table: pa.Table, window: int) -> pa.RecordBatch:
+    """(rid, at, n) of windows that also start earlier, for whole subtrees; rows come by key, id, rid, at.
+
+    A piece equal to one before it in its subtree is later as a whole. A subtree of one piece has no node to look for.
+    """
+    key, rid, at, n = (table[k].to_numpy() for k in ("key", "rid", "at", "n"))
+    texts = table["words"].to_pylist()
+    known = np.fromiter((t is None for t in texts), bool, len(texts))
+    seen: set[tuple[int, bytes]] = set()
+    new: list[int] = []
+    for i in np.nonzero(~known)[0].tolist():
+        piece = (int(key[i]), texts[i])
+        if piece in seen:
+            known[i] = True
+        else:
+            seen.add(piece)
+            new.append(i)
+    out = [(rid[known], at[known].astype(np.int32), n[known].astype(np.int32))]
+    rows = np.array(new, np.int64)
+    if len(rows):
+        edge = np.concatenate([[True], key[rows][1:] != key[rows][:-1], [True]])
+        rows = rows[~(edge[:-1] & edge[1:])]  # windows of one piece have different offsets from its anchor, so they differ
+    if len(rows):
+        split = [texts[i].split() for i in rows.tolist()]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        names: dict[bytes, int] = {}
+        number = np.fromiter((names.setdefault(w, len(names)) for words in split for w in words), np.int64, int(sizes.sum()))
+        own = n[rows].astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        row = np.repeat(np.arange(len(rows)), own)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
+        kind = equal_windows(number, begin[row] + step, window)
+        later = np.ones(len(row), bool)
+        later[np.unique(kind, return_index=True)[1]] = False  # rows are in document order within a subtree, and equal windows share theirs
+        row, step = row[later], step[later]
+        out.append((rid[rows][row], (at[rows][row] + step).astype(np.int32), np.ones(len(row), np.int32)))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["rid", "at", "n"])
 
 
 def _subtrees(pieces: DataFrame, window: int) -> DataFrame:
-    """(rid, at) of windows that also start earlier, subtree by subtree; a batch's last subtree waits for the next batch."""
+    """(rid, at, n): n windows from `at` on that also start earlier, subtree by subtree; a batch's last subtree waits for the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
+        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = batch.column(0).to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))
-            if cut or (waiting and waiting[-1].column(0)[-1].as_py() != keys[-1]):
-                yield _later_windows(pa.Table.from_batches([*waiting, batch.slice(0, cut)]), window)
-                waiting = []
-            waiting.append(batch.slice(cut))
+            changed = cut or (waiting and waiting[-1].column(0)[-1].as_py() != keys[-1])
+            if changed and held + cut >= 20_000:  # a few batches at once: fewer, larger numpy calls
+                yield _later_in_subtrees(pa.Table.from_batches([*waiting, batch.slice(0, cut)]), window)
+                waiting, held = [], 0
+                batch = batch.slice(cut)
+            waiting.append(batch)
+            held += batch.num_rows
         if waiting:
-            yield _later_windows(pa.Table.from_batches(waiting), window)
-
-    n = shuffle_parts(pieces.sparkSession)
-    return pieces.repartition(n, "key").sortWithinPartitions("key", "id", "rid", "at").mapInArrow(run, "rid long, at int")
-
-
-def _long_prefix(pieces: DataFrame, window: int) -> DataFrame:
-    """The same for suffixes split by their whole window: equal windows collapse per task, the first of each stays."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for rid, doc, at, n, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 6)), strict=True):
-                words = text.split()
-                for k in range(n):
-                    for column, value in zip(out, (hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=16).digest(), rid, doc, at + k), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["w", "rid", "id", "at"])
+            yield _later_in_subtrees(pa.Table.from_batches(waiting), window)
 
-    windows = pieces.mapInArrow(run, "w binary, rid long, id long, at int")
-    first = windows.groupBy("w").agg(F.min(F.struct("id", "rid", "at")).alias("first")).select(F.col("w").alias("_w"), "first")
-    return windows.join(first, F.col("w") == F.col("_w")).where(F.struct("id", "rid", "at") > F.col("first")).select("rid", "at")
+    parts = shuffle_parts(pieces.sparkSession)
+    return pieces.repartition(parts, "key").sortWithinPartitions("key", "id", "rid", "at").mapInArrow(run, "rid long, at int, n int")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True) -> DataFrame:
     """docs with n_words, n_removed, kept (the words left, joined by one space) and kept_sha256; one row for each row.
 
-    1. Anchors of all rows are counted; those that occur once can't lie in a repeat.
+    0. Rows whose whole text equals that of an earlier row, by 128-bit hash, are later from start to end.
+    1. Anchors of all other rows are counted; those that occur once can't lie in a repeat.
     2. For the others, the words that their windows cover move to one subtree by the anchor's words, a short prefix.
-       Anchors with more than SUBTREE occurrences are split on by the longest prefix, the whole window (by 128-bit
-       hash, the only place where a hash stands for words), with the first of equals found by partial aggregation.
+       Suffixes of prefixes with more than SUBTREE occurrences are split by the longest prefix, the whole window.
+       Of equal pieces a task sends one, so that a passage in a third of all rows costs a few rows per task.
     3. Each subtree is built in memory from the words themselves; what lies below one node at depth `window` repeats.
 
     A word goes if a window of `window` words over it also starts earlier: in a row with a smaller doc_id, or sooner in the
@@ -194,19 +267,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     rows = inner.withColumn("rid", row_ordinal())
     texts = rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text")
     parts = shuffle_parts(spark)
-    found = _anchor_rows(texts, window)
-    often = found.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key"), (F.col("count") > SUBTREE).alias("hot"))
-    often = materialise(often, "prefixes")
-    hot = often.where("hot")
-    some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list("at").alias("some")).select(F.col("rid").alias("_rid"), "some")
-    pieces = _pieces(texts.repartition(parts, "rid").join(some, F.col("rid") == F.col("_rid")), window)
-    if hot.limit(1).count():
-        pieces, keys = materialise(pieces, "suffixes"), hot.select("_key")
-        later = _subtrees(pieces.join(keys, F.col("key") == F.col("_key"), "left_anti"), window).union(_long_prefix(pieces.join(keys, F.col("key") == F.col("_key"), "left_semi"), window))
-    else:
-        later = _subtrees(pieces, window)
-    marks = later.groupBy("rid").agg(F.collect_list("at").alias("later")).select(F.col("rid").alias("_rid"), "later")
-    out = (texts if names == ["doc_id", "text"] else rows).repartition(parts, "rid").join(marks, F.col("rid") == F.col("_rid"), "left")
+    hashed = texts.where("text IS NOT NULL").select("rid", "id", F.unhex(F.md5("text")).alias("h"))
+    first = hashed.groupBy("h").agg(F.min(F.struct("id", "rid")).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.col("h").alias("_h"), "first")
+    copies = materialise(hashed.join(first, F.col("h") == F.col("_h")).where(F.col("rid") != F.col("first.rid")).select(F.col("rid").alias("_copy")), "copies")
+    unlike = F.col("rid") == F.col("_copy")
+    found = materialise(_anchor_rows(texts.join(broadcast_if_small(copies, MAX_BROADCAST), unlike, "left_anti"), window), "anchors")
+    often = found.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
+    some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("some")).select(F.col("rid").alias("_rid"), "some")
+    dealt = texts.repartition(parts, "rid")
+    later = _subtrees(_pieces(dealt.join(some, F.col("rid") == F.col("_rid")), window), window)
+    later = later.union(copies.select(F.col("_copy").alias("rid"), F.lit(0), F.lit(1 << 30)))
+    marks = later.groupBy("rid").agg(F.collect_list(F.struct("at", "n")).alias("later")).select(F.col("rid").alias("_rid"), "later")
+    out = (dealt if names == ["doc_id", "text"] else rows.repartition(parts, "rid")).join(marks, F.col("rid") == F.col("_rid"), "left")
     if names == ["doc_id", "text"]:
         out = out.withColumn("doc_id", F.when(F.col("id") != 2**63 - 1, F.col("id")))
     out = out.select(*names, "later")
@@ -217,14 +289,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[], [], [], []]
-            for text, starts in zip(batch.column(batch.schema.get_field_index("text")).to_pylist(), batch.column(batch.schema.get_field_index("later")).to_pylist(), strict=True):
+            runs = batch.column(batch.schema.get_field_index("later"))
+            flat, offsets = runs.values, runs.offsets.to_numpy()
+            ats, ns = (flat.field(k).to_numpy().astype(np.int64) for k in ("at", "n"))
+            for i, text in enumerate(batch.column(batch.schema.get_field_index("text")).to_pylist()):
                 words = (text or "").encode().split()
                 n, gone = len(words), 0
-                if starts:
+                if offsets[i + 1] > offsets[i] and n >= window:
                     edge = np.zeros(n + 1, np.int64)
-                    s = np.array(starts, np.int64)
+                    s, last = ats[offsets[i] : offsets[i + 1]], ats[offsets[i] : offsets[i + 1]] + ns[offsets[i] : offsets[i + 1]] - 1
                     np.add.at(edge, s, 1)
-                    np.add.at(edge, s + window, -1)
+                    np.add.at(edge, np.minimum(last + window, n), -1)
                     keep = np.cumsum(edge[:n]) == 0
                     gone = int(n - keep.sum())
                     words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
