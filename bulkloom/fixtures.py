@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.genotype import lenient_depths, unphased
+from .session import tune
 
 VARIANTS = """
 SELECT chrom, pos, ref, alt, qual, type, qd, fs, sor, mq, mq_rank_sum, read_pos_rank_sum,
@@ -70,7 +71,7 @@ VIEWS = {"variants": (VARIANTS, "lineitem"), "stage_log": (STAGE_LOG, "events"),
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of VIEWS over the tables in sf_dir."""
     text, table = VIEWS[name]
-    return spark.sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    return tune(spark).sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,15 @@ def lenient_int(text: Column) -> Column:
 
 
 def lenient_depths(text: Column) -> Column:
-    """`ref,alt` as an array of whole numbers; bad parts are 0."""
-    return F.transform(F.split(text, ","), lambda x: F.coalesce(x.try_cast("double"), F.lit(0.0)).cast("int"))
+    """`ref,alt` as an array of whole numbers; bad parts are null, and count as 0 where they are used.
+
+    One cast of the whole array, as functions over its elements would keep the stage out of generated code.
+    """
+    return F.split(text, ",").try_cast("array<int>")
+
+
+def depth_at(ad: Column, place: int) -> Column:
+    return F.coalesce(F.get(ad, place), F.lit(0))
 
 
 def is_called(gt: Column) -> Column:
@@ -40,7 +47,8 @@ def is_biallelic(ad: Column) -> Column:
 def other_allele_depth(ref: Column, low_parent_gt: Column, ad: Column) -> tuple[Column, Column]:
     """(depth of the allele that the low parent lacks, depth of its own), by the low parent's first allele."""
     carries_ref = ref == F.get(F.split(low_parent_gt, "/"), 0)
-    return F.when(carries_ref, F.get(ad, 1)).otherwise(F.get(ad, 0)), F.when(carries_ref, F.get(ad, 0)).otherwise(F.get(ad, 1))
+    ref_depth, alt_depth = depth_at(ad, 0), depth_at(ad, 1)
+    return F.when(carries_ref, alt_depth).otherwise(ref_depth), F.when(carries_ref, ref_depth).otherwise(alt_depth)
 
 
 def variant_type(ref: Column, alt: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.genotype import other_allele_depth
+from ..functions.genotype import depth_at, other_allele_depth
 from ..functions.stats import g_statistic, round6, snp_index
 from .null_model import QUANTILES, one_bulk_thresholds, two_bulk_thresholds
 
@@ -14,7 +14,7 @@ def two_bulk_statistics(variants: DataFrame, with_parents: bool = True) -> DataF
     """variants with high_si, low_si, dsi and gs. With parents, the allele that the low parent lacks is counted, else ALT."""
     counts = {}
     for p in ("hb", "lb"):
-        counts[p] = other_allele_depth(F.col("ref"), F.col("lp_gt"), F.col(f"{p}_ad")) if with_parents else (F.get(f"{p}_ad", 1), F.get(f"{p}_ad", 0))
+        counts[p] = other_allele_depth(F.col("ref"), F.col("lp_gt"), F.col(f"{p}_ad")) if with_parents else (depth_at(F.col(f"{p}_ad"), 1), depth_at(F.col(f"{p}_ad"), 0))
     (h, h0), (lo, lo0) = counts["hb"], counts["lb"]
     out = variants.withColumns({"high_si": snp_index(h, F.col("hb_dp")), "low_si": snp_index(lo, F.col("lb_dp")), "gs": round6(g_statistic(h0, h, lo0, lo))})
     return out.withColumn("dsi", round6(F.col("high_si") - F.col("low_si")))

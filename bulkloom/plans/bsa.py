@@ -11,6 +11,7 @@ from ..operators.filters import filter_design
 from ..operators.null_model import ONE_BULK_LIMITS, TWO_BULK_LIMITS, null_frequency
 from ..operators.qtl import ONE_BULK_SERIES, TWO_BULK_SERIES, call_qtl, series
 from ..operators.windows import window_means
+from ..session import tune
 from ..sources.sinks import qtl_table, statistics_table, write_series, write_tsv
 from ..sources.variants import assign_roles
 
@@ -58,7 +59,7 @@ def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_b
     if design == "one_bulk":
         roles = {"high_parent": high_parent, "low_parent": low_parent, "bulk": high_bulk or low_bulk}
     roles = {k: v for k, v in roles.items() if v}
-    spark, kinds = wide.sparkSession, ONE_BULK_SERIES if design == "one_bulk" else TWO_BULK_SERIES
+    spark, kinds = tune(wide.sparkSession), ONE_BULK_SERIES if design == "one_bulk" else TWO_BULK_SERIES
     result = analyse(assign_roles(wide, **roles), design, **options)
     result.stats.write.mode("overwrite").partitionBy("chrom").parquet(f"{out}/stats")
     stats = spark.read.schema(result.stats.schema).parquet(f"{out}/stats")
