@@ -272,7 +272,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     copies = materialise(hashed.join(first, F.col("h") == F.col("_h")).where(F.col("rid") != F.col("first.rid")).select(F.col("rid").alias("_copy")), "copies")
     unlike = F.col("rid") == F.col("_copy")
     found = materialise(_anchor_rows(texts.join(broadcast_if_small(copies, MAX_BROADCAST), unlike, "left_anti"), window), "anchors")
-    often = found.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
+    # a computed key on one side has both sides shuffled for the join, so that the rows of a frequent key can be split
+    often = found.groupBy("key").count().where("count > 1").select(F.bitwise_not(F.bitwise_not("key")).alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
     some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("some")).select(F.col("rid").alias("_rid"), "some")
     dealt = texts.repartition(parts, "rid")
     later = _subtrees(_pieces(dealt.join(some, F.col("rid") == F.col("_rid")), window), window)
