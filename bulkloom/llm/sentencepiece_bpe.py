@@ -16,6 +16,7 @@ from .common import prepare
 
 #: Chunks in each of the two halves of a worker's memory; when the newer is full, it becomes the older, whose rest goes.
 MEMORY = 200_000
+_NEVER = float("-inf")
 
 
 class Codec:
@@ -72,13 +73,16 @@ class Codec:
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition: the best adjacent pair in the vocabulary merges, the leftmost of equals, until none is left."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(((self.score[a + b], -k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.score), default=None)
-            if best is None:
-                break
-            k = -best[1]
+        parts, score = list(text), self.score.get
+        pairs = [score(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while pairs and (best := max(pairs)) > _NEVER:
+            k = pairs.index(best)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = score(parts[k - 1] + parts[k], _NEVER)
+            if k < len(pairs):
+                pairs[k] = score(parts[k] + parts[k + 1], _NEVER)
         return parts
 
     def fits(self, a: str, b: str) -> bool:
@@ -95,15 +99,14 @@ class Codec:
             return [chunk]
         n = len(chunk)
         lengths: list[list[int]] = [[] for _ in range(n)]
-        for last, size in self.automaton.iter(chunk):
+        for last, size in self.automaton.iter(chunk):  # by last place, so that sizes at one place ascend
             lengths[last - size + 1].append(size)
-        for at in range(n):
-            lengths[at] = sorted(lengths[at], reverse=True) or [1]
         out: list[str] = []
         at, failed, skip = 0, 0, [0] * (n + 1)
         while at < n:
-            for k in range(skip[at], len(lengths[at])):
-                size = lengths[at][k]
+            sizes = lengths[at] or [1]
+            for k in range(skip[at], len(sizes)):
+                size = sizes[-1 - k]
                 token = chunk[at : at + size]
                 if not failed >> (at + size) & 1 and (not out or self.fits(out[-1], token)):
                     skip[at] = k + 1
