@@ -11,7 +11,7 @@ from ..operators.filters import filter_design
 from ..operators.null_model import ONE_BULK_LIMITS, TWO_BULK_LIMITS, null_frequency
 from ..operators.qtl import ONE_BULK_SERIES, TWO_BULK_SERIES, call_qtl, series
 from ..operators.windows import window_means
-from ..session import tune
+from ..session import materialise, tune
 from ..sources.sinks import qtl_table, statistics_table, write_series, write_tsv
 from ..sources.variants import assign_roles
 
@@ -28,13 +28,17 @@ class BsaResult:
 
 
 def analyse(variants: DataFrame, design: str, window: int = 2_000_000, step: int = 10_000, population: str = "F2", min_depth: dict[str, int] | None = None) -> BsaResult:
-    """The lazy tables of a run over canonical variants; design as in filters.DESIGNS."""
+    """The tables of a run over canonical variants; design as in filters.DESIGNS.
+
+    The filtered variants with their statistics are written once: the distinct depth pairs, the threshold join and
+    the windows all read them, and the input is scanned no more.
+    """
     frequency = null_frequency(population)
     rows = filter_design(variants, design, window, step, min_depth)
     if design == "one_bulk":
-        stats, values, kinds = add_one_bulk_thresholds(one_bulk_statistics(rows), frequency), ONE_BULK_VALUES, ONE_BULK_SERIES
+        stats, values, kinds = add_one_bulk_thresholds(materialise(one_bulk_statistics(rows), "stats"), frequency), ONE_BULK_VALUES, ONE_BULK_SERIES
     else:
-        stats, values, kinds = add_two_bulk_thresholds(two_bulk_statistics(rows, design == "two_bulk"), frequency, frequency), TWO_BULK_VALUES, TWO_BULK_SERIES
+        stats, values, kinds = add_two_bulk_thresholds(materialise(two_bulk_statistics(rows, design == "two_bulk"), "stats"), frequency, frequency), TWO_BULK_VALUES, TWO_BULK_SERIES
     windows = window_means(stats.where(stats["type"].isin("SNP", "INDEL")), values, window, step)
     points = series(windows, kinds)
     return BsaResult(stats, windows, points, call_qtl(points, kinds))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -13,3 +16,25 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet below spark.checkpoint.dir, the folder that all machines share, and read it back.
+
+    What several later steps read is computed once this way and survives a lost executor. Where the setting is
+    missing, as in tests, a folder of this machine stands in for it.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_OWN: list[str] = []
+
+
+def _own_folder() -> str:
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="spark-"))
+    return _OWN[0]
