@@ -268,7 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     texts = rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text")
     parts = shuffle_parts(spark)
     hashed = texts.where("text IS NOT NULL").select("rid", "id", F.unhex(F.md5("text")).alias("h"))
-    first = hashed.groupBy("h").agg(F.min(F.struct("id", "rid")).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.col("h").alias("_h"), "first")
+    first = hashed.groupBy("h").agg(F.min(F.struct("id", "rid")).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.unhex(F.hex("h")).alias("_h"), "first")  # computed, for the reason given below
     copies = materialise(hashed.join(first, F.col("h") == F.col("_h")).where(F.col("rid") != F.col("first.rid")).select(F.col("rid").alias("_copy")), "copies")
     unlike = F.col("rid") == F.col("_copy")
     found = materialise(_anchor_rows(texts.join(broadcast_if_small(copies, MAX_BROADCAST), unlike, "left_anti"), window), "anchors")
