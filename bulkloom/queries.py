@@ -18,8 +18,8 @@ WINDOW, STEP = 200_000, 10_000
 _SITE = ["chrom", "pos", "ref", "alt", "type"]
 
 
-def _filtered(spark, sf_dir, design="two_bulk"):
-    return filters.filter_design(variants(spark, sf_dir), design, WINDOW, STEP)
+def _filtered(spark, sf_dir, design="two_bulk", window=WINDOW, step=STEP):
+    return filters.filter_design(variants(spark, sf_dir), design, window, step)
 
 
 def _run(spark, sf_dir, design="two_bulk"):
@@ -89,10 +89,10 @@ def bsa_one_bulk_with_thresholds(spark, sf_dir):
     return _run(spark, sf_dir, "one_bulk").stats.select(*_SITE, "b_dp", *ONE_BULK_VALUES)
 
 
-def bsa_window_dsi(spark, sf_dir):
+def bsa_window_dsi(spark, sf_dir, window=WINDOW, step=STEP):
     """Where ΔSNP-index peaks: windows of the statistic alone."""
-    stats = bsa_stats.two_bulk_statistics(_filtered(spark, sf_dir))
-    return windows.window_means(stats, ["dsi"], WINDOW, STEP)
+    stats = bsa_stats.two_bulk_statistics(_filtered(spark, sf_dir, "two_bulk", window, step))
+    return windows.window_means(stats, ["dsi"], window, step)
 
 
 def bsa_window_uneven(spark, sf_dir):

@@ -10,6 +10,8 @@ ROOT = str(Path(__file__).resolve().parents[1])
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH", "")) if p)
 SF = "/root/testdata/sf0.001"
+#: Contigs are too short for the windows in the smallest tables.
+SF_LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -25,16 +27,25 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def oracle():
+def connect(sf_dir):
     import duckdb
 
     con = duckdb.connect()
-    for p in Path(SF).glob("*.parquet"):
+    for p in Path(sf_dir).glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
     return con
 
 
+@pytest.fixture(scope="session")
+def oracle():
+    return connect(SF)
+
+
+@pytest.fixture(scope="session")
+def oracle_larger():
+    return connect(SF_LARGER)
+
+
 def rows_of(pdf):
     """Rows as sorted tuples of texts, columns by name; floats to nine decimals."""
     cols = sorted(pdf.columns)
