@@ -22,6 +22,8 @@ HIDDEN, SEGMENT, STEPS, BATCH = 12, 24, 1500, 192
 MEMORY = 200_000
 #: The pipeline rejects documents below this score; uniform over four languages is 0.25.
 REJECT_BELOW = 0.3
+#: The model to give where training found nothing to learn from; None asks for training.
+NOTHING = "nothing learned"
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -212,8 +214,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -
     return model
 
 
-def identify(docs: DataFrame, model: ByteGru | None = None, keep_text: bool = True) -> DataFrame:
-    """docs with held_out, lang_pred and score; one row for each row; without a model, one is trained on docs.
+def identify(docs: DataFrame, model: ByteGru | str | None = None, keep_text: bool = True) -> DataFrame:
+    """docs with held_out, lang_pred and score; one row for each row; without a model, one is trained on docs; NOTHING: none is.
 
     Every byte of the whole text but white space is labelled; a segment's probabilities depend on it alone, so each
     distinct segment is labelled once per worker. The text decides alone: lang, source and doc_id are no inputs.
@@ -223,7 +225,7 @@ def identify(docs: DataFrame, model: ByteGru | None = None, keep_text: bool = Tr
     columns stay; an empty table gives an empty one.
     """
     prepare(docs.sparkSession)
-    model = model or train(docs)
+    model = train(docs) if model is None else None if model == NOTHING else model
     added = ["held_out", "lang_pred", "score"]
     inner, restore = shield(docs, ["doc_id", "text"])
     rows = inner.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("_letters", F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
@@ -251,8 +253,10 @@ def identify(docs: DataFrame, model: ByteGru | None = None, keep_text: bool = Tr
 
 def keep_identified(docs: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """docs without those that language ID rejects: undetermined ones, and scores below reject_below."""
+    prepare(docs.sparkSession)
+    model = train(docs)
     inner, restore = shield(docs, ["doc_id", "text"])
-    out = identify(inner, train(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= reject_below))
+    out = identify(inner, NOTHING if model is None else model).where((F.col("lang_pred") != "und") & (F.col("score") >= reject_below))
     return restore(out, [])
 
 
