@@ -20,8 +20,8 @@ MAX_LANGUAGES = 500
 HIDDEN, SEGMENT, STEPS, BATCH = 12, 24, 1500, 192
 #: Segments in each half of a worker's memory.
 MEMORY = 200_000
-#: The pipeline rejects documents below this score; uniform over four languages is 0.25.
-REJECT_BELOW = 0.3
+#: Held-out documents of each language that the pipeline's rejection score is taken from, about, and the share of those labelled right that may lie below their end.
+JUDGED_DOCS, LOW_SHARE = 200, 0.001
 #: The model to give where training found nothing to learn from; None asks for training.
 NOTHING = "nothing learned"
 
@@ -251,12 +251,31 @@ def identify(docs: DataFrame, model: ByteGru | str | None = None, keep_text: boo
     return restore(out, added) if keep_text else out
 
 
-def keep_identified(docs: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
-    """docs without those that language ID rejects: undetermined ones, and scores below reject_below."""
+def rejection_score(docs: DataFrame, model: ByteGru) -> float:
+    """The score below which a document is rejected: halfway from uniform to the lowest scores of held-out documents labelled right.
+
+    Uniform is one over the number of learned languages and the least that a best language can score. Without such
+    documents nothing but uniform is known, and no score is rejected.
+    """
+    uniform = 1 / len(model.languages) * (1 - 1e-6)
+    own = docs.where(F.col("lang").isin(model.languages) & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & held_out(F.col("doc_id")))
+    counts = own.groupBy("lang").count().collect()
+    if not counts:
+        return uniform
+    shares = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, JUDGED_DOCS / r["count"])))))
+    few = own.where(F.pmod(F.xxhash64(F.lit("judged"), "doc_id"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30))
+    right = identify(few.select("doc_id", "lang", "text"), model).where("lang_pred = lang").agg(F.percentile("score", LOW_SHARE)).first()[0]
+    return uniform if right is None else (uniform + right) / 2
+
+
+def keep_identified(docs: DataFrame, reject_below: float | None = None) -> DataFrame:
+    """docs without those that language ID rejects: undetermined ones, and scores below reject_below or else rejection_score()."""
     prepare(docs.sparkSession)
     model = train(docs)
+    if model is not None and reject_below is None:
+        reject_below = rejection_score(docs, model)
     inner, restore = shield(docs, ["doc_id", "text"])
-    out = identify(inner, NOTHING if model is None else model).where((F.col("lang_pred") != "und") & (F.col("score") >= reject_below))
+    out = identify(inner, NOTHING if model is None else model).where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(reject_below or 0.0)))
     return restore(out, [])
 
 

@@ -16,3 +16,19 @@ def test_stages_without_labels_or_rows(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / name / "documents.parquet"))
         assert langid.keep_identified(docs).columns == docs.columns and langid.keep_identified(docs).count() == 0
         assert corpus_pipeline.run(spark, str(tmp_path / name)).count() == 0
+
+
+def test_rejection_score_follows_the_languages(spark, tmp_path, monkeypatch):
+    """With two languages the best mean is at least 0.5, so a text between both lies below the score only if that is above 0.5."""
+    rng = random.Random(2)
+    rows = [(k, " ".join(rng.choice(["abba", "baab", "aab"] if k % 2 else ["xyzzy", "zyx", "yzz"]) for _ in range(30)), "aa" if k % 2 else "xx", "a", 1) for k in range(300)]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    model = langid.train(docs, steps=150)
+    score = langid.rejection_score(docs, model)
+    held = langid.identify(docs, model).where("held_out AND lang_pred = lang").agg(F.min("score")).first()[0]
+    assert 0.5 < score < held
+    mixed = langid.ByteGru(["aa", "xx"])
+    mixed.p["out"][:] = 0
+    assert abs(langid.identify(docs, mixed).first()["score"] - 0.5) < 1e-6 < score - 0.5
+    assert langid.rejection_score(docs.where(~langid.held_out(F.col("doc_id"))), model) < 0.5
