@@ -17,11 +17,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 1000
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Make the session ready: a checkpoint folder if none is set, small Arrow batches, this code on the workers' path."""
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which all machines share. Only a local master may do without: a folder of this machine then stands in."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        if not given and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
+    return sc.getCheckpointDir()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make the session ready: a checkpoint folder, small Arrow batches, this code on the workers' path."""
+    sc = spark.sparkContext
+    shared_folder(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -33,7 +43,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared checkpoint folder and read it back: computed once, safe if an executor is lost."""
     spark = prepare(df.sparkSession)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -46,8 +56,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df if it is a plain scan of files, whose rows come in the same order each time; else df written and read back.
+
+    Operators that number rows in one pass and join by that number in another need this.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plain = "FileScan" in plan and not any(x in plan for x in ("Exchange", "InMemoryTableScan", "Sample", "Scan ExistingRDD"))
+    return df if plain else materialise(df, "stored")
+
+
 def row_ordinal() -> Column:
-    """A number for each row of a scan. Files are read in the same order each time, so two scans agree."""
+    """A number for each row of a scan; see stored()."""
     return F.monotonically_increasing_id()
 
 
@@ -63,14 +83,16 @@ def shield(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[Dat
     """docs as the needed columns and one struct with all others, so that no name of the caller's meets an operator's own.
 
     The second value puts the columns back in their order, before those that the operator adds; columns of docs with
-    an added name are left out.
+    an added name are left out. Names are compared without case, as Spark does.
     """
-    extra = [c for c in docs.columns if c not in needed]
-    packed = [F.struct(*(F.col(f"`{c}`") for c in extra)).alias("_extra")] if extra else []
-    inner = docs.select(*(c for c in needed if c in docs.columns), *packed)
+    own = {c.lower(): c for c in docs.columns if c.lower() in needed}
+    extra = [c for c in docs.columns if c.lower() not in own]
+    packed = [F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(extra))).alias("_extra")] if extra else []
+    inner = docs.select(*(F.col(f"`{own[c]}`").alias(c) for c in needed if c in own), *packed)
+    place = {c: F.col("_extra").getField(f"_{i}").alias(c) for i, c in enumerate(extra)} | {name: F.col(c).alias(name) for c, name in own.items()}
 
     def restore(out: DataFrame, added: list[str]) -> DataFrame:
-        own = [F.col("_extra").getField(c).alias(c) if c in extra else F.col(c) for c in docs.columns if c not in added]
-        return out.select(*own, *added)
+        taken = {c.lower() for c in added}
+        return out.select(*(place[c] for c in docs.columns if c.lower() not in taken), *added)
 
     return inner, restore

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_ordinal, shield
+from .common import row_ordinal, shield, stored
 
 _ADDED = ["keep_id", "group_size", "kept", "text_sha256"]
 
@@ -19,8 +19,7 @@ def exact_dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
     back; should two texts share both hashes, the query stops with an error and merges nothing.
 
     keep: "largest" or "smallest" doc_id stays. Null text counts as the empty text. Null doc_ids rank after all
-    others. Of rows that share the doc_id that stays, exactly one is kept. docs should be a table on storage (its
-    row order is used to tell repeated rows apart). Columns of docs with the added
+    others. Of rows that share the doc_id that stays, exactly one is kept. Columns of docs with the added
     names are replaced, all others stay; an empty table gives an empty one.
     """
     if keep not in ("largest", "smallest"):
@@ -28,7 +27,7 @@ def exact_dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
     sign = 1 if keep == "largest" else -1
     text = F.coalesce(F.col("text"), F.lit(""))
     rank = F.coalesce(F.col("doc_id") * sign, F.lit(-(2**63)))
-    inner, restore = shield(docs, ["doc_id", "text"])
+    inner, restore = shield(stored(docs), ["doc_id", "text"])
     rows = inner.withColumns({"_md5": F.unhex(F.md5(text)), "_sha": F.unhex(F.sha2(text, 256)), "_ord": row_ordinal()})
     texts = rows.select("_md5", "_sha", text.alias("_text"), "doc_id", rank.alias("_rank"), "_ord").groupBy("_md5", "_sha", "_text").agg(F.count("*").alias("n"), F.max("_rank").alias("r"), F.max_by("_ord", "_rank").alias("o"), F.max_by("doc_id", "_rank").alias("id"))
     one = F.when(F.count("*") > 1, F.raise_error(F.lit("two texts share md5 and sha256"))).otherwise(F.sum("n"))

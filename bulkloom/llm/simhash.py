@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, materialise, prepare, row_ordinal, shield, shuffle_parts
+from .common import broadcast_if_small, materialise, prepare, row_ordinal, shield, stored, shuffle_parts
 from .components import Forest, connected_components
 
 BITS = 64
@@ -243,7 +243,7 @@ def label(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
     Rows with one fingerprint collapse before any join, so groups of copies cost one row per task; texts leave the JVM
     once and are never shuffled.
     """
-    keys = materialise(with_fingerprints(docs.select("doc_id", "text", row_ordinal().alias("_ord")), words), "prints")
+    keys = materialise(with_fingerprints(stored(docs).select("doc_id", "text", row_ordinal().alias("_ord")), words), "prints")
     prints = materialise(keys.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumns({"node": F.col("fp"), "check": F.lit(0).cast("long")}), "distinct-prints")
     parts = connected_components(near_prints(prints.select("node", "fp", "check"), distance)).withColumnRenamed("node", "_node")
     labelled = prints.join(parts, F.col("fp") == F.col("_node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
@@ -257,9 +257,9 @@ def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFr
 
     A text without words, null or empty, has fingerprint zero and links like others. Null doc_ids rank after all others;
     a component of nulls alone has id null. Repeated doc_ids and rows, extra columns and empty tables are fine; columns
-    with the added names are replaced. docs should be a table on storage: its row order joins labels to rows.
+    with the added names are replaced.
     """
-    inner, restore = shield(docs, ["doc_id", "text"])
+    inner, restore = shield(stored(docs), ["doc_id", "text"])
     found = label(inner, words, distance).select("_ord", "fingerprint", "component_id")
     return restore(inner.withColumn("_row", row_ordinal()).join(found, F.col("_row") == F.col("_ord")), ["fingerprint", "component_id"])
 
