@@ -33,6 +33,10 @@ _KINDS = [
     {"kind": "assign", "rank": 0, "group": 1, "least": 6, "re": r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""},
     {"kind": "access", "rank": 1, "group": 0, "least": 20, "re": "AKIA[A-Z0-9]+"},
     {"kind": "hex", "rank": 2, "group": 0, "least": 24, "re": "[0-9a-f]{24,}"},
+    {"kind": "pem", "rank": 3, "group": 0, "least": 0, "re": "-----BEGIN [A-Z ]*PRIVATE KEY-----"},
+    {"kind": "forge", "rank": 4, "group": 0, "least": 0, "re": "gh[pousr]_[A-Za-z0-9]{36,}"},
+    {"kind": "chat", "rank": 5, "group": 0, "least": 0, "re": "xox[abprs]-[A-Za-z0-9-]{10,}"},
+    {"kind": "cloud", "rank": 6, "group": 0, "least": 0, "re": "AIza[0-9A-Za-z_-]{35}"},
 ]
 ORACLE_SQL["op5_secrets"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -40,8 +44,8 @@ f AS ({" UNION ALL ".join(_SPANS.format(**k) for k in _KINDS)}),
 e AS (SELECT doc_id, kind, rank, m, x, g, least, unnest(generate_series(1, len(m))) AS i FROM f),
 p AS (SELECT doc_id, kind, rank, length(x[i]) >= least AS good, list_sum(list_transform(g[1:i], lambda y: length(y)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0)::BIGINT AS s, length(m[i]) AS n FROM e),
 a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
-  string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) AS spans FROM p WHERE good GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+  string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) AS spans, string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) FILTER (rank < 3) AS base FROM p WHERE good GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a ON d.doc_id = a.doc_id
 """
 
@@ -55,3 +59,14 @@ u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 r AS (SELECT u.doc_id, count(*) AS n, count(g.i) AS gone, coalesce(string_agg(u.word, ' ' ORDER BY u.i) FILTER (g.i IS NULL), '') AS kept FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.i = g.i GROUP BY u.doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r ON d.doc_id = r.doc_id
 """
+
+ORACLE_SQL["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, label, list_dot_product(e, e) AS s FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_dot_product(a.e, b.e) / sqrt(a.s * b.s) >= 0.93),
+r(a, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.c = l.a),
+m AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.a AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.component_id::BIGINT AS component_id, m.a = m.component_id AS kept FROM m LEFT JOIN n ON m.a = n.a
+"""
