@@ -9,15 +9,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, materialise, prepare, row_ordinal, shield, shuffle_parts
+from .common import WORD, broadcast_if_small, materialise, prepare, row_ordinal, shield, stored, shuffle_parts
 
-#: Words of a window, and of the short prefixes by which suffixes are first split.
+#: Words of a window, and the most words of a prefix before it is the whole window.
 WINDOW, PREFIX = 20, 6
-#: Suffixes that a short prefix may have; those of a more frequent one are split by the longest prefix, the whole window.
+#: Suffixes at anchors that a subtree may have; the prefix of a larger one grows.
 SUBTREE = 2_000
+#: Documents of which the growth of prefixes is learned, about.
+SAMPLE_DOCS = 1_000
 #: Pieces that a task remembers, to send equal ones once.
 REMEMBERED = 60_000
 #: Rows of whole copies are broadcast up to so many.
@@ -56,18 +59,21 @@ def _sliding_least(run: np.ndarray, width: int) -> np.ndarray:
     return (least & np.uint64((1 << int(_PLACE_BITS)) - 1)).astype(np.int64)
 
 
-def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, first window, last window) of each anchor of the words.
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def anchors(h: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, first window, last window) of each anchor of words with hashes h.
 
     The anchor of a window is that one of its runs of `prefix` words with the least hash, the leftmost of equals. It depends on
     the window's words alone, so equal windows have equal anchors at equal offsets: to find all repeats it is enough
-    to build trees over the suffixes at anchors, about one word in eight, and each window belongs to one anchor.
+    to sort out the suffixes at anchors, about one word in eight, and each window belongs to one anchor.
     """
-    n = len(words)
+    n = len(h)
     if n < window:
         none = np.zeros(0, np.int64)
         return none, none.astype(np.uint64), none, none
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)
     runs = n - prefix + 1
     run = np.zeros(runs, np.uint64)
     for k in range(prefix):
@@ -81,24 +87,106 @@ def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX) -> t
     return least[first], run[least[first]], first, last
 
 
-def equal_windows(words: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """A class number for each of starts; two are equal exactly if the `window` words there are.
+def grown_prefixes(h: np.ndarray, at: np.ndarray, grow: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, words) of the prefix of each suffix at `at`: it grows word by word while it is among those that grow.
 
-    words are numbers, equal exactly for equal words. This is the subtree cut at depth `window`: suffixes are ranked by
-    1, 2, 4, ... words, each rank from two shorter ones, as when a suffix tree is built from sorted suffixes; suffixes of
-    equal rank at that depth lie below one internal node.
+    grow[k]: sorted hashes of the prefixes of k + 1 words that hold too many suffixes. The prefixes so chosen are free
+    of one another: each suffix has one, and suffixes that share PREFIX words share theirs.
+    """
+    key, size = h[at].copy(), np.ones(len(at), np.int64)
+    open_ = np.arange(len(at))
+    for k, large in enumerate(grow):
+        if not len(open_) or not len(large):
+            break
+        found = np.minimum(np.searchsorted(large, key[open_]), len(large) - 1)
+        open_ = open_[large[found] == key[open_]]
+        key[open_] = key[open_] * _B + h[at[open_] + k + 1]
+        size[open_] += 1
+    return key ^ (size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), size
+
+
+def prefixes_that_grow(docs: DataFrame, window: int = WINDOW) -> list[np.ndarray]:
+    """For 1, 2, ... PREFIX - 1 words: the prefixes that more than SUBTREE suffixes at anchors have, as hashes.
+
+    Estimated from whole documents, about SAMPLE_DOCS of them, chosen by hash: the prefixes only decide which subtree a suffix
+    goes to, any choice finds all repeats. What comes back is bounded by the sample.
+    """
+    n = docs.count()
+    share = min(1.0, SAMPLE_DOCS / max(n, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list[np.ndarray]] = [[np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]]
+            for text in batch.column(0).to_pylist():
+                h = hashes_of((text or "").encode().split())
+                at, _, _, _ = anchors(h, window)
+                key = h[at]
+                for k in range(PREFIX - 1):
+                    rows[0].append(np.full(len(at), k, np.int32))
+                    rows[1].append(key)
+                    key = key * _B + h[at + k + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows[0])), pa.array(np.concatenate(rows[1]).view(np.int64))], names=["k", "key"])
+
+    some = docs.where(F.pmod(F.xxhash64(F.lit("prefixes"), "rid"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+    large = some.mapInArrow(run, "k int, key long").groupBy("k", "key").count().where(F.col("count") > max(1.0, SUBTREE * share)).collect()
+    return [np.sort(np.array([r["key"] for r in large if r["k"] == k], np.int64).view(np.uint64)) for k in range(PREFIX - 1)]
+
+
+class SuffixTree:
+    """The suffix tree of some pieces, as sorted suffixes and what each shares with the next.
+
+    words are numbers, equal exactly for equal words, of all pieces one after another; ends[i] is the end of the piece
+    of place i. Suffixes that start at `starts` are sorted: all places are ranked by 1, 2, 4, ... words, each rank from two
+    shorter ones, up to the longest piece. The ranks give the longest common prefix of neighbours too, and with it the
+    internal nodes: a node of depth d is a run of sorted suffixes whose neighbours share d words or more.
     """
-    n, depth, rank = len(words), 1, words.astype(np.int64)
-    while depth * 2 <= window:
-        joined = rank[: n - depth] * (int(rank.max(initial=0)) + 1) + rank[depth:]
-        n -= depth
-        rank = np.unique(joined, return_inverse=True)[1].astype(np.int64)
-        depth *= 2
-        n = len(rank)
-    if depth == window:
-        return rank[starts]
-    pair = rank[starts] * (int(rank.max(initial=0)) + 1) + rank[starts + window - depth]
-    return np.unique(pair, return_inverse=True)[1]
+
+    def __init__(self, words: np.ndarray, ends: np.ndarray, starts: np.ndarray):
+        places = np.arange(len(words))
+        longest, depth = int((ends - places).max(initial=0)), 1
+        ranks = [np.unique(words, return_inverse=True)[1].astype(np.int64) + 1]
+        while depth < longest:
+            rank = ranks[-1]
+            after = np.minimum(places + depth, len(words) - 1)
+            pair = rank * (len(words) + 2) + np.where(places + depth < ends, rank[after], 0)
+            ranks.append(np.unique(pair, return_inverse=True)[1].astype(np.int64) + 1)
+            depth *= 2
+        self.order = np.argsort(ranks[-1][starts], kind="stable")
+        sorted_ = starts[self.order]
+        a, b = sorted_[:-1].copy(), sorted_[1:].copy()
+        end_a, end_b = ends[a], ends[b]
+        shared = np.zeros(len(a), np.int64)
+        for level in range(len(ranks) - 1, -1, -1):
+            rank, inside = ranks[level], (a < end_a) & (b < end_b)
+            same = inside & (rank[np.minimum(a, len(words) - 1)] == rank[np.minimum(b, len(words) - 1)])
+            step = same * (1 << level)
+            a, b, shared = a + step, b + step, shared + step
+        self.shared = np.minimum(shared, np.minimum(end_a - sorted_[:-1], end_b - sorted_[1:]))
+
+    def deep_nodes(self, least: int) -> np.ndarray:
+        """For each of `starts`: the uppermost internal node of depth `least` or more above it, as a number; -1 where there is none.
+
+        What lies below such a node repeats its first `least` words; nodes further down repeat more.
+        """
+        deep = self.shared >= least
+        node = np.cumsum(np.concatenate([[True], ~deep])) - 1
+        alone = ~(np.concatenate([[False], deep]) | np.concatenate([deep, [False]]))
+        out = np.empty(len(self.order), np.int64)
+        out[self.order] = np.where(alone, -1, node)
+        return out
+
+    def internal_nodes(self, least: int) -> list[tuple[int, np.ndarray]]:
+        """(depth, places in `starts` below it) of every internal node of depth `least` or more, upper ones after those below them."""
+        out, open_ = [], []  # open nodes as (depth, first place in order)
+        for i, depth in enumerate([*self.shared.tolist(), 0]):
+            first = i
+            while open_ and open_[-1][0] > depth:
+                d, first = open_.pop()
+                if d >= least:
+                    out.append((d, np.sort(self.order[first : i + 1])))
+            if depth and (not open_ or open_[-1][0] < depth):
+                open_.append((depth, first))
+        return out
 
 
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -108,7 +196,7 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             keys, rids, places = [], [], []
             for rid, text in zip(batch.column(0).to_numpy(), batch.column(1).to_pylist(), strict=True):
-                at, key, _, _ = anchors((text or "").encode().split(), window)
+                at, key, _, _ = anchors(hashes_of((text or "").encode().split()), window)
                 keys.append(key.view(np.int64))
                 rids.append(np.full(len(at), rid))
                 places.append(at.astype(np.int32))
@@ -117,22 +205,26 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(run, "key long, rid long, at int")
 
 
-_PIECE = {"key": pa.int64(), "id": pa.int64(), "rid": pa.int64(), "at": pa.int32(), "n": pa.int32(), "words": pa.binary()}
+_PIECE = {"key": pa.int64(), "no_id": pa.bool_(), "id": pa.int64(), "rid": pa.int64(), "at": pa.int32(), "n": pa.int32(), "words": pa.binary()}
 
 
 class _Pieces:
-    """Pieces of one task on their way out; of equal ones only the earliest is sent, the windows of the others are known to be later."""
+    """Pieces of one task on their way out; of equal ones only the earliest is sent with its words, the windows of the others are known to be later."""
 
-    def __init__(self):
+    def __init__(self, collapse: bool):
         self.rows: list[list] = [[] for _ in _PIECE]
-        self.seen: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
+        self.seen: dict[tuple[int, bytes], tuple] = {}
+        self.collapse = collapse
 
     def _put(self, key, place, words) -> None:
         for column, value in zip(self.rows, (key, *place, words), strict=True):
             column.append(value)
 
-    def add(self, key: int, place: tuple[int, int, int, int], words: bytes) -> None:
-        """place: (id, rid, at, n) of a piece with n windows."""
+    def add(self, key: int, place: tuple, words: bytes) -> None:
+        """place: (no_id, id, rid, at, n) of a piece with n windows."""
+        if not self.collapse:
+            self._put(key, place, words)
+            return
         old = self.seen.setdefault((key, words), place)
         if old is place:
             if len(self.seen) > REMEMBERED:
@@ -140,7 +232,7 @@ class _Pieces:
             return
         early, late = min(old, place), max(old, place)
         self.seen[key, words] = early
-        self._put(late[1], late, None)
+        self._put(late[2], late, None)
 
     def flush(self) -> None:
         for (key, words), place in self.seen.items():
@@ -152,76 +244,102 @@ class _Pieces:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _PIECE.values(), strict=True)], names=list(_PIECE))
 
 
-def _pieces(docs: DataFrame, window: int) -> DataFrame:
-    """(key, id, rid, at, n, words): of docs(rid, id, text, some), for each anchor among `some`, the words that its n windows cover.
+def _pieces(docs: DataFrame, grow: list[np.ndarray], window: int, collapse: bool) -> DataFrame:
+    """(key, no_id, id, rid, at, n, words): of docs(rid, no_id, id, text, some), for each anchor among `some`, the words that its n windows cover.
 
-    some holds 2 x place, plus 1 where the prefix is frequent: there each window goes by itself, keyed by all its words.
-    Rows without words are windows that a piece of the same task has shown to be later.
+    key is that of the anchor suffix's prefix. some holds 2 x place, plus 1 where even PREFIX words are too frequent: there each window
+    goes by itself, with all its words for a prefix. Rows without words are windows that a piece of the same task has shown to be later.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Pieces()
+        out = _Pieces(collapse)
         for batch in batches:
-            for rid, doc, text, some in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for rid, no_id, doc, text, some in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 words = text.encode().split()
-                at, key, first, last = anchors(words, window)
+                h = hashes_of(words)
+                at, _, first, last = anchors(h, window)
                 some = np.sort(np.array(some, np.int64))
                 where = np.searchsorted(at, some >> 1)
-                for k, s, e, hot in zip(key[where].view(np.int64).tolist(), first[where].tolist(), last[where].tolist(), (some & 1).tolist(), strict=True):
+                key, _ = grown_prefixes(h, at[where], grow)
+                for k, s, e, hot in zip(key.view(np.int64).tolist(), first[where].tolist(), last[where].tolist(), (some & 1).tolist(), strict=True):
                     if hot:
                         for w in range(s, e + 1):
                             piece = b" ".join(words[w : w + window])
-                            out.add(xxhash.xxh64_intdigest(piece) - (1 << 63), (doc, rid, w, 1), piece)
+                            out.add(xxhash.xxh64_intdigest(piece) - (1 << 63), (no_id, doc, rid, w, 1), piece)
                     else:
-                        out.add(k, (doc, rid, s, e - s + 1), b" ".join(words[s : e + window]))
+                        out.add(k, (no_id, doc, rid, s, e - s + 1), b" ".join(words[s : e + window]))
             yield out.take()
         out.flush()
         yield out.take()
 
-    return docs.select("rid", "id", "text", "some").mapInArrow(run, "key long, id long, rid long, at int, n int, words binary")
+    return docs.select("rid", "no_id", "id", "text", "some").mapInArrow(run, "key long, no_id boolean, id long, rid long, at int, n int, words binary")
+
+
+_LATER = "rid long, at int, n int, of_rid long, of_at int"
 
 
 def _later_in_subtrees(table: pa.Table, window: int) -> pa.RecordBatch:
-    """(rid, at, n) of windows that also start earlier, for whole subtrees; rows come by key, id, rid, at.
+    """(rid, at, n, of_rid, of_at) of windows that also start earlier, for whole subtrees; rows come by key, no_id, id, rid, at.
 
-    A piece equal to one before it in its subtree is later as a whole. A subtree of one piece has no node to look for.
+    of_rid and of_at say where a window starts first, null for those that are only known to be later. A piece equal to
+    one before it in its subtree is later as a whole. A subtree of one piece has no node to look for.
     """
     key, rid, at, n = (table[k].to_numpy() for k in ("key", "rid", "at", "n"))
     texts = table["words"].to_pylist()
     known = np.fromiter((t is None for t in texts), bool, len(texts))
-    seen: set[tuple[int, bytes]] = set()
+    seen: dict[tuple[int, bytes], int] = {}
     new: list[int] = []
+    equal: list[tuple[int, int]] = []
     for i in np.nonzero(~known)[0].tolist():
-        piece = (int(key[i]), texts[i])
-        if piece in seen:
-            known[i] = True
-        else:
-            seen.add(piece)
+        old = seen.setdefault((int(key[i]), texts[i]), i)
+        if old == i:
             new.append(i)
-    out = [(rid[known], at[known].astype(np.int32), n[known].astype(np.int32))]
-    rows = np.array(new, np.int64)
+        else:
+            equal.append((i, old))
+    none = np.full(int(known.sum()), -1)
+    out = [(rid[known], at[known], n[known], none, none)]
+    rows, twins = np.array(new, np.int64), np.array(equal, np.int64).reshape(-1, 2)
+    source_rid, source_at = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each window of rows, where it starts first
+    own = n[rows].astype(np.int64)
     if len(rows):
+        row = np.repeat(np.arange(len(rows)), own)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
+        source_rid, source_at = rid[rows][row], at[rows][row] + step
         edge = np.concatenate([[True], key[rows][1:] != key[rows][:-1], [True]])
-        rows = rows[~(edge[:-1] & edge[1:])]  # windows of one piece have different offsets from its anchor, so they differ
-    if len(rows):
-        split = [texts[i].split() for i in rows.tolist()]
+        shared = ~(edge[:-1] & edge[1:])  # windows of one piece have different offsets from its anchor, so they differ
+        split = [texts[i].split() for i in rows[shared].tolist()]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         names: dict[bytes, int] = {}
         number = np.fromiter((names.setdefault(w, len(names)) for words in split for w in words), np.int64, int(sizes.sum()))
-        own = n[rows].astype(np.int64)
         begin = np.cumsum(sizes) - sizes
-        row = np.repeat(np.arange(len(rows)), own)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
-        kind = equal_windows(number, begin[row] + step, window)
-        later = np.ones(len(row), bool)
-        later[np.unique(kind, return_index=True)[1]] = False  # rows are in document order within a subtree, and equal windows share theirs
-        row, step = row[later], step[later]
-        out.append((rid[rows][row], (at[rows][row] + step).astype(np.int32), np.ones(len(row), np.int32)))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["rid", "at", "n"])
+        inside = np.nonzero(shared[row])[0]
+        if len(inside):
+            place = np.cumsum(shared) - 1
+            node = SuffixTree(number, np.repeat(begin + sizes, sizes), begin[place[row[inside]]] + step[inside]).deep_nodes(window)
+            below = inside[node >= 0]
+            node = node[node >= 0]
+            _, first, of = np.unique(node, return_index=True, return_inverse=True)  # rows are in document order, so the first place below a node is the earliest
+            source = below[first][of]
+            source_rid[below], source_at[below] = source_rid[source], source_at[source]
+        later = (source_rid != rid[rows][row]) | (source_at != at[rows][row] + step)
+        out.append((rid[rows][row][later], (at[rows][row] + step)[later], np.ones(int(later.sum()), np.int64), source_rid[later], source_at[later]))
+    if len(twins):
+        begin = np.zeros(len(texts), np.int64)
+        begin[rows] = np.cumsum(own) - own
+        late, early = twins[:, 0], twins[:, 1]
+        count = n[late].astype(np.int64)
+        row = np.repeat(np.arange(len(twins)), count)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        window_of = begin[early][row] + step
+        out.append((rid[late][row], at[late][row] + step, np.ones(len(row), np.int64), source_rid[window_of], source_at[window_of]))
+    made = [np.concatenate(c) for c in zip(*out, strict=True)]
+    unknown = made[3] < 0
+    arrays = [pa.array(made[0], pa.int64()), pa.array(made[1].astype(np.int32)), pa.array(made[2].astype(np.int32)), pa.array(made[3].astype(np.int64), pa.int64(), mask=unknown), pa.array(made[4].astype(np.int32), pa.int32(), mask=unknown)]
+    return pa.RecordBatch.from_arrays(arrays, names=["rid", "at", "n", "of_rid", "of_at"])
 
 
 def _subtrees(pieces: DataFrame, window: int) -> DataFrame:
-    """(rid, at, n): n windows from `at` on that also start earlier, subtree by subtree; a batch's last subtree waits for the next batch."""
+    """(rid, at, n, of_rid, of_at): n windows from `at` on that also start earlier, subtree by subtree; a batch's last subtree waits for the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -242,18 +360,73 @@ def _subtrees(pieces: DataFrame, window: int) -> DataFrame:
             yield _later_in_subtrees(pa.Table.from_batches(waiting), window)
 
     parts = shuffle_parts(pieces.sparkSession)
-    return pieces.repartition(parts, "key").sortWithinPartitions("key", "id", "rid", "at").mapInArrow(run, "rid long, at int, n int")
+    return pieces.repartition(parts, "key").sortWithinPartitions("key", "no_id", "id", "rid", "at").mapInArrow(run, _LATER)
+
+
+def whole_copies(texts: DataFrame) -> DataFrame:
+    """(_copy, of): rows of texts(rid, no_id, id, text) whose text, byte for byte, is that of the earlier row `of`.
+
+    Rows group by 128-bit hash; the texts of hashes that occur again are compared by grouping on them. A hash that two different texts
+    share is left to the windows.
+    """
+    hashed = materialise(texts.where("text IS NOT NULL").select("rid", "no_id", "id", F.unhex(F.md5("text")).alias("h")), "hashes")
+    again = broadcast_if_small(materialise(hashed.groupBy("h").count().where("count > 1").select(F.col("h").alias("_h")), "hashes-again"), MAX_BROADCAST)
+    same = texts.where("text IS NOT NULL").withColumn("h", F.unhex(F.md5("text"))).join(again, F.col("h") == F.col("_h"), "left_semi")
+    same = same.groupBy("h", "text").agg(F.min(F.struct("no_id", "id", "rid")).alias("first"))
+    first = same.groupBy("h").agg(F.min("first").alias("first"), F.count("*").alias("c")).where("c = 1")
+    first = first.select(F.unhex(F.hex("h")).alias("_h"), F.col("first.rid").alias("of"))  # computed, for the reason given below
+    return hashed.join(first, F.col("h") == F.col("_h")).where("rid <> of").select(F.col("rid").alias("_copy"), "of")
+
+
+def _found(texts: DataFrame, window: int, collapse: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(windows that also start earlier, whole copies, texts dealt by rid) of texts(rid, no_id, id, text)."""
+    copies = materialise(whole_copies(texts), "copies")
+    single = texts.join(broadcast_if_small(copies, MAX_BROADCAST), F.col("rid") == F.col("_copy"), "left_anti")
+    found = materialise(_anchor_rows(single, window), "anchors")
+    # a computed key on one side has both sides shuffled for the join, so that the rows of a frequent key can be split
+    often = found.groupBy("key").count().where("count > 1").select(F.bitwise_not(F.bitwise_not("key")).alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
+    some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("some")).select(F.col("rid").alias("_rid"), "some")
+    dealt = texts.repartition(shuffle_parts(texts.sparkSession), "rid")
+    pieces = _pieces(dealt.join(some, F.col("rid") == F.col("_rid")), prefixes_that_grow(texts, window), window, collapse)
+    return _subtrees(pieces, window), copies, dealt
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    return rows.select("rid", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text")
+
+
+def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, at, n_words, of_doc_id, of_at): the maximal repeats of docs, each with the place where its words stand first.
+
+    A window below a deep node repeats the earliest window below it. Windows that follow one another and repeat
+    windows that follow one another are one repeat, as long as they go on, so it can be grown at neither end. A row
+    that is a whole copy is one repeat of the first such row, from its first word to its last.
+    """
+    prepare(docs.sparkSession)
+    inner, _ = shield(stored(docs), ["doc_id", "text"])
+    rows = inner.withColumn("rid", row_ordinal())
+    later, copies, _ = _found(_texts(rows), window, collapse=False)
+    by_place = W.partitionBy("rid", "of_rid", F.col("of_at") - F.col("at")).orderBy("at")
+    runs = later.withColumn("_run", F.col("at") - F.row_number().over(by_place)).groupBy("rid", "of_rid", (F.col("of_at") - F.col("at")).alias("_off"), "_run")
+    found = runs.agg(F.min("at").alias("at"), (F.count("*") + window - 1).alias("n_words")).select("rid", "at", "n_words", "of_rid", (F.col("at") + F.col("_off")).alias("of_at"))
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    whole = copies.join(rows, F.col("_copy") == F.col("rid")).select("rid", F.lit(0).alias("at"), words.alias("n_words"), F.col("of").alias("of_rid"), F.lit(0).alias("of_at")).where("n_words > 0")
+    named = rows.select(F.col("rid").alias("_rid"), "doc_id")
+    out = found.union(whole).join(named, F.col("rid") == F.col("_rid")).drop("_rid")
+    return out.join(named.withColumnRenamed("doc_id", "of_doc_id"), F.col("of_rid") == F.col("_rid")).select("doc_id", "at", "n_words", "of_doc_id", "of_at")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True) -> DataFrame:
     """docs with n_words, n_removed, kept (the words left, joined by one space) and kept_sha256; one row for each row.
 
-    0. Rows whose whole text equals that of an earlier row, by 128-bit hash, are later from start to end.
-    1. Anchors of all other rows are counted; those that occur once can't lie in a repeat.
-    2. For the others, the words that their windows cover move to one subtree by the anchor's words, a short prefix.
-       Suffixes of prefixes with more than SUBTREE occurrences are split by the longest prefix, the whole window.
-       Of equal pieces a task sends one, so that a passage in a third of all rows costs a few rows per task.
-    3. Each subtree is built in memory from the words themselves; what lies below one node at depth `window` repeats.
+    0. Rows whose whole text equals that of an earlier row, byte for byte, are later from start to end.
+    1. The suffixes at anchors of all other rows are counted; those whose first words occur once can't lie in a repeat.
+    2. The others are split by prefixes of variable length: a prefix grows word by word, up to PREFIX words, while more than
+       SUBTREE suffixes have it; where even then more do, the whole window is the prefix. With a suffix go the
+       words that its anchor's windows cover. Of equal pieces a task sends one, so that a passage in a third of all
+       rows costs a few rows per task.
+    3. Each subtree is built in memory from the words themselves: sorted suffixes with what neighbours share. Below
+       its internal nodes of depth `window` or more lie the windows that repeat; repeats() gives them as passages.
 
     A word goes if a window of `window` words over it also starts earlier: in a row with a smaller doc_id, or sooner in the
     same row. Windows are judged on the input. Rows with equal doc_ids are in the order of the scan; null doc_ids come
@@ -262,26 +435,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     """
     spark = prepare(docs.sparkSession)
     added = ["n_words", "n_removed", "kept", "kept_sha256"]
-    inner, restore = shield(docs, ["doc_id", "text"])
+    inner, restore = shield(stored(docs), ["doc_id", "text"])
     names = inner.columns
     rows = inner.withColumn("rid", row_ordinal())
-    texts = rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "text")
     parts = shuffle_parts(spark)
-    hashed = texts.where("text IS NOT NULL").select("rid", "id", F.unhex(F.md5("text")).alias("h"))
-    first = hashed.groupBy("h").agg(F.min(F.struct("id", "rid")).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.unhex(F.hex("h")).alias("_h"), "first")  # computed, for the reason given below
-    copies = materialise(hashed.join(first, F.col("h") == F.col("_h")).where(F.col("rid") != F.col("first.rid")).select(F.col("rid").alias("_copy")), "copies")
-    unlike = F.col("rid") == F.col("_copy")
-    found = materialise(_anchor_rows(texts.join(broadcast_if_small(copies, MAX_BROADCAST), unlike, "left_anti"), window), "anchors")
-    # a computed key on one side has both sides shuffled for the join, so that the rows of a frequent key can be split
-    often = found.groupBy("key").count().where("count > 1").select(F.bitwise_not(F.bitwise_not("key")).alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
-    some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("some")).select(F.col("rid").alias("_rid"), "some")
-    dealt = texts.repartition(parts, "rid")
-    later = _subtrees(_pieces(dealt.join(some, F.col("rid") == F.col("_rid")), window), window)
-    later = later.union(copies.select(F.col("_copy").alias("rid"), F.lit(0), F.lit(1 << 30)))
+    later, copies, dealt = _found(_texts(rows), window, collapse=True)
+    later = later.select("rid", "at", "n").union(copies.select(F.col("_copy").alias("rid"), F.lit(0), F.lit(1 << 30)))
     marks = later.groupBy("rid").agg(F.collect_list(F.struct("at", "n")).alias("later")).select(F.col("rid").alias("_rid"), "later")
     out = (dealt if names == ["doc_id", "text"] else rows.repartition(parts, "rid")).join(marks, F.col("rid") == F.col("_rid"), "left")
     if names == ["doc_id", "text"]:
-        out = out.withColumn("doc_id", F.when(F.col("id") != 2**63 - 1, F.col("id")))
+        out = out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
     out = out.select(*names, "later")
     fields = [f for f in inner.schema.fields if keep_text or f.name != "text"]
     kept_names = [f.name for f in fields]
