@@ -11,10 +11,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, materialise, row_ordinal, shield
+from .common import broadcast_if_small, materialise, row_ordinal, shield, shuffle_parts, stored
 
 #: Bytes of text that a bucket holds on average; a task shuffles one bucket in memory.
 BUCKET_BYTES = 8 << 20
+#: Buckets that one shuffle partition holds, about.
+PER_TASK = 2
+#: Buckets whose counts are summed at a time, before the sums themselves are.
+RANGE = 4096
 #: Offsets of buckets are broadcast up to so many rows.
 MAX_BROADCAST = 1_000_000
 
@@ -29,43 +33,50 @@ def fisher_yates(n: int, seed: int) -> np.ndarray:
     return np.array(order, dtype=np.int64)
 
 
+def bucket_offsets(counts: DataFrame) -> DataFrame:
+    """(_bucket, _before) from (_bucket, count): rows in all buckets before it.
+
+    Buckets are summed by ranges of RANGE first, so that the one window over all ranges has a row for every RANGE buckets.
+    """
+    ranged = counts.withColumn("_range", F.floor(F.col("_bucket") / RANGE))
+    up_to = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    sums = ranged.groupBy("_range").agg(F.sum("count").alias("_sum")).select(F.col("_range").alias("_of"), F.coalesce(F.sum("_sum").over(up_to(W.partitionBy(F.lit(0)).orderBy("_range"))), F.lit(0)).alias("_first"))
+    inside = F.coalesce(F.sum("count").over(up_to(W.partitionBy("_range").orderBy("_bucket"))), F.lit(0))
+    return ranged.withColumn("_inside", inside).join(sums, F.col("_range") == F.col("_of")).select("_bucket", (F.col("_first") + F.col("_inside")).alias("_before"))
+
+
 def shard(docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs with size, shard (0 to shards - 1) and slot (0, 1, ... without gaps in each shard), in random order.
 
-    First pass: rows scatter by a seeded hash of doc_id and text into so many buckets that one holds about
-    bucket_bytes. A doc_id that a large share of rows repeat would fill one bucket: such ids (at most eight a bucket
-    can exist) also hash the row's number in the scan. Second pass: each bucket is sorted by content, shuffled by
-    Fisher-Yates with a seed of its own, and takes its place after the buckets before it. The whole order is then cut
-    into shards whose counts differ by one at most, so a bucket goes to one shard or two neighbours.
+    First pass: rows scatter by a seeded hash of doc_id, text and row number into so many buckets that one holds about
+    bucket_bytes; the row number lets copies and repeated ids scatter like all others, so no bucket is hot. Second pass: each bucket is
+    put in order of that hash, shuffled by Fisher-Yates with a seed of its own, and takes its place after the buckets
+    before it. The whole order is then cut into shards whose counts differ by one at most, so a bucket goes to one
+    shard or two neighbours. A shuffle partition holds about PER_TASK buckets, at any size of the table.
 
     size is the text's UTF-8 bytes plus 1 (null: none). Null and repeated doc_ids, repeated rows and empty texts are
-    rows like others; copies of a text are spread, not kept together; an empty table gives an empty one. Columns of
-    docs with the added names are replaced.
+    rows like others; copies of a text are spread, not kept together; an empty table gives an empty one. Runs over the
+    same files agree. Columns of docs with the added names are replaced.
     """
-    spark = docs.sparkSession
-    docs, restore = shield(docs, ["doc_id", "text"])
+    docs, restore = shield(stored(docs), ["doc_id", "text"])
     names = docs.columns
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    rows = docs.withColumns({"size": size, "_ord": row_ordinal()})
     total, n = docs.agg(F.sum(size), F.count("*")).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
-    hot = materialise(docs.groupBy("doc_id").count().where(F.col("count") > max(64, (n or 0) // (8 * buckets))).select(F.col("doc_id").alias("_hot"), F.lit(True).alias("_is_hot")), "hot-ids")
-    rows = rows.join(broadcast_if_small(hot, 8 * buckets), F.col("doc_id").eqNullSafe(F.col("_hot")), "left")
-    salt = F.when(F.col("_is_hot"), F.col("_ord")).otherwise(F.lit(0))
-    content = F.xxhash64("doc_id", "text")
-    rows = rows.withColumn("_content", content).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "_content", salt), F.lit(buckets)).cast("int"))
+    rows = docs.withColumns({"size": size, "_scatter": F.xxhash64(F.lit(seed), "doc_id", "text", row_ordinal())})
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_scatter"), F.lit(buckets)).cast("int"))
     counts = materialise(rows.groupBy("_bucket").count(), "bucket-counts")
-    before = F.coalesce(F.sum("count").over(W.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = broadcast_if_small(materialise(counts.select("_bucket", before.alias("_before")), "bucket-offsets"), MAX_BROADCAST)
-    rows = rows.join(offsets, "_bucket").select("_bucket", "_before", "_content", *names, "size")
-    fields = [f for f in rows.schema.fields if f.name not in ("_bucket", "_before", "_content")]
+    offsets = broadcast_if_small(materialise(bucket_offsets(counts), "bucket-offsets"), MAX_BROADCAST)
+    parts = max(shuffle_parts(docs.sparkSession), -(-buckets // PER_TASK))
+    rows = rows.repartition(parts, "_bucket").join(offsets, "_bucket").select("_bucket", "_before", "_scatter", *names, "size")
+    fields = [f for f in rows.schema.fields if f.name not in ("_bucket", "_before", "_scatter")]
     schema = T.StructType([*fields, T.StructField("_at", T.LongType())])
 
     def shuffle(table: pa.Table) -> pa.Table:
         bucket, start = table["_bucket"][0].as_py(), table["_before"][0].as_py()
-        by_content = np.argsort(table["_content"].to_numpy(), kind="stable")
-        order = by_content[fisher_yates(table.num_rows, seed * 1_000_003 + bucket)]
-        kept = table.drop_columns(["_bucket", "_before", "_content"]).take(pa.array(order))
+        by_hash = np.argsort(table["_scatter"].to_numpy(), kind="stable")
+        order = by_hash[fisher_yates(table.num_rows, seed * 1_000_003 + bucket)]
+        kept = table.drop_columns(["_bucket", "_before", "_scatter"]).take(pa.array(order))
         return kept.append_column("_at", pa.array(np.arange(start, start + table.num_rows)))
 
     out = rows.groupBy("_bucket").applyInArrow(shuffle, schema)
