@@ -7,19 +7,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, shield
-
-#: Labelled documents of each language that the network is fitted on, at most: a bounded sample, on the driver.
-SAMPLE_DOCS = 400
-#: Languages that the network can learn at most; more raise an error.
-MAX_LANGUAGES = 500
-#: Cells of each direction, bytes of a segment at most, passes of training.
-HIDDEN, SEGMENT, STEPS, BATCH = 12, 24, 1500, 192
-#: Segments in each half of a worker's memory.
-MEMORY = 200_000
+from .common import broadcast_if_small, materialise, prepare, shield
+
+#: Labelled documents of each language that the network is fitted on, at most, and stretches of each: a bounded sample, on the driver.
+SAMPLE_DOCS, SAMPLE_STRETCHES = 400, 6
+#: Cells of each direction, bytes of a training stretch, passes of training, stretches in each.
+HIDDEN, LENGTH, STEPS, BATCH = 12, 48, 200, 384
+#: Bytes that a stretch labels, and bytes of context that it reads on either side.
+STRETCH, CONTEXT = 224, 16
+#: Numbers that a block of stretches may hold per array, about.
+BLOCK = 4_000_000
+#: Chosen documents are broadcast up to so many.
+MAX_BROADCAST = 1_000_000
 #: Held-out documents of each language that the pipeline's rejection score is taken from, about, and the share of those labelled right that may lie below their end.
 JUDGED_DOCS, LOW_SHARE = 200, 0.001
 #: The model to give where training found nothing to learn from; None asks for training.
@@ -31,7 +34,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class ByteGru:
-    """Two GRUs, one in each direction, over the bytes of a segment; a softmax labels every byte."""
+    """Two GRUs, one in each direction, over bytes; a softmax labels every byte. Bytes are 0 to 255, 256 stands for what lies beyond a text's ends."""
 
     def __init__(self, languages: list[str], hidden: int = HIDDEN, seed: int = 1):
         rng = np.random.default_rng(seed)
@@ -39,17 +42,19 @@ class ByteGru:
         self.languages, self.hidden = languages, hidden
         self.p = {"out": draw(2 * hidden, len(languages)), "out_b": np.zeros(len(languages), np.float32)}
         for d in "fb":
-            self.p |= {f"in_{d}": (rng.standard_normal((256, 3 * hidden)) * 0.3).astype(np.float32), f"u_{d}": draw(hidden, 3 * hidden), f"b_{d}": np.zeros(3 * hidden, np.float32)}
+            self.p |= {f"in_{d}": (rng.standard_normal((257, 3 * hidden)) * 0.3).astype(np.float32), f"u_{d}": draw(hidden, 3 * hidden), f"b_{d}": np.zeros(3 * hidden, np.float32)}
 
     def _run(self, x: np.ndarray, d: str, keep: bool):
-        """States after each byte of x (segments x bytes), read in the order given; keep: also what backpropagation needs."""
-        n, length, h_ = *x.shape, self.hidden
+        """States after each byte of x (bytes x stretches), read in the order given; keep: also what backpropagation needs."""
+        (length, n), h_ = x.shape, self.hidden
         table, u = self.p[f"in_{d}"] + self.p[f"b_{d}"], self.p[f"u_{d}"]
-        h = np.zeros((n, h_), np.float32)
-        states, tape = np.empty((length, n, h_), np.float32), []
+        h = np.zeros((n, h_), u.dtype)
+        states, tape = np.empty((length, n, h_), u.dtype), []
         for t in range(length):
-            a, g = table[x[:, t]], h @ u
-            zr = _sigmoid(a[:, : 2 * h_] + g[:, : 2 * h_])
+            a, g = table[x[t]], h @ u
+            zr = a[:, : 2 * h_]
+            zr += g[:, : 2 * h_]
+            zr = _sigmoid(zr)
             z, r, gn = zr[:, :h_], zr[:, h_:], g[:, 2 * h_ :]
             c = np.tanh(a[:, 2 * h_ :] + r * gn)
             if keep:
@@ -58,125 +63,185 @@ class ByteGru:
             states[t] = h
         return states, tape
 
+    def _states(self, x: np.ndarray, d: str) -> np.ndarray:
+        """States after each byte of x (bytes x stretches), read in the order given, without what training needs: (bytes, hidden, stretches).
+
+        Cells come before stretches, so that gates are whole blocks of memory; the halves of the sigmoids are in the weights.
+        """
+        (length, n), h_ = x.shape, self.hidden
+        half = np.repeat(np.array([0.5, 1.0], np.float32), [2 * h_, h_])
+        table = np.ascontiguousarray(((self.p[f"in_{d}"] + self.p[f"b_{d}"]) * half).T, np.float32)
+        u = np.ascontiguousarray((self.p[f"u_{d}"] * half).T, np.float32)
+        h, a, g = np.zeros((h_, n), np.float32), np.empty((3 * h_, n), np.float32), np.empty((3 * h_, n), np.float32)
+        states = np.empty((length, h_, n), np.float32)
+        zr, z, r, c = a[: 2 * h_], a[:h_], a[h_ : 2 * h_], a[2 * h_ :]
+        for t in range(length):
+            np.take(table, x[t], axis=1, out=a, mode="clip")
+            np.dot(u, h, out=g)
+            zr += g[: 2 * h_]
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            r *= g[2 * h_ :]
+            c += r
+            np.tanh(c, out=c)
+            h = states[t]
+            np.subtract(states[t - 1] if t else 0, c, out=h)
+            h *= z
+            h += c
+        return states
+
+    def _probabilities(self, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
+        """Of the languages, from both states at each byte in the text's order: (bytes, languages, stretches)."""
+        out = np.ascontiguousarray(self.p["out"].T, np.float32)
+        score = np.matmul(out[:, : self.hidden], forward)
+        score += np.matmul(out[:, self.hidden :], backward)
+        score += self.p["out_b"].astype(np.float32)[:, None]
+        score -= score.max(axis=1, keepdims=True)
+        np.exp(score, out=score)
+        score /= score.sum(axis=1, keepdims=True)
+        return score
+
     def label(self, x: np.ndarray) -> np.ndarray:
-        """Probabilities of the languages at every byte: (bytes, segments, languages)."""
-        forward, _ = self._run(x, "f", False)
-        backward, _ = self._run(x[:, ::-1], "b", False)
-        return self._softmax(forward, backward)
+        """Probabilities of the languages at every byte: (bytes, languages, stretches)."""
+        return self._probabilities(self._states(x, "f"), self._states(x[::-1], "b")[::-1])
+
+    def pooled(self, x: np.ndarray, counted: np.ndarray) -> np.ndarray:
+        """Sums over the bytes of each stretch that count of their probabilities: (stretches, languages)."""
+        forward, backward = self._states(x, "f"), self._states(x[::-1], "b")[::-1]
+        total = np.zeros((len(self.languages), x.shape[1]))
+        step = max(1, BLOCK // (x.shape[1] * len(self.languages)))
+        for t in range(0, len(x), step):
+            part = slice(t, t + step)
+            total += (self._probabilities(forward[part], backward[part]) * counted[part, None, :]).sum(axis=0)
+        return total.T
 
     def _softmax(self, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
+        """Both states at each byte, in the text's order, to probabilities."""
         h_ = self.hidden
-        score = forward @ self.p["out"][:h_] + backward[::-1] @ self.p["out"][h_:] + self.p["out_b"]
-        score = np.exp(score - score.max(axis=2, keepdims=True))
-        return score / score.sum(axis=2, keepdims=True)
+        score = forward @ self.p["out"][:h_]
+        score += backward @ self.p["out"][h_:]
+        score += self.p["out_b"]
+        score -= score.max(axis=2, keepdims=True)
+        np.exp(score, out=score)
+        score /= score.sum(axis=2, keepdims=True)
+        return score
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy over all bytes, with y the language of each segment, and its gradients."""
-        h_, (n, length) = self.hidden, x.shape
-        xs = {"f": x, "b": x[:, ::-1]}
+        """Mean cross-entropy over all bytes of x (bytes x stretches), with y the language of each stretch, and its gradients."""
+        h_, (length, n) = self.hidden, x.shape
+        xs = {"f": x, "b": x[::-1]}
         states, tape = {}, {}
         for d in "fb":
             states[d], tape[d] = self._run(xs[d], d, True)
-        prob = self._softmax(states["f"], states["b"])
+        backward = states["b"][::-1]
+        prob = self._softmax(states["f"], backward)
         loss = float(-np.log(prob[:, np.arange(n), y] + 1e-9).mean())
-        err = prob.copy()
+        err = prob
         err[:, np.arange(n), y] -= 1
         err /= n * length
         grad = {k: np.zeros_like(v) for k, v in self.p.items()}
-        both = np.concatenate([states["f"], states["b"][::-1]], axis=2)
-        grad["out"] = np.einsum("tnh,tnk->hk", both, err)
+        both = np.concatenate([states["f"], backward], axis=2)
+        grad["out"] = both.reshape(-1, 2 * h_).T @ err.reshape(-1, err.shape[2])
         grad["out_b"] = err.sum(axis=(0, 1))
         back = err @ self.p["out"].T
         into = {"f": back[:, :, :h_], "b": back[::-1, :, h_:]}
         for d in "fb":
-            u, dh = self.p[f"u_{d}"], np.zeros((n, h_), np.float32)
-            d_in, d_u = grad[f"in_{d}"], grad[f"u_{d}"]
+            u, dh = self.p[f"u_{d}"], np.zeros((n, h_), back.dtype)
+            das, d_u = np.empty((length, n, 3 * h_), back.dtype), grad[f"u_{d}"]
             for t in range(length - 1, -1, -1):
                 h, z, r, gn, c = tape[d][t]
                 dh = dh + into[d][t]
                 dc = dh * (1 - z) * (1 - c * c)
                 dz = dh * (h - c) * z * (1 - z)
                 dr = dc * gn * r * (1 - r)
-                da = np.concatenate([dz, dr, dc], axis=1)
+                das[t] = np.concatenate([dz, dr, dc], axis=1)
                 dg = np.concatenate([dz, dr, dc * r], axis=1)
-                np.add.at(d_in, xs[d][:, t], da)
                 d_u += h.T @ dg
-                grad[f"b_{d}"] += da.sum(axis=0)
                 dh = dh * z + dg @ u.T
+            grad[f"in_{d}"] += _sums_by(xs[d].ravel(), das.reshape(-1, 3 * h_), len(grad[f"in_{d}"]))
+            grad[f"b_{d}"] += das.sum(axis=(0, 1))
         return loss, grad
 
-    def fit(self, segments: list[np.ndarray], labels: list[np.ndarray], steps: int = STEPS, batch: int = BATCH, rate: float = 0.01, seed: int = 2) -> float:
-        """Adam on random batches of segments of one length. segments[k]: (n, length) bytes; returns the last mean loss."""
+    def fit(self, stretches: np.ndarray, labels: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.02, seed: int = 2) -> float:
+        """Adam on random batches of stretches (n x bytes), each language as often as any other; returns the last mean loss."""
         rng = np.random.default_rng(seed)
-        size = np.array([len(s) * s.shape[1] for s in segments], float)
+        of = [np.nonzero(labels == k)[0] for k in range(len(self.languages))]
+        of = [rows for rows in of if len(rows)]
         m, v = ({k: np.zeros_like(p) for k, p in self.p.items()} for _ in range(2))
         losses = []
         for step in range(1, steps + 1):
-            k = rng.choice(len(segments), p=size / size.sum())
-            rows = rng.integers(0, len(segments[k]), min(batch, 4 * len(segments[k])))
-            loss, grad = self.gradients(segments[k][rows], labels[k][rows])
+            which = rng.integers(0, len(of), batch)
+            rows = np.array([of[k][j] for k, j in zip(which, (rng.random(batch) * [len(of[k]) for k in which]).astype(int), strict=True)])
+            loss, grad = self.gradients(np.ascontiguousarray(stretches[rows].T), labels[rows])
             losses.append(loss)
             now = rate * min(1.0, 2.0 * (1 - step / (steps + 1)))
             for name, g in grad.items():
                 m[name] = 0.9 * m[name] + 0.1 * g
                 v[name] = 0.999 * v[name] + 0.001 * g * g
                 self.p[name] = (self.p[name] - now * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.999**step)) + 1e-7)).astype(np.float32)
-        return float(np.mean(losses[-100:]))
-
-
-def segments_of(text: str) -> list[bytes]:
-    """The text's words as bytes, with long ones cut: together they hold every byte but white space."""
-    words = text.encode().split()
-    if max(map(len, words), default=0) > SEGMENT:
-        words = [w[i : i + SEGMENT] for w in words for i in range(0, len(w), SEGMENT)]
-    return words
-
-
-class Pooler:
-    """Sums of byte probabilities of segments, remembered, as segments repeat; a document's score is its mean over bytes."""
-
-    def __init__(self, model: ByteGru):
-        self.model, self.rows, self.sums, self.older = model, {}, np.zeros((0, len(model.languages))), None
-
-    def _add(self, words: list[bytes]) -> None:
-        by_length: dict[int, list[bytes]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
-        parts = [self.sums]
-        for length, same in sorted(by_length.items()):
-            for at in range(0, len(same), 4096):
-                block = same[at : at + 4096]
-                x = np.frombuffer(b"".join(block), np.uint8).reshape(-1, length)
-                base = len(self.rows)
-                self.rows |= {w: base + i for i, w in enumerate(block)}
-                parts.append(self.model.label(x).sum(axis=0, dtype=np.float64))
-        self.sums = np.concatenate(parts)
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """Mean probabilities over all bytes of each text; a text without bytes gets zeros."""
-        if len(self.rows) > MEMORY:
-            self.rows, self.sums = {}, self.sums[:0]
-        split = [segments_of(t) for t in texts]
-        self._add(list({w for words in split for w in words if w not in self.rows}))
-        out = np.zeros((len(texts), len(self.model.languages)))
-        get = self.rows.__getitem__
-        for i, words in enumerate(split):
-            if words:
-                total = self.sums[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
-                out[i] = total / total.sum()
-        return out
-
-
-_POOLERS: dict[bytes, Pooler] = {}
-
-
-def pooler(model: ByteGru) -> Pooler:
-    """This process's pooler of the model."""
-    key = b"".join(v.tobytes() for v in model.p.values())
-    if key not in _POOLERS:
-        _POOLERS.clear()
-        _POOLERS[key] = Pooler(model)
-    return _POOLERS[key]
+        return float(np.mean(losses[-30:]))
+
+
+def _sums_by(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by key, 0 to n - 1."""
+    order = np.argsort(keys, kind="stable")
+    sorted_ = keys[order]
+    first = np.nonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))[0]
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    out[sorted_[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+END = 256
+
+
+def stretches_of(text: bytes, stretch: int = STRETCH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """(stretches, counted): the whole text in stretches that overlap by their context; each byte counts in one of them."""
+    n = max(1, -(-len(text) // stretch))
+    padded = np.full(n * stretch + 2 * context, END, np.int16)
+    padded[context : context + len(text)] = np.frombuffer(text, np.uint8)
+    rows = np.lib.stride_tricks.sliding_window_view(padded, stretch + 2 * context)[::stretch]
+    inside = np.zeros(len(padded), np.float32)
+    inside[context : context + len(text)] = 1
+    counted = np.lib.stride_tricks.sliding_window_view(inside, stretch + 2 * context)[::stretch].copy()
+    counted[:, :context] = 0
+    counted[:, context + stretch :] = 0
+    return rows, counted
+
+
+def document_scores(model: ByteGru, texts: list[str]) -> np.ndarray:
+    """Mean probabilities over all bytes of each text, white space included; a text without bytes gets zeros.
+
+    Short texts take narrower stretches, so that little is spent on what lies beyond their ends. Stretches of
+    many texts go through the network together, in blocks of bounded size.
+    """
+    raw = [t.encode("utf-8", "replace") for t in texts]
+    out = np.zeros((len(texts), len(model.languages)))
+    width = np.array([next((w for w in (32, 64, 128) if len(r) <= w), STRETCH) for r in raw])
+    for w in np.unique(width):
+        own = np.nonzero((width == w) & np.array([len(r) > 0 for r in raw]))[0]
+        rows_at_once = max(64, BLOCK // ((w + 2 * CONTEXT) * 2 * model.hidden))
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush(held=held) -> None:
+            x, counted, of = (np.concatenate(c) for c in zip(*held, strict=True))
+            for k in range(0, len(x), rows_at_once):
+                part = slice(k, k + rows_at_once)
+                np.add.at(out, of[part], model.pooled(np.ascontiguousarray(x[part].T), np.ascontiguousarray(counted[part].T)))
+            held.clear()
+
+        for i in own:
+            rows, counted = stretches_of(raw[i], w)
+            held.append((rows, counted, np.full(len(rows), i)))
+            size += len(rows)
+            if size >= rows_at_once:
+                flush()
+                size = 0
+        if held:
+            flush()
+    return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-300)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -187,38 +252,47 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> ByteGru | None:
     """A network fitted on at most sample_docs documents of each language, those with the least hashes, that aren't held out.
 
-    The choice reads ids and languages only, with a limit per task before the shuffle; texts follow for the chosen.
-    Without a labelled document there is no network.
+    The choice ranks ids by a hash within each language; Spark keeps the first of each task before it shuffles, so a
+    language with a third of all rows costs sample_docs rows per task. Of each chosen document SAMPLE_STRETCHES
+    stretches at random places, cut in the tasks, reach the driver. Without a labelled document there is no network.
     """
-    own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    counts = own.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return None
-    languages = sorted(r["lang"] for r in counts)
+    own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     order = F.xxhash64(F.lit("sample"), "doc_id")
-    shares = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.5 * sample_docs / r["count"] + 50 / r["count"])))))
-    few = own.where(F.pmod(order, F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30)).select("doc_id", "lang", "text")
-    chosen = materialise(few, "lang-sample")
-    x: dict[int, list[bytes]] = {}
-    y: dict[int, list[int]] = {}
-    for k, lang in enumerate(languages):
-        for r in chosen.where(F.col("lang") == lang).orderBy(order, "text").limit(sample_docs).collect():
-            for w in set(segments_of(r["text"])):
-                x.setdefault(len(w), []).append(w)
-                y.setdefault(len(w), []).append(k)
+    ranked = own.select("doc_id", "lang").withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy(order, "doc_id")))
+    chosen = materialise(ranked.where(F.col("_rank") <= sample_docs).select(F.col("doc_id").alias("_chosen"), F.col("lang").alias("_lang")).distinct(), "lang-sample")
+    few = own.join(broadcast_if_small(chosen, MAX_BROADCAST), (F.col("doc_id") == F.col("_chosen")) & (F.col("lang") == F.col("_lang"))).select("lang", "text", order.alias("seed"))
+    # a doc_id that many rows repeat brings them all: of each language no more than the bound's own rows are taken
+    few = few.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("seed", F.xxhash64("text")))).where(F.col("_rank") <= sample_docs).select("lang", "text", "seed")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, parts = [], []
+            for lang, text, seed in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                raw = text.encode("utf-8", "replace")
+                for at in np.random.default_rng(seed & (2**63 - 1)).integers(0, max(1, len(raw) - LENGTH + 1), min(SAMPLE_STRETCHES, max(1, len(raw) // LENGTH))):
+                    langs.append(lang)
+                    parts.append(raw[at : at + LENGTH])
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.binary())], names=["lang", "part"])
+
+    got = sorted((r["lang"], bytes(r["part"])) for r in few.mapInArrow(cut, "lang string, part binary").collect())
+    if not got:
+        return None
+    languages = sorted({lang for lang, _ in got})
+    x = np.full((len(got), LENGTH), END, np.int16)
+    for row, (_, part) in zip(x, got, strict=True):
+        row[: len(part)] = np.frombuffer(part, np.uint8)
     model = ByteGru(languages)
-    if x:
-        model.fit([np.frombuffer(b"".join(x[n]), np.uint8).reshape(-1, n) for n in sorted(x)], [np.array(y[n]) for n in sorted(x)], steps)
+    place = {lang: k for k, lang in enumerate(languages)}
+    model.fit(x, np.array([place[lang] for lang, _ in got]), steps)
     return model
 
 
 def identify(docs: DataFrame, model: ByteGru | str | None = None, keep_text: bool = True) -> DataFrame:
     """docs with held_out, lang_pred and score; one row for each row; without a model, one is trained on docs; NOTHING: none is.
 
-    Every byte of the whole text but white space is labelled; a segment's probabilities depend on it alone, so each
-    distinct segment is labelled once per worker. The text decides alone: lang, source and doc_id are no inputs.
+    Every byte of the whole text, white space included, is labelled by the network, which reads on over blanks and lines: the
+    text goes through it in stretches of STRETCH bytes with CONTEXT more on either side. A document's score is the mean
+    over its bytes. The text decides alone: lang, source and doc_id are no inputs.
 
     lang_pred is `und`, with score 0, if the text is null, empty or has no letter, or if nothing could be learned.
     Ties go to the language first in code point order. Columns of docs with the added names are replaced; extra
@@ -234,14 +308,13 @@ def identify(docs: DataFrame, model: ByteGru | str | None = None, keep_text: boo
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pool = pooler(model) if model else None
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             some = batch.column(batch.schema.get_field_index("_letters")).to_pylist()
             lang, score = ["und"] * len(texts), [0.0] * len(texts)
-            at = [i for i, ok in enumerate(some) if ok and pool]
+            at = [i for i, ok in enumerate(some) if ok and model]
             if at:
-                found = pool.scores([texts[i] for i in at])
+                found = document_scores(model, [texts[i] for i in at])
                 for i, p in zip(at, found, strict=True):
                     k = int(p.argmax())
                     lang[i], score[i] = model.languages[k], float(p[k])
