@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.genotype import depth_at, other_allele_depth
 from ..functions.stats import g_statistic, round6, snp_index
+from ..session import materialise
 from .null_model import QUANTILES, one_bulk_thresholds, two_bulk_thresholds
 
 
@@ -26,12 +27,12 @@ def one_bulk_statistics(variants: DataFrame) -> DataFrame:
 
 
 def add_two_bulk_thresholds(stats: DataFrame, high_frequency: float = 0.5, low_frequency: float = 0.5) -> DataFrame:
-    """Thresholds are made once per distinct depth pair and joined back; Spark broadcasts them where their size allows."""
-    limits = two_bulk_thresholds(stats.select(F.col("hb_dp").alias("high_dp"), F.col("lb_dp").alias("low_dp")), high_frequency, low_frequency)
+    """Thresholds are made and written once per distinct depth pair and joined back; Spark broadcasts them where their size allows."""
+    limits = materialise(two_bulk_thresholds(stats.select(F.col("hb_dp").alias("high_dp"), F.col("lb_dp").alias("low_dp")), high_frequency, low_frequency), "thresholds")
     return stats.join(limits, (stats["hb_dp"] == limits["high_dp"]) & (stats["lb_dp"] == limits["low_dp"])).drop("high_dp", "low_dp")
 
 
 def add_one_bulk_thresholds(stats: DataFrame, frequency: float = 0.5) -> DataFrame:
     limits = one_bulk_thresholds(stats.select(F.col("b_dp").alias("n")), frequency)
-    limits = limits.select("n", *(F.col(n).alias(f"b_{n}") for n, _ in QUANTILES))
+    limits = materialise(limits.select("n", *(F.col(n).alias(f"b_{n}") for n, _ in QUANTILES)), "thresholds")
     return stats.join(limits, stats["b_dp"] == limits["n"]).drop("n")

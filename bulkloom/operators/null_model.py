@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import g_statistic, round6
+from ..session import materialise
 
 #: Allele frequency of a bulk under no linkage: the mean dose of the population's genotypes.
 NULL_AF = {"F2": 0.5, "RIL": 0.5, "BC": 0.25}
@@ -52,20 +53,24 @@ def two_bulk_thresholds(pairs: DataFrame, high_frequency: float, low_frequency:
     """Thresholds of both indices, their difference and G for distinct pairs(high_dp, low_dp).
 
     The indices need one dimension per depth; difference and G need the grid of a pair's outcomes, (n + 1)(m + 1)
-    cells, which is dealt out by pair and summed by value before the running share.
+    cells. The pairs and both distributions are small and written once. The pairs are then dealt out over a fixed number of
+    tasks before they grow into cells, so that all later steps, grouped by pair, stay in these tasks.
     """
-    pairs = pairs.select("high_dp", "low_dp").distinct()
-    high = binomial(pairs.select(F.col("high_dp").alias("n")).distinct(), high_frequency)
-    low = binomial(pairs.select(F.col("low_dp").alias("n")).distinct(), low_frequency)
+    spark = pairs.sparkSession
+    pairs = materialise(pairs.select(F.col("high_dp").cast("int").alias("high_dp"), F.col("low_dp").cast("int").alias("low_dp")).distinct(), "pairs")
+    high = materialise(binomial(pairs.select(F.col("high_dp").alias("n")).distinct(), high_frequency), "pmf")
+    low = materialise(binomial(pairs.select(F.col("low_dp").alias("n")).distinct(), low_frequency), "pmf")
     left = high.select(F.col("n").alias("high_dp"), F.col("k").alias("a1"), F.col("si").alias("s1"), F.col("w").alias("w1"))
     right = low.select(F.col("n").alias("low_dp"), F.col("k").alias("a2"), F.col("si").alias("s2"), F.col("w").alias("w2"))
-    grid = pairs.join(left, "high_dp").join(right, "low_dp")
-    dsi, gs = round6(F.col("s1") - F.col("s2")), round6(g_statistic(F.col("a1"), F.col("high_dp") - F.col("a1"), F.col("a2"), F.col("low_dp") - F.col("a2")))
-    both = grid.select("high_dp", "low_dp", (F.col("w1") * F.col("w2")).alias("w"), F.explode(F.array(F.struct(F.lit("dsi").alias("s"), dsi.alias("value")), F.struct(F.lit("gs").alias("s"), gs.alias("value")))).alias("x"))
-    summed = both.groupBy("high_dp", "low_dp", F.col("x.s").alias("s"), F.col("x.value").alias("value")).agg(F.sum("w").alias("w"))
-    found = _quantiles(summed, ["high_dp", "low_dp", "s"])
-    pick = lambda s, c: F.max(F.when(F.col("s") == s, F.col(c))).alias(f"{s}_{c}")
-    wide = found.groupBy("high_dp", "low_dp").agg(*(pick("dsi", n) for n, _ in QUANTILES), pick("gs", "p99"), pick("gs", "p95"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    grid = pairs.repartition(tasks, "high_dp", "low_dp").join(left, "high_dp").join(right, "low_dp")
+    key = ["high_dp", "low_dp"]
+    cells = grid.select(*key, (F.col("w1") * F.col("w2")).alias("w"), round6(F.col("s1") - F.col("s2")).alias("dsi"), round6(g_statistic(F.col("a1"), F.col("high_dp") - F.col("a1"), F.col("a2"), F.col("low_dp") - F.col("a2"))).alias("gs"))
+    run = lambda c: F.sum("w").over(W.partitionBy(*key).orderBy(c).rowsBetween(W.unboundedPreceding, 0))
+    reached = lambda c, name, q: F.min(F.when(F.col(f"_{c}") >= q - DUST, F.col(c))).alias(f"{c}_{name}")
+    # of cells with one value the first to reach a quantile names that value, so equal values need no sum of their own
+    cells = cells.withColumn("_dsi", run("dsi")).withColumn("_gs", run("gs"))
+    wide = cells.groupBy(*key).agg(*(reached("dsi", *q) for q in QUANTILES), *(reached("gs", *q) for q in QUANTILES[:2]))
     one = lambda df, key, p: _quantiles(df, ["n"], "si").select(F.col("n").alias(key), *(F.col(n).alias(f"{p}_{n}") for n, _ in QUANTILES))
     return wide.join(one(high, "high_dp", "hb"), "high_dp").join(one(low, "low_dp", "lb"), "low_dp")
 

@@ -21,19 +21,25 @@ def _means(summed: DataFrame, columns: list[str], window: int, step: int) -> Dat
 def window_means(stats: DataFrame, columns: list[str], window: int = 2_000_000, step: int = 10_000) -> DataFrame:
     """(chrom, type, centre, n, means of columns) over [s, s + window) for s = 0, step, 2 step, ... up to the last position.
 
-    Values carry six decimals and are summed as whole micros, so results don't depend on the order of rows. If the
-    step divides the window, rows are first summed per step, with a partial sum in each task, and a running frame
-    adds the steps of a window; the steps are made dense first, so that windows that start in an empty step are there
-    too. Otherwise rows go to each of their windows. Windows without rows are left out.
+    Values carry six decimals and are summed as whole micros, so results don't depend on the order of rows; a missing
+    value counts as 0. If the step divides the window, rows are first summed per step, with a partial sum in each task.
+    Steps without rows are filled in, as windows may start there, and a window's sum is the difference of two
+    running sums, whatever the window holds. Otherwise rows go to each of their windows. Windows without rows are left out.
     """
-    sums = [F.sum(micros(F.col(c))).alias(c) for c in columns]
+    sums = [F.coalesce(F.sum(micros(F.col(c))), F.lit(0)).alias(c) for c in columns]
     if window % step:
         low = F.greatest(F.lit(0), F.floor((F.col("pos") - window) / step) + 1)
         each = stats.withColumn("k", F.explode(F.sequence(low, _bin(step))))
         return _means(each.groupBy("chrom", "type", "k").agg(F.count("*").alias("n"), *sums), columns, window, step)
     bins = stats.groupBy("chrom", "type", _bin(step).alias("k")).agg(F.count("*").alias("n"), *sums)
-    ends = bins.groupBy("chrom", "type").agg(F.max("k").alias("last"))
-    spine = ends.select("chrom", "type", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("k"))
-    frame = W.partitionBy("chrom", "type").orderBy("k").rangeBetween(0, window // step - 1)
-    run = spine.join(bins, ["chrom", "type", "k"], "left").select("chrom", "type", "k", *(F.sum(c).over(frame).alias(c) for c in ("n", *columns)))
-    return _means(run.where("n > 0"), columns, window, step)
+    whole = W.partitionBy("chrom", "type")
+    by_step, names = whole.orderBy("k"), ["n", *columns]
+    # each bin stands for its own step and the empty ones up to the next bin, the first also for those before it
+    filled = bins.withColumns({"_next": F.coalesce(F.lead("k").over(by_step), F.col("k") + 1), "_from": F.when(F.lag("k").over(by_step).isNull(), F.lit(0)).otherwise(F.col("k"))})
+    filled = filled.withColumn("_k", F.explode(F.sequence(F.least("_from", "k"), F.col("_next") - 1)))
+    dense = filled.select("chrom", "type", F.col("_k").alias("k"), *(F.when(F.col("_k") == F.col("k"), F.col(c)).otherwise(F.lit(0)).alias(c) for c in names))
+    up_to = by_step.rowsBetween(W.unboundedPreceding, 0)
+    run = dense.withColumns({f"_{c}": F.sum(c).over(up_to) for c in names})
+    last = window // step - 1
+    sliding = run.select("chrom", "type", "k", *((F.coalesce(F.lead(f"_{c}", last).over(by_step), F.sum(c).over(whole)) - F.col(f"_{c}") + F.col(c)).alias(c) for c in names))
+    return _means(sliding.where("n > 0"), columns, window, step)

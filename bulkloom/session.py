@@ -18,23 +18,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, the folder that all machines share. Only a local master may do without; a folder of this machine then stands in."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="spark-"))
+    return _OWN[0]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below spark.checkpoint.dir, the folder that all machines share, and read it back.
+    """Write df as Parquet into the shared folder, and read it back.
 
-    What several later steps read is computed once this way and survives a lost executor. Where the setting is
-    missing, as in tests, a folder of this machine stands in for it.
+    What several later steps read is computed once this way and survives a lost executor.
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 _OWN: list[str] = []
-
-
-def _own_folder() -> str:
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="spark-"))
-    return _OWN[0]
