@@ -56,16 +56,25 @@ FROM part
 """
 CONTIGS = "SELECT doc_id AS contig_no, concat('ctg.', doc_id) AS name, source AS sample, n_chars AS length, doc_id % 4 AS version FROM documents"
 READS = """
-SELECT concat('r', CAST(floor(o_orderkey / 2.0) AS INT)) AS qname,
-  1 + CASE WHEN o_orderkey % 2 = 0 THEN 64 ELSE 128 END + CASE WHEN o_custkey % 5 = 0 THEN 4 ELSE 0 END
-    + CASE WHEN o_custkey % 7 = 0 THEN 8 ELSE 0 END + CASE WHEN o_custkey % 3 = 0 THEN 16 ELSE 0 END
-    + CASE WHEN o_custkey % 11 = 0 THEN 256 ELSE 0 END AS flag,
-  concat('lib', o_custkey % 3) AS library, concat('chr', o_custkey % 5 + 1) AS rname, o_orderkey % 500 AS pos,
-  CAST(o_orderkey % 61 AS INT) AS mapq, CAST(o_custkey % 700 AS INT) - 100 AS tlen,
-  CAST(floor(o_totalprice) AS INT) % 4000 AS base_quality_sum
-FROM orders
+SELECT qname, flag, library, rname, pos, mapq, tlen, cigar, repeat('ACGTA', n) AS seq, repeat(substr('+5?I', q + 1, 1), 5 * n) AS qual,
+  CAST(CASE WHEN flag & 16 = 0 THEN pos - lead ELSE pos + 5 * n - lead - tail - 1 + tail END AS BIGINT) AS five_prime, CAST(5 * n * CASE q WHEN 0 THEN 0 WHEN 1 THEN 20 WHEN 2 THEN 30 ELSE 40 END AS BIGINT) AS base_quality_sum
+FROM (
+  SELECT *, concat(CASE WHEN lead > 0 THEN concat(lead, 'S') ELSE '' END, 5 * n - lead - tail, 'M', CASE WHEN tail > 0 THEN concat(tail, 'S') ELSE '' END) AS cigar
+  FROM (
+    SELECT concat('r', CAST(floor(o_orderkey / 2.0) AS INT)) AS qname,
+      1 + CASE WHEN o_orderkey % 2 = 0 THEN 64 ELSE 128 END + CASE WHEN o_custkey % 5 = 0 THEN 4 ELSE 0 END
+        + CASE WHEN o_custkey % 7 = 0 THEN 8 ELSE 0 END + CASE WHEN o_custkey % 3 = 0 THEN 16 ELSE 0 END
+        + CASE WHEN o_custkey % 11 = 0 THEN 256 ELSE 0 END AS flag,
+      concat('lib', CAST(floor(o_orderkey / 2.0) AS INT) % 3) AS library, concat('chr', o_custkey % 12 + 1) AS rname, o_orderkey % 40 AS pos,
+      CAST(o_orderkey % 61 AS INT) AS mapq, CAST(o_custkey % 700 AS INT) - 100 AS tlen, CAST(20 + o_orderkey % 3 AS INT) AS n, CAST(o_custkey % 4 AS INT) AS q,
+      CASE WHEN o_custkey % 13 = 0 THEN 5 ELSE 0 END AS lead, CASE WHEN o_orderkey % 17 = 0 THEN 4 ELSE 0 END AS tail
+    FROM orders) a) b
+"""
+ALLELES = """
+SELECT p_partkey, substr('ACGTAC', CAST(p_partkey % 4 AS INT) + 1, CAST(1 + p_size % 2 AS INT)) AS ref,
+  concat(substr(p_name, 1, CAST(p_size % 3 + 1 AS INT)), CASE WHEN p_partkey % 3 = 0 THEN concat(',', substr(p_name, 2, CAST(p_partkey % 2 + 1 AS INT))) ELSE '' END) AS alt FROM part
 """
-VIEWS = {"variants": (VARIANTS, "lineitem"), "stage_log": (STAGE_LOG, "events"), "effects": (EFFECTS, "part"), "contigs": (CONTIGS, "documents"), "reads": (READS, "orders")}
+VIEWS = {"variants": (VARIANTS, "lineitem"), "stage_log": (STAGE_LOG, "events"), "effects": (EFFECTS, "part"), "contigs": (CONTIGS, "documents"), "reads": (READS, "orders"), "alleles": (ALLELES, "part")}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.stats import round6
+
 FLAG_BITS = (("paired", 1), ("proper", 2), ("unmapped", 4), ("mate_unmapped", 8), ("reverse", 16), ("mate_reverse", 32), ("read1", 64), ("read2", 128), ("secondary", 256), ("qc_fail", 512), ("duplicate", 1024), ("supplementary", 2048))
 
 
@@ -28,12 +30,31 @@ def name_sort(reads: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """reads with is_dup: all but the best of a fragment, by base quality, then name, then flag.
+    """reads(qname, flag, library, rname, five_prime, base_quality_sum, ...) with is_dup.
+
+    Primary mapped reads take part. Two of one name are a pair: pairs of a library are copies if both ends agree in
+    contig, unclipped 5' place and strand, and all but the one with the highest sum of qualities are duplicates (of
+    equal ones the first name stays). A read whose mate isn't mapped is a duplicate if an end of a pair lies at its
+    own, else all but the best such read are. Other reads never are.
 
-    A fragment is library, contig, position and strand. A window over it keeps rows as they are; fragments are small.
+    The best of each end are found by aggregation, partial in each task, and joined back, so a place with very many
+    reads costs a row per task.
     """
-    key = W.partitionBy("library", "rname", "pos", F.col("flag").bitwiseAND(F.lit(16))).orderBy(F.col("base_quality_sum").desc(), "qname", "flag")
-    return reads.withColumn("is_dup", F.row_number().over(key) > 1)
+    kept = [F.col(f"`{c}`") for c in reads.columns if c != "is_dup"]
+    end = F.struct("rname", "five_prime", (F.col("flag").bitwiseAND(F.lit(16)) != 0).alias("back"))
+    takes_part = ~has(4) & ~has(256) & ~has(2048)
+    mates = W.partitionBy("library", "qname", takes_part)
+    rows = reads.withColumns({"_in": takes_part, "_end": end}).withColumns({"_n": F.count("*").over(mates), "_a": F.min("_end").over(mates), "_b": F.max("_end").over(mates), "_score": F.sum("base_quality_sum").over(mates)})
+    rows = rows.withColumn("_pair", F.col("_in") & has(1) & (F.col("_n") == 2))
+    place = F.when(F.col("_pair"), F.struct(F.col("_a").alias("a"), F.col("_b").alias("b"))).otherwise(F.struct(F.col("_end").alias("a"), F.col("_end").alias("b")))
+    rank = F.struct((-F.when(F.col("_pair"), F.col("_score")).otherwise(F.col("base_quality_sum"))).alias("score"), F.col("qname").alias("name"), F.when(F.col("_pair"), 0).otherwise(F.col("flag")).alias("flag"))
+    rows = rows.withColumns({"_place": place, "_rank": rank})
+    best = rows.where("_in").groupBy(F.col("library").alias("_l"), F.col("_place").alias("_p"), F.col("_pair").alias("_q")).agg(F.min("_rank").alias("_best"))
+    ends = rows.where("_pair").select(F.col("library").alias("_el"), F.col("_end").alias("_ee")).distinct().withColumn("_taken", F.lit(True))
+    out = rows.join(best, F.col("library").eqNullSafe(F.col("_l")) & (F.col("_place") == F.col("_p")) & (F.col("_pair") == F.col("_q")) & F.col("_in"), "left")
+    out = out.join(ends, F.col("library").eqNullSafe(F.col("_el")) & (F.col("_end") == F.col("_ee")) & F.col("_in") & ~F.col("_pair"), "left")
+    dup = F.coalesce(F.col("_taken"), F.lit(False)) | (F.col("_rank") != F.col("_best"))
+    return out.select(*kept, F.coalesce(F.when(F.col("_in"), dup), F.lit(False)).alias("is_dup"))
 
 
 def duplicate_metrics(reads: DataFrame) -> DataFrame:
@@ -48,12 +69,12 @@ def flag_summary(reads: DataFrame) -> DataFrame:
 
 
 def alignment_summary(reads: DataFrame) -> DataFrame:
-    """(category, total, aligned, mean_mapq_sum) of first, second and unpaired reads, and of pairs by rollup."""
+    """(category, total, aligned, mean_length, mean_mapq) of first, second and unpaired primary reads, and of pairs by rollup."""
     own = F.when(~has(1), "UNPAIRED").when(has(64), "FIRST_OF_PAIR").otherwise("SECOND_OF_PAIR")
-    measures = [F.count("*").alias("total"), F.count_if(~has(4)).alias("aligned"), F.sum("mapq").cast("long").alias("mapq_sum")]
+    measures = [F.count("*").alias("total"), F.count_if(~has(4)).alias("aligned"), F.avg(F.length("seq")).alias("mean_length"), F.avg("mapq").alias("mean_mapq")]
     out = reads.where(~has(256)).withColumn("own", own).withColumn("paired", has(1)).rollup("paired", "own").agg(*measures)
     label = F.coalesce("own", F.when(F.col("paired"), F.lit("PAIR")))
-    return out.where(F.col("paired").isNotNull() & (F.col("own").isNotNull() | F.col("paired"))).select(label.alias("category"), "total", "aligned", "mapq_sum")
+    return out.where(F.col("paired").isNotNull() & (F.col("own").isNotNull() | F.col("paired"))).select(label.alias("category"), "total", "aligned", "mean_length", "mean_mapq")
 
 
 def insert_size_histogram(reads: DataFrame) -> DataFrame:
@@ -62,8 +83,12 @@ def insert_size_histogram(reads: DataFrame) -> DataFrame:
 
 
 def insert_size_metrics(reads: DataFrame) -> DataFrame:
-    """(pairs, median, mad, smallest, largest) from the histogram: both medians are weighted, so rows never sort whole."""
+    """(pairs, mean, deviation, median, mad, smallest, largest) from the histogram: both medians are weighted, so rows never sort whole."""
     hist = insert_size_histogram(reads)
     middle = hist.agg(F.expr("percentile(insert_size, 0.5, n)").alias("median"))
     off = hist.join(F.broadcast(middle), F.lit(True))  # one row
-    return off.agg(F.sum("n").alias("pairs"), F.max("median").alias("median"), F.expr("percentile(abs(insert_size - median), 0.5, n)").alias("mad"), F.min("insert_size").alias("smallest"), F.max("insert_size").alias("largest"))
+    x, n = F.col("insert_size").cast("decimal(19,0)"), F.col("n").cast("decimal(19,0)")
+    rows = off.agg(F.sum("n").alias("pairs"), F.sum(x * n).cast("double").alias("_x"), F.sum(x * x * n).cast("double").alias("_xx"), F.max("median").alias("median"), F.expr("percentile(abs(insert_size - median), 0.5, n)").alias("mad"), F.min("insert_size").alias("smallest"), F.max("insert_size").alias("largest"))
+    mean = F.try_divide("_x", "pairs")
+    spread = F.sqrt(F.try_divide(F.col("_xx") - F.col("_x") * mean, F.col("pairs") - 1))
+    return rows.select("pairs", round6(mean).alias("mean"), round6(spread).alias("deviation"), "median", "mad", "smallest", "largest")

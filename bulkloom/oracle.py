@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixtures import CONTIGS, EFFECTS, READS, STAGE_LOG, VARIANTS
+from .fixtures import ALLELES, CONTIGS, EFFECTS, READS, STAGE_LOG, VARIANTS
 
 WINDOW, STEP = 200_000, 10_000
 _LIMITS = [f"{p}_{k}" for p in ("hb", "lb", "dsi") for k in ("p99", "p95", "m_p99", "m_p95")] + ["gs_p99", "gs_p95"]
@@ -133,19 +133,52 @@ _EFF = ("impact", "functional_class", "codon_change", "amino_acid_change", "gene
 _BITS = (("paired", 1), ("proper", 2), ("unmapped", 4), ("mate_unmapped", 8), ("reverse", 16), ("mate_reverse", 32), ("read1", 64), ("read2", 128), ("secondary", 256), ("duplicate", 1024), ("supplementary", 2048))
 _MEASURES = [("total", "true"), *((n, f"(flag & {b}) <> 0") for n, b in _BITS), ("mapped", "(flag & 4) = 0"), ("both_mapped", "(flag & 1) <> 0 AND (flag & 12) = 0")]
 _OWN = "CASE WHEN (flag & 1) = 0 THEN 'UNPAIRED' WHEN (flag & 64) <> 0 THEN 'FIRST_OF_PAIR' ELSE 'SECOND_OF_PAIR' END"
-_ALN = "count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS aligned, sum(mapq)::BIGINT AS mapq_sum FROM rd WHERE (flag & 256) = 0"
-_DUP = f"{_RD}, du AS (SELECT *, row_number() OVER (PARTITION BY library, rname, pos, flag & 16 ORDER BY base_quality_sum DESC, qname, flag) > 1 AS is_dup FROM rd)"
-_COHORT_PARTS = " UNION ALL ".join(f"SELECT chrom, CAST(floor(pos / 100.0) AS BIGINT) AS p, '{s}' AS sample, '{g}' AS gt, {r}_dp AS dp, {m} AS m FROM v WHERE pos % 100 <= 3" for s, r, g, m in (("s1", "hp", "A/A", 2), ("s2", "lp", "A/C", 3), ("s3", "hb", "C/C", 5)))
-_COHORT = f"{_RAW}, cp AS ({_COHORT_PARTS}), cg AS (SELECT chrom, p AS pos, 'A' AS ref, 'C' AS alt, " + ", ".join(f"coalesce(max(gt) FILTER (sample = '{s}'), './.') AS {s}_gt, coalesce(max(dp) FILTER (sample = '{s}'), 0) AS {s}_dp" for s in ("s1", "s2", "s3")) + " FROM cp WHERE p % m = 0 GROUP BY chrom, p)"
-
-
-def _tsv() -> str:
+_ALN = "count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS aligned, avg(length(seq)) AS mean_length, avg(mapq) AS mean_mapq FROM rd WHERE (flag & 256) = 0"
+_DUP = f"""{_RD},
+pr AS (SELECT *, (flag & 2308) = 0 AS part, concat(rname, '|', five_prime, '|', flag & 16) AS x FROM rd),
+pa AS (SELECT library, qname, sum(base_quality_sum) AS score, min(x) AS x1, max(x) AS x2 FROM pr WHERE part GROUP BY library, qname HAVING count(*) = 2 AND min(flag & 1) = 1),
+pd AS (SELECT library, qname, row_number() OVER (PARTITION BY library, x1, x2 ORDER BY score DESC, qname) > 1 AS dup FROM pa),
+ends AS (SELECT library, x1 AS x FROM pa UNION SELECT library, x2 FROM pa),
+fr AS (SELECT *, row_number() OVER (PARTITION BY library, x ORDER BY base_quality_sum DESC, qname, flag) > 1 AS later FROM pr WHERE part AND (library, qname) NOT IN (SELECT (library, qname) FROM pa)),
+fd AS (SELECT fr.qname, fr.flag, fr.library, later OR ends.x IS NOT NULL AS dup FROM fr LEFT JOIN ends ON fr.library = ends.library AND fr.x = ends.x),
+du AS (SELECT pr.*, coalesce(CASE WHEN part THEN coalesce(pd.dup, fd.dup) END, false) AS is_dup FROM pr LEFT JOIN pd ON pr.library = pd.library AND pr.qname = pd.qname LEFT JOIN fd ON pr.library = fd.library AND pr.qname = fd.qname AND pr.flag = fd.flag)"""
+_GT = {p: f"replace({p}_gt, '|', '/')" for p in ("hp", "lp", "hb", "lb")}
+_FIELDS = [f"max({_GT[p]}) AS {p}_gt, max({p}_ad) AS {p}_ad, max({p}_dp) AS {p}_dp, max(pos % 60 + {k})::INT AS {p}_gq" for k, p in enumerate(("hp", "lp"))] + [f"coalesce(max(CASE WHEN pos % 3 = {j} THEN {_GT['hb']} END), './.') AS b{j}_gt, max(CASE WHEN pos % 3 = {j} THEN hb_ad END) AS b{j}_ad, max(CASE WHEN pos % 3 = {j} THEN hb_dp ELSE 0 END) AS b{j}_dp, max(CASE WHEN pos % 3 = {j} THEN pos % 60 + 2 ELSE 0 END)::INT AS b{j}_gq" for j in range(3)]
+_COHORT = f"{_RAW}, cg AS (SELECT chrom, pos, ref, alt, {', '.join(_FIELDS)} FROM v GROUP BY chrom, pos, ref, alt)"
+
+
+def _tsv(design: str = "two_bulk") -> str:
+    """The statistics as text in the order of the sink."""
     six = lambda c, name: f"printf('%.6f', {c}) AS \"{name}\""
     role = lambda p, s: f"{p}_gt AS \"{s}_GT\", array_to_string({p}_ad, ',') AS \"{s}_AD\", {p}_dp::VARCHAR AS \"{s}_DP\""
     lim = lambda p, s, ks=("p99", "p95", "m_p99", "m_p95"): ", ".join(six(f"{p}_{k}", f"{s}_{k}") for k in ks)
-    cols = ['chrom AS "CHROM"', 'pos::VARCHAR AS "POS"', 'ref AS "REF"', 'alt AS "ALT"', 'type AS "TYPE"', role("lp", "LP"), role("hp", "HP"), role("lb", "LB"), role("hb", "HB"), six("high_si", "HB_SNP_INDEX"), six("low_si", "LB_SNP_INDEX"), six("dsi", "DELTA_SNP_INDEX"), six("gs", "G_STATISTIC"), lim("hb", "HB"), lim("lb", "LB"), lim("dsi", "dsi"), lim("gs", "gs", ("p99", "p95"))]
-    return f"{_with_limits('two_bulk')} SELECT {', '.join(cols)} FROM st"
+    site = ['chrom AS "CHROM"', 'pos::VARCHAR AS "POS"', 'ref AS "REF"', 'alt AS "ALT"', 'type AS "TYPE"']
+    parents = [role("lp", "LP"), role("hp", "HP")] if design != "two_bulk_only" else []
+    if design == "one_bulk":
+        cols = [*site, *parents, role("hb", "HB"), six("si", "HB_SNP_INDEX"), lim("b", "HB")]
+    else:
+        cols = [*site, *parents, role("lb", "LB"), role("hb", "HB"), six("high_si", "HB_SNP_INDEX"), six("low_si", "LB_SNP_INDEX"), six("dsi", "DELTA_SNP_INDEX"), six("gs", "G_STATISTIC"), lim("hb", "HB"), lim("lb", "LB"), lim("dsi", "dsi"), lim("gs", "gs", ("p99", "p95"))]
+    return f"{_with_limits(design)} SELECT {', '.join(cols)} FROM st"
+
+
+def _roles(*roles: str) -> str:
+    cells = ", ".join(f"replace({p}_gt, '|', '/') AS {q}_gt, {p}_ad AS {q}_ad, {p}_dp AS {q}_dp" for p, q in (r.split(":") if ":" in r else (r, r) for r in roles))
+    return f"{_RAW} SELECT chrom, pos, ref, alt, qual, type, {cells} FROM v"
+
+
+_SNPEFF = ("effect", "impact", "functional_class", "codon_change", "amino_acid_change", "gene_name", "transcript_biotype", "gene_coding", "transcript_id")
+
+
+def _effects(first: str) -> str:
+    named = [*(f"snpeff_{k}" for k in _SNPEFF), "errors", "warnings"]
+    cells = ["trim(regexp_extract(eff, '^([^(]+)', 1))", *(f"trim(coalesce(p[{i + 1}], ''))" for i in range(10))]
+    return f"WITH ef AS ({EFFECTS}), pa AS (SELECT *, string_split(regexp_extract(eff, '\\(([^)]*)\\)', 1), '|') AS p FROM ef) SELECT {first}, " + ", ".join(f"{c} AS {n}" for c, n in zip(cells, named, strict=True)) + " FROM pa"
+
 
+_PASSING = f"(type = 'SNP' AND {_fails(_SNP)} = '' OR type = 'INDEL' AND {_fails(_INDEL)} = '')"
+_ALT2 = "CASE WHEN type = 'INDEL' THEN concat(alt, 'T') ELSE alt END AS alt"
+_MATE = "CASE WHEN (flag & 64) <> 0 THEN 1 ELSE 2 END"
+_BACK = "(flag & 16) <> 0"
 
 ORACLE_SQL = {
     "bsa_filter": f"{_filtered('two_bulk')} SELECT {_SITE}, hp_gt, lp_gt, hb_dp, lb_dp FROM f",
@@ -172,21 +205,21 @@ ORACLE_SQL = {
     "qtl_two_bulk": f"{_qtl('two_bulk')} {_QTL_ROWS}",
     "qtl_two_bulk_only": f"{_qtl('two_bulk_only')} {_QTL_ROWS}",
     "qtl_one_bulk": f"{_qtl('one_bulk')} {_QTL_ROWS}",
-    "qtl_table": f"{_qtl('two_bulk')} SELECT chrom AS \"CHROM\", qtl_start AS \"QTLstart\", qtl_end AS \"QTLend\", peak AS \"PEAK\", statistic AS \"STATISTIC\", threshold AS \"THRESHOLD\" FROM q WHERE qtl_start IS NOT NULL AND qtl_end IS NOT NULL AND type = 'SNP' ORDER BY chrom, test_order",
+    "qtl_table": f"{_qtl('two_bulk')} SELECT chrom AS \"CHROM\", qtl_start AS \"QTLstart\", qtl_end AS \"QTLend\", peak AS \"PEAK\", statistic AS \"STATISTIC\", threshold AS \"THRESHOLD\", type AS \"TYPE\" FROM q WHERE qtl_start IS NOT NULL AND qtl_end IS NOT NULL",
     "statistics_tsv": _tsv(),
     "select_type": f"{_RAW} SELECT {_SITE}, qual FROM v WHERE type = 'INDEL'",
-    "variant_types": "SELECT p_partkey, ref, alt, CASE WHEN length(alt) = 1 THEN 'SNP' ELSE 'INDEL' END AS type FROM (SELECT p_partkey, substr(p_brand, 1, 1) AS ref, substr(p_name, 1, CAST(p_size % 3 + 1 AS INT)) AS alt FROM part) x",
+    "variant_types": f"WITH al AS ({ALLELES}), l AS (SELECT *, length(ref) AS r, list_transform(string_split(alt, ','), lambda x: length(x)) AS a FROM al), m AS (SELECT *, len(list_filter(a, lambda x: x = r)) AS same FROM l) SELECT p_partkey, ref, alt, CASE WHEN same = 0 THEN 'INDEL' WHEN same < len(a) THEN 'MIXED' WHEN r = 1 THEN 'SNP' ELSE 'MNP' END AS type FROM m",
     "hard_filter_snps": f"{_RAW} SELECT {_SITE}, coalesce(nullif({_fails(_SNP)}, ''), 'PASS') AS filter FROM v WHERE type = 'SNP'",
     "hard_filter_indels": f"{_RAW} SELECT {_SITE}, coalesce(nullif({_fails(_INDEL)}, ''), 'PASS') AS filter FROM v WHERE type = 'INDEL'",
     "merge_calls": f"{_RAW} SELECT {_SITE} FROM v WHERE type = 'SNP' AND {_fails(_SNP)} = '' UNION ALL SELECT {_SITE} FROM v WHERE type = 'INDEL' AND {_fails(_INDEL)} = ''",
-    "contig_calls": f"{_RAW} SELECT {_SITE} FROM v WHERE chrom = 'chr1'",
+    "contig_calls": f"{_RAW} SELECT {_SITE} FROM v",
     "cohort_combine": f"{_COHORT} SELECT * FROM cg",
-    "known_sites": f"{_RAW} SELECT chrom, pos, ref, alt FROM v WHERE type = 'SNP' AND {_fails(_SNP)} = '' UNION SELECT chrom, pos, ref, alt FROM v WHERE type = 'INDEL' AND {_fails(_INDEL)} = ''",
+    "known_sites": f"{_RAW} SELECT DISTINCT chrom, pos, ref, alt FROM v WHERE {_PASSING} AND (hp_gt <> './.' OR lp_gt <> './.')",
     "eff_split": f"WITH ef AS ({EFFECTS}), pa AS (SELECT *, string_split(regexp_extract(eff, '\\(([^)]*)\\)', 1), '|') AS p FROM ef) SELECT p_partkey, chrom, pos, trim(regexp_extract(eff, '^([^(]+)', 1)) AS effect, " + ", ".join(f"trim(coalesce(p[{i + 1}], '')) AS {f}" for i, f in enumerate(_EFF)) + " FROM pa",
     "stage_completed": f"{_LOG} {_COMPLETED}",
     "stage_pending": f"{_LOG} SELECT p.program, s.sample, c.chromosome FROM (SELECT DISTINCT program FROM lg) p, (SELECT DISTINCT sample FROM lg) s, (SELECT DISTINCT chromosome FROM lg) c EXCEPT {_COMPLETED}",
     "stage_stream": f"{_LOG} {_COMPLETED}",
-    "sample_discovery": f"{_COHORT} SELECT x.id, x.name, (SELECT count(*) FROM cg) AS n_sites FROM (VALUES (0, 'None'), (1, 's1'), (2, 's2'), (3, 's3')) x(id, name)",
+    "sample_discovery": f"{_COHORT} SELECT x.id, x.name, (SELECT count(*) FROM cg) AS n_sites FROM (VALUES (0, 'None'), (1, 'hp'), (2, 'lp'), (3, 'b0'), (4, 'b1'), (5, 'b2')) x(id, name)",
     "contig_filter": f"{_CTG} SELECT * FROM ct WHERE length >= 200",
     "contig_rename": f"{_CTG} SELECT contig_no, sample, concat(sample, '_scaff_', row_number() OVER (PARTITION BY sample ORDER BY contig_no)) AS name, length FROM ct",
     "contig_keys": f"{_CTG} SELECT contig_no, replace(name, '.', '_') AS key FROM ct",
@@ -197,8 +230,26 @@ ORACLE_SQL = {
     "read_coordinate_sort": f"{_RD} SELECT qname, flag, rname, pos FROM rd",
     "flag_summary": _RD + " " + " UNION ALL ".join(f"SELECT '{n}' AS measure, count(*) FILTER (({t}) AND (flag & 512) = 0) AS passed, count(*) FILTER (({t}) AND (flag & 512) <> 0) AS failed FROM rd" for n, t in _MEASURES),
     "alignment_summary": f"{_RD} SELECT {_OWN} AS category, {_ALN} GROUP BY 1 UNION ALL SELECT 'PAIR' AS category, {_ALN} AND (flag & 1) <> 0 GROUP BY 1",
-    "insert_size": f"{_RD}, i AS (SELECT abs(tlen) AS x FROM rd WHERE (flag & 64) <> 0 AND tlen <> 0), m AS (SELECT quantile_cont(x, 0.5) AS md FROM i) SELECT count(*) AS pairs, any_value(md) AS median, quantile_cont(abs(x - md), 0.5) AS mad, min(x) AS smallest, max(x) AS largest FROM i, m",
+    "insert_size": f"{_RD}, i AS (SELECT abs(tlen) AS x FROM rd WHERE (flag & 64) <> 0 AND tlen <> 0), m AS (SELECT quantile_cont(x, 0.5) AS md FROM i), z AS (SELECT count(*) AS pairs, sum(x)::DOUBLE AS sx, sum(x::BIGINT * x)::DOUBLE AS sxx, any_value(md) AS median, quantile_cont(abs(x - md), 0.5) AS mad, min(x) AS smallest, max(x) AS largest FROM i, m) SELECT pairs, {_r6('sx / pairs')} AS mean, {_r6('sqrt((sxx - sx * (sx / pairs)) / (pairs - 1))')} AS deviation, median, mad, smallest, largest FROM z",
     "insert_size_histogram": f"{_RD} SELECT abs(tlen) AS insert_size, count(*) AS n FROM rd WHERE (flag & 64) <> 0 AND tlen <> 0 GROUP BY 1",
     "mark_duplicates": f"{_DUP} SELECT qname, flag, library, is_dup FROM du",
     "duplicate_metrics": f"{_DUP} SELECT library, count(*) AS n_reads, count(*) FILTER (is_dup) AS n_duplicates FROM du GROUP BY library",
+    "wide_read_two_bulk": _roles("hp", "lp", "hb", "lb"),
+    "wide_read_two_bulk_only": _roles("hb", "lb"),
+    "wide_read_one_bulk": _roles("hp", "lp", "hb:b"),
+    "vcf_read": f"{_RAW} SELECT chrom, pos, ref, {_ALT2}, type, qual, qd, fs, sor, mq, mq_rank_sum, read_pos_rank_sum, CASE WHEN type = 'SNP' THEN hp_gt END AS hp_gt, hb_ad, hb_dp FROM v",
+    "vcf_post_process": f"{_RAW} SELECT chrom, pos, ref, {_ALT2}, type FROM v WHERE {_PASSING}",
+    "vcf_sample_calls": f"{_RAW} " + " UNION ALL ".join(f"SELECT '{p.upper()}' AS sample, count(*) AS n, sum({p}_dp)::BIGINT AS dp, sum(string_split({p}_ad, ',')[1]::INT)::BIGINT AS ad0 FROM v WHERE {p}_gt <> './.'" for p in ("hp", "lp", "hb", "lb")),
+    "run_two_bulk": f"{_all_windows('two_bulk')} SELECT * FROM w",
+    "run_two_bulk_tsv": _tsv(),
+    "run_two_bulk_only_tsv": _tsv("two_bulk_only"),
+    "run_one_bulk_tsv": _tsv("one_bulk"),
+    "effects_read": _effects("p_partkey::VARCHAR AS p_partkey, chrom, pos::VARCHAR AS pos"),
+    "effects_rejected": "SELECT concat('bad', chr(9), 'line') AS value",
+    "vcf_effects": _effects("chrom, pos::VARCHAR AS pos, 'A/C' AS gt"),
+    "stage_log_files": f"{_LOG} SELECT time, tool, program, sample, chromosome, status, concat('run ', program) AS cmd FROM lg",
+    "fasta_files": f"{_CTG} SELECT name, concat(repeat('ACGT', CAST(length % 50 AS INT)), 'TTA') AS seq, length % 50 * 4 + 3 AS length FROM ct",
+    "sam_read": f"{_RD} SELECT qname, flag, library, rname, pos, mapq, tlen, five_prime, base_quality_sum FROM rd",
+    "sam_duplicates": f"{_DUP} SELECT qname, flag, library, is_dup FROM du",
+    "fastq_files": f"{_RD} SELECT unnest([concat('@', qname, '/', {_MATE}), CASE WHEN {_BACK} THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END, '+', CASE WHEN {_BACK} THEN reverse(qual) ELSE qual END]) AS value, {_MATE} AS mate FROM rd WHERE (flag & 12) <> 0 AND (flag & 256) = 0",
 }

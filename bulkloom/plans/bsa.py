@@ -56,7 +56,8 @@ def choose_design(high_parent=None, low_parent=None, high_bulk=None, low_bulk=No
 def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_bulk=None, low_bulk=None, **options) -> str:
     """Analyse a wide variant table and write statistics, windows, series and QTL below `out`; returns the design.
 
-    Statistics and windows are written once and read back, so that the later tables don't recompute them.
+    Statistics and windows are written once and read back, so that the later tables don't recompute them; both are
+    in order of contig and position.
     """
     design = choose_design(high_parent, low_parent, high_bulk, low_bulk)
     roles = {"high_parent": high_parent, "low_parent": low_parent, "high_bulk": high_bulk, "low_bulk": low_bulk}
@@ -67,10 +68,10 @@ def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_b
     result = analyse(assign_roles(wide, **roles), design, **options)
     result.stats.write.mode("overwrite").partitionBy("chrom").parquet(f"{out}/stats")
     stats = spark.read.schema(result.stats.schema).parquet(f"{out}/stats")
-    write_tsv(statistics_table(stats, **roles), f"{out}/statistics.tsv")
+    write_tsv(statistics_table(stats.orderBy("chrom", "pos"), **roles), f"{out}/statistics.tsv")
     values = ONE_BULK_VALUES if design == "one_bulk" else TWO_BULK_VALUES
     windows = window_means(stats.where(stats["type"].isin("SNP", "INDEL")), values, options.get("window", 2_000_000), options.get("step", 10_000))
-    windows.write.mode("overwrite").parquet(f"{out}/windows")
+    windows.orderBy("chrom", "type", "centre").write.mode("overwrite").parquet(f"{out}/windows")
     points = series(spark.read.parquet(f"{out}/windows"), kinds)
     write_series(points, f"{out}/series")
     for kind in ("SNP", "INDEL"):

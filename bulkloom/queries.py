@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from .fixtures import variants, view
-from .functions.genotype import effect_struct, partition_key, variant_type
+from .functions.genotype import effect_struct, lenient_depths, partition_key, variant_type
 from .operators import bsa_stats, callsets, contigs, filters, null_model, qtl, reads, stages, windows
-from .plans.bsa import ONE_BULK_VALUES, TWO_BULK_VALUES, analyse
-from .plans.pangenome import add_sample
+from .plans.bsa import ONE_BULK_VALUES, TWO_BULK_VALUES, analyse, run_bsa
+from .plans.calls import run_calls
+from .plans.pangenome import add_sample, annotated_table, export_unmapped
+from .session import new_path
+from .sources import sinks, text
+from .sources import variants as wide
 from .streaming.stage_status import completed_of
 
 WINDOW, STEP = 200_000, 10_000
@@ -130,17 +131,19 @@ def qtl_one_bulk(spark, sf_dir):
 
 
 def qtl_table_query(spark, sf_dir):
-    from .sources.sinks import qtl_table
+    """The QTL table of each variant type, in the sink's columns."""
+    qtl = _run(spark, sf_dir).qtl
+    parts = [sinks.qtl_table(qtl.where(qtl["type"] == kind)).withColumn("TYPE", F.lit(kind)) for kind in ("SNP", "INDEL")]
+    return callsets.merge_calls(*parts)
+
 
-    return qtl_table(_run(spark, sf_dir).qtl.where("type = 'SNP'"))
+def _as_text(df):
+    return df.select(*(F.col(f"`{c}`").cast("string").alias(c.replace(".", "_")) for c in df.columns))
 
 
 def statistics_tsv(spark, sf_dir):
     """The statistics table as text, in the sink's 35 columns."""
-    from .sources.sinks import statistics_table
-
-    out = statistics_table(_run(spark, sf_dir).stats, high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB")
-    return out.select(*(F.col(f"`{c}`").cast("string").alias(c.replace(".", "_")) for c in out.columns))
+    return _as_text(sinks.statistics_table(_run(spark, sf_dir).stats, high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB"))
 
 
 _CALL = ["chrom", "pos", "ref", "alt", "type"]
@@ -151,9 +154,8 @@ def select_type(spark, sf_dir):
 
 
 def variant_types(spark, sf_dir):
-    """Types by allele lengths, for alleles made of the effect table's words."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.substring("p_brand", 1, 1).alias("ref"), F.expr("substr(p_name, 1, cast(p_size % 3 + 1 as int))").alias("alt"))
-    return parts.withColumn("type", variant_type(F.col("ref"), F.col("alt")))
+    """Types by allele lengths, for references of one and two letters and one or two alternatives."""
+    return view(spark, sf_dir, "alleles").withColumn("type", variant_type(F.col("ref"), F.col("alt")))
 
 
 def hard_filter_snps(spark, sf_dir):
@@ -172,20 +174,34 @@ def merge_calls(spark, sf_dir):
 
 
 def contig_calls(spark, sf_dir):
-    return view(spark, sf_dir, "variants").where("chrom = 'chr1'").select(*_CALL)
+    """Calls laid out with a folder per contig, so that work on one contig reads its folder only; all contigs are returned."""
+    at = new_path(spark, "by-contig")
+    view(spark, sf_dir, "variants").select(*_CALL).withColumn("contig", partition_key(F.col("chrom"))).write.partitionBy("contig").parquet(at)
+    return spark.read.parquet(at).select(*_CALL)
+
+
+def _long_calls(spark, sf_dir):
+    """Every variant as calls of three samples: both parents, and the high bulk as one of three that take turns."""
+    rows = variants(spark, sf_dir)
+    call = lambda name, p, k: F.struct(name.alias("sample"), F.col(f"{p}_gt").alias("gt"), F.col(f"{p}_ad").alias("ad"), F.col(f"{p}_dp").alias("dp"), (F.col("pos") % 60 + k).cast("int").alias("gq"))
+    turns = F.concat(F.lit("b"), (F.col("pos") % 3).cast("string"))
+    return rows.select("chrom", "pos", "ref", "alt", F.explode(F.array(call(F.lit("hp"), "hp", 0), call(F.lit("lp"), "lp", 1), call(turns, "hb", 2))).alias("c")).select("chrom", "pos", "ref", "alt", "c.*")
+
+
+_SAMPLES = ["hp", "lp", "b0", "b1", "b2"]
 
 
 def cohort_combine(spark, sf_dir):
-    rows = view(spark, sf_dir, "variants").where("pos % 100 <= 3")
-    parts = [rows.select("chrom", F.floor(F.col("pos") / 100).alias("pos"), F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.lit(s).alias("sample"), F.lit(g).alias("gt"), F.col(f"{p}_dp").alias("dp")).where(f"pos % {m} = 0") for s, p, g, m in (("s1", "hp", "A/A", 2), ("s2", "lp", "A/C", 3), ("s3", "hb", "C/C", 5))]
-    long_ = callsets.merge_calls(*parts).groupBy("chrom", "pos", "ref", "alt", "sample").agg(F.max("gt").alias("gt"), F.max("dp").alias("dp"))
-    return callsets.cohort(long_, ["s1", "s2", "s3"])
+    """Sites that occur more than once in the table give the largest of each field."""
+    once = _long_calls(spark, sf_dir).groupBy("chrom", "pos", "ref", "alt", "sample").agg(F.max("gt").alias("gt"), F.max(F.array_join("ad", ",")).alias("ad"), F.max("dp").alias("dp"), F.max("gq").alias("gq"))
+    rows = callsets.cohort(once.withColumn("ad", lenient_depths(F.col("ad"))), _SAMPLES)
+    return rows.withColumns({f"{s}_ad": F.array_join(f"{s}_ad", ",") for s in _SAMPLES})
 
 
 def known_sites(spark, sf_dir):
+    """Sites made from the raw calls of two samples."""
     rows = view(spark, sf_dir, "variants")
-    parts = [callsets.passing(callsets.hard_filter(callsets.select_type(rows, kind), rules)) for kind, rules in (("SNP", callsets.snp_rules()), ("INDEL", callsets.indel_rules()))]
-    return callsets.known_sites(*parts)
+    return callsets.bootstrap_sites(*(rows.where(F.col(f"{p}_gt") != "./.") for p in ("hp", "lp")))
 
 
 def eff_split(spark, sf_dir):
@@ -204,20 +220,16 @@ def stage_pending(spark, sf_dir):
 def stage_stream(spark, sf_dir):
     """The same answer as stage_completed, from a stream over the log's files."""
     log = view(spark, sf_dir, "stage_log")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    at = f"{base}/stream-{uuid.uuid4().hex}"
-    log.select("time", F.col("program"), "sample", "chromosome", "status").write.parquet(f"{at}/log")
-    schema = "time timestamp, program string, sample string, chromosome string, status string"
-    return completed_of(spark, spark.readStream.schema(schema).parquet(f"{at}/log"), f"{at}/out", f"{at}/state")
+    at = new_path(spark, "stream")
+    sinks.append_stage_log(log.withColumn("cmd", F.lit("run")), f"{at}/log")
+    return completed_of(spark, text.read_stage_log(spark, f"{at}/log", stream=True), f"{at}/out", f"{at}/state")
 
 
 def sample_discovery(spark, sf_dir):
     """Samples of a cohort table by its .GT columns."""
-    from .sources.variants import sample_table
-
-    wide = cohort_combine(spark, sf_dir)
-    named = wide.select(*(F.col(c).alias(c.replace("_gt", ".GT")) for c in wide.columns))
-    return sample_table(named).crossJoin(F.broadcast(named.agg(F.count("*").alias("n_sites"))))  # one row
+    rows = cohort_combine(spark, sf_dir)
+    named = rows.select(*(F.col(c).alias(c.replace("_gt", ".GT")) for c in rows.columns))
+    return wide.sample_table(named).crossJoin(F.broadcast(named.agg(F.count("*").alias("n_sites"))))  # one row
 
 
 def contig_filter(spark, sf_dir):
@@ -279,6 +291,169 @@ def duplicate_metrics(spark, sf_dir):
     return reads.duplicate_metrics(view(spark, sf_dir, "reads"))
 
 
+# -- through files: a view is written in the format, and read back by its reader
+
+
+def _write_wide(spark, sf_dir):
+    """The variants as a wide table of four samples."""
+    rows, at = view(spark, sf_dir, "variants"), new_path(spark, "wide")
+    cells = [F.col(f"{s.lower()}_{k.lower()}").alias(f"{s}.{k}") for s in ("HP", "LP", "HB", "LB") for k in ("GT", "AD", "DP")]
+    sinks.write_tsv(rows.select(*(F.col(c.lower()).alias(c) for c in ("CHROM", "POS", "REF", "ALT", "QUAL", "TYPE")), *cells), at)
+    return at
+
+
+def _roles_back(spark, sf_dir, **roles):
+    out = wide.assign_roles(wide.read_wide(spark, _write_wide(spark, sf_dir)), **roles)
+    return out.withColumns({c: F.array_join(c, ",") for c in out.columns if c.endswith("_ad")})
+
+
+def wide_read_two_bulk(spark, sf_dir):
+    """Roles come from a table of labels."""
+    roles = spark.createDataFrame([("HIGH_PARENT", "HP"), ("LOW_PARENT", "LP"), ("HIGH_BULK", "HB"), ("LOW_BULK", "LB")], "role string, sample string")
+    return _roles_back(spark, sf_dir, **wide.resolve_roles(roles))
+
+
+def wide_read_two_bulk_only(spark, sf_dir):
+    return _roles_back(spark, sf_dir, high_bulk="HB", low_bulk="LB")
+
+
+def wide_read_one_bulk(spark, sf_dir):
+    return _roles_back(spark, sf_dir, high_parent="HP", low_parent="LP", bulk="HB")
+
+
+def _write_vcf(spark, sf_dir):
+    """The variants as VCF text; those called INDEL get a second letter in ALT, as their type follows from the alleles."""
+    rows, at = view(spark, sf_dir, "variants"), new_path(spark, "calls") + ".vcf"
+    names = ("HP", "LP", "HB", "LB")
+    info = F.concat_ws(";", *(F.concat(F.lit(f"{k}="), F.col(c).cast("string")) for k, c in wide.ANNOTATIONS.items()))
+    gt = lambda s: F.replace(F.replace(F.col(f"{s}_gt"), F.col("ref"), F.lit("0")), F.col("alt"), F.lit("1"))
+    sample = lambda s: F.concat_ws(":", gt(s), f"{s}_ad", F.col(f"{s}_dp").cast("string"))
+    alt = F.when(F.col("type") == "INDEL", F.concat("alt", F.lit("T"))).otherwise(F.col("alt"))
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", alt, F.col("qual").cast("string"), F.lit("."), info, F.lit("GT:AD:DP"), *(sample(s.lower()) for s in names))
+    head = spark.createDataFrame([("##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + "\t".join(names),)], "value string")
+    head.union(rows.select(line.alias("value"))).write.text(at)
+    return at
+
+
+def vcf_read(spark, sf_dir):
+    calls = wide.read_calls(spark, _write_vcf(spark, sf_dir))
+    gt = F.when(F.col("type") == "SNP", F.col("`HP.GT`")).alias("hp_gt")
+    return calls.select(*_CALL, "qual", *wide.ANNOTATIONS.values(), gt, F.col("`HB.AD`").alias("hb_ad"), F.col("`HB.DP`").cast("int").alias("hb_dp"))
+
+
+def vcf_post_process(spark, sf_dir):
+    """From VCF text to the filtered call set of all contigs."""
+    return run_calls(spark, _write_vcf(spark, sf_dir), new_path(spark, "filtered")).select(*_CALL)
+
+
+def vcf_sample_calls(spark, sf_dir):
+    """Called genotypes of each sample of a VCF, as counts and sums of depths."""
+    long_ = wide.sample_calls(wide.read_calls(spark, _write_vcf(spark, sf_dir)))
+    return long_.groupBy("sample").agg(F.count("*").alias("n"), F.sum("dp").alias("dp"), F.sum(F.get("ad", 0)).alias("ad0"))
+
+
+def _files_of_run(spark, sf_dir, table, **roles):
+    at = new_path(spark, "run")
+    run_bsa(wide.read_variants(spark, _write_wide(spark, sf_dir)), at, window=WINDOW, step=STEP, **roles)
+    return spark.read.parquet(f"{at}/{table}") if "." not in table else _as_text(spark.read.csv(f"{at}/{table}", sep="\t", header=True))
+
+
+def run_two_bulk(spark, sf_dir):
+    """A whole run from a file: its windows."""
+    return _files_of_run(spark, sf_dir, "windows", high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB")
+
+
+def run_two_bulk_tsv(spark, sf_dir):
+    return _files_of_run(spark, sf_dir, "statistics.tsv", high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB")
+
+
+def run_two_bulk_only_tsv(spark, sf_dir):
+    return _files_of_run(spark, sf_dir, "statistics.tsv", high_bulk="HB", low_bulk="LB")
+
+
+def run_one_bulk_tsv(spark, sf_dir):
+    return _files_of_run(spark, sf_dir, "statistics.tsv", high_parent="HP", low_parent="LP", high_bulk="HB")
+
+
+def _write_effects(spark, sf_dir):
+    at = new_path(spark, "effects")
+    rows = view(spark, sf_dir, "effects").select("p_partkey", F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("eff").alias("EFF"))
+    head = spark.createDataFrame([("\t".join(rows.columns),)], "value string")
+    # one file, as each has its header in its first line; a line of two cells is to be rejected
+    lines = rows.select(F.concat_ws("\t", *(F.col(c).cast("string") for c in rows.columns)).alias("value"))
+    head.union(lines).union(spark.createDataFrame([("bad\tline",)], "value string")).coalesce(1).write.text(at)
+    return at
+
+
+def _split_back(spark, rows):
+    """The annotated table, written and read back."""
+    at = new_path(spark, "annotated")
+    sinks.write_tsv(annotated_table(rows), at)
+    out = spark.read.csv(at, sep="\t", header=True)
+    return out.select(*(F.coalesce(F.col(c), F.lit("")).alias(c.lower()) for c in out.columns))
+
+
+def effects_read(spark, sf_dir):
+    """An effect table from its file to the annotated table's file."""
+    rows, _ = text.read_effects(spark, _write_effects(spark, sf_dir))
+    return _split_back(spark, rows)
+
+
+def effects_rejected(spark, sf_dir):
+    return text.read_effects(spark, _write_effects(spark, sf_dir))[1]
+
+
+def vcf_effects(spark, sf_dir):
+    """Effects in the INFO of VCF text, split into columns."""
+    at = new_path(spark, "annotated-calls") + ".vcf"
+    rows = view(spark, sf_dir, "effects")
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), F.lit("A"), F.lit("C"), F.lit("9"), F.lit("."), F.concat(F.lit("DB;EFF="), "eff"), F.lit("GT"), F.lit("0/1"))
+    head = spark.createDataFrame([("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS",)], "value string")
+    head.union(rows.select(line.alias("value"))).write.text(at)
+    split = annotated_table(wide.read_variants(spark, at, info=("EFF",)).select("CHROM", "POS", "EFF", F.col("`S.GT`").alias("GT")))
+    return split.select(*(F.col(c).alias(c.lower()) for c in split.columns))
+
+
+def stage_log_files(spark, sf_dir):
+    """A stage log appended as JSON lines in two parts and read back."""
+    at = new_path(spark, "log")
+    log = view(spark, sf_dir, "stage_log").withColumn("cmd", F.concat(F.lit("run "), "program"))
+    for status in ("COMPLETED", "other"):
+        sinks.append_stage_log(log.where((F.col("status") == "COMPLETED") == (status == "COMPLETED")), at)
+    return text.read_stage_log(spark, at).select("time", "tool", "program", "sample", "chromosome", "status", "cmd")
+
+
+def fasta_files(spark, sf_dir):
+    at = new_path(spark, "fasta")
+    seq = F.concat(F.repeat(F.lit("ACGT"), (F.col("length") % 50).cast("int")), F.lit("TTA"))
+    sinks.write_fasta(view(spark, sf_dir, "contigs").withColumn("seq", seq), at)
+    return text.read_fasta(spark, at).select("name", "seq", "length")
+
+
+def _write_sam(spark, sf_dir):
+    at = new_path(spark, "reads")
+    cells = ["qname", F.col("flag").cast("string"), "rname", F.col("pos").cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.col("tlen").cast("string"), "seq", "qual", F.concat(F.lit("RG:Z:g"), F.substring("library", 4, 1))]
+    head = spark.createDataFrame([("@HD\tVN:1.6\n" + "\n".join(f"@RG\tID:g{k}\tLB:lib{k}\tSM:s" for k in range(3)),)], "value string")
+    head.union(view(spark, sf_dir, "reads").select(F.concat_ws("\t", *cells).alias("value"))).write.text(at)
+    return at
+
+
+def sam_read(spark, sf_dir):
+    return text.read_sam(spark, _write_sam(spark, sf_dir)).select("qname", "flag", "library", "rname", "pos", "mapq", "tlen", "five_prime", "base_quality_sum")
+
+
+def sam_duplicates(spark, sf_dir):
+    """Duplicates among reads from a file."""
+    return reads.mark_duplicates(text.read_sam(spark, _write_sam(spark, sf_dir))).select("qname", "flag", "library", "is_dup")
+
+
+def fastq_files(spark, sf_dir):
+    """Lines of both files of the unmapped pairs."""
+    at = new_path(spark, "fastq")
+    export_unmapped(view(spark, sf_dir, "reads"), f"{at}/1", f"{at}/2")
+    return spark.read.text(f"{at}/1").withColumn("mate", F.lit(1)).union(spark.read.text(f"{at}/2").withColumn("mate", F.lit(2)))
+
+
 QUERIES = {
     "bsa_filter": bsa_filter, "bsa_filter_two_bulk_only": bsa_filter_two_bulk_only, "bsa_filter_one_bulk": bsa_filter_one_bulk, "filter_funnel": filter_funnel, "short_contigs": short_contigs,
     "bsa_stats": bsa_stats_query, "bsa_two_bulk_only_stats": bsa_two_bulk_only_stats, "bsa_one_bulk_stats": bsa_one_bulk_stats,
@@ -291,4 +466,7 @@ QUERIES = {
     "contig_filter": contig_filter, "contig_rename": contig_rename, "contig_keys": contig_keys, "contig_latest": contig_latest, "contig_append_latest": contig_append_latest,
     "unmapped_reads": unmapped_reads, "unmapped_union": unmapped_union, "read_coordinate_sort": read_coordinate_sort, "flag_summary": flag_summary, "alignment_summary": alignment_summary,
     "insert_size": insert_size, "insert_size_histogram": insert_size_histogram, "mark_duplicates": mark_duplicates, "duplicate_metrics": duplicate_metrics,
+    "wide_read_two_bulk": wide_read_two_bulk, "wide_read_two_bulk_only": wide_read_two_bulk_only, "wide_read_one_bulk": wide_read_one_bulk, "vcf_read": vcf_read, "vcf_post_process": vcf_post_process, "vcf_sample_calls": vcf_sample_calls,
+    "run_two_bulk": run_two_bulk, "run_two_bulk_tsv": run_two_bulk_tsv, "run_two_bulk_only_tsv": run_two_bulk_only_tsv, "run_one_bulk_tsv": run_one_bulk_tsv,
+    "effects_read": effects_read, "effects_rejected": effects_rejected, "vcf_effects": vcf_effects, "stage_log_files": stage_log_files, "fasta_files": fasta_files, "sam_read": sam_read, "sam_duplicates": sam_duplicates, "fastq_files": fastq_files,
 }

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG_SCHEMA = "time timestamp, msg string, PROGRAM string, SAMPLE string, CHROMOSOME string, STATUS string, CMD string"
 LOG_KEYS = ["time", "msg", "PROGRAM", "SAMPLE", "CHROMOSOME", "STATUS"]
 
 
+def _paths(path) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
 def read_effects(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected lines) of a tab-separated table with an EFF column; lines of another width than the header are rejected."""
-    lines = spark.read.text(path)
-    header = lines.limit(1).collect()
-    names = header[0]["value"].split("\t") if header else []
+    """(rows, rejected lines) of tab-separated files with an EFF column; lines of another width than the header are rejected.
+
+    Each file's first line is its header; all must be the same. Lines are read by the CSV source as one column, which
+    leaves out first lines by their place, so a data line that equals the header stays.
+    """
+    heads = {(spark.read.text(p).limit(1).collect() or [None])[0] for p in _paths(path)}
+    if len(heads) > 1:
+        raise ValueError("the files' headers differ")
+    head = next(iter(heads))
+    names = head["value"].split("\t") if head else []
     if "EFF" not in names:
         raise ValueError("no EFF column in the header")
-    cells = lines.where(F.col("value") != F.lit(header[0]["value"])).withColumn("c", F.split("value", "\t"))
+    lines = spark.read.schema("value string").csv(_paths(path), sep="\x01", quote="", escape="", header=True, enforceSchema=True)
+    cells = lines.where(F.col("value").isNotNull()).withColumn("c", F.split("value", "\t"))
     fits = F.size("c") == len(names)
     return cells.where(fits).select(*(F.get("c", i).alias(n) for i, n in enumerate(names))), cells.where(~fits).select("value")
 
@@ -29,15 +40,45 @@ def read_stage_log(spark: SparkSession, path, stream: bool = False) -> DataFrame
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """contigs(contig_no, name, seq, length); the name ends at the first blank. Number by file and order in it."""
-    parts = spark.read.option("lineSep", ">").text(path).where(F.length(F.trim("value")) > 0).withColumn("contig_no", F.monotonically_increasing_id())
-    head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
-    seq = F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"[\r\n\s]", "")
+    """contigs(contig_no, name, seq, length); the name ends at the first blank. Number by file and order in it.
+
+    Records end where a line begins with >, so a > inside a header is part of it. A contig is one row, as long as it is.
+    """
+    parts = spark.read.option("lineSep", "\n>").text(path).where(F.length(F.trim("value")) > 0).withColumn("contig_no", F.monotonically_increasing_id())
+    record = F.regexp_replace("value", r"^\s*>", "")
+    head, seq = F.regexp_extract(record, r"^([^\r\n]*)", 1), F.regexp_replace(F.regexp_replace(record, r"^[^\r\n]*", ""), r"\s", "")
     return parts.select("contig_no", F.regexp_extract(head, r"^(\S*)", 1).alias("name"), seq.alias("seq")).withColumn("length", F.length("seq").cast("long"))
 
 
-def read_sam(spark: SparkSession, path) -> DataFrame:
-    """Aligned reads from SAM text, header lines dropped."""
+_SAM = (("qname", "string"), ("flag", "int"), ("rname", "string"), ("pos", "long"), ("mapq", "int"), ("cigar", "string"), ("rnext", "string"), ("pnext", "long"), ("tlen", "int"), ("seq", "string"), ("qual", "string"))
+#: Base qualities below it don't count in a read's score.
+LEAST_QUALITY = 15
+
+
+def _sum(texts: Column) -> Column:
+    return F.aggregate(texts.cast("array<long>"), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def five_prime(flag: Column, pos: Column, cigar: Column) -> Column:
+    """The place of a read's first base on its own strand, clipped bases counted in."""
+    before, after = F.regexp_extract(cigar, r"^((?:\d+[SH])*)", 1), F.regexp_extract(cigar, r"((?:\d+[SH])*)$", 1)
+    clipped = lambda part: _sum(F.regexp_extract_all(part, F.lit(r"(\d+)"), F.lit(1)))
+    spanned = _sum(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)))
+    return F.when(flag.bitwiseAND(F.lit(16)) != 0, pos + spanned - 1 + clipped(after)).otherwise(pos - clipped(before))
+
+
+def read_sam(spark: SparkSession, path, file_column: str | None = None) -> DataFrame:
+    """Aligned reads from SAM text: its eleven columns, and library, five_prime and base_quality_sum.
+
+    A read's library is that of its read group in the header (LB, else the group's id; reads without a group: unknown). Header
+    lines are few; they are joined, not collected. base_quality_sum adds the base qualities of LEAST_QUALITY or more.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_file")).where(F.length("value") > 0)
+    tag = lambda k: F.nullif(F.regexp_extract("value", rf"\t{k}:([^\t]*)", 1), F.lit(""))
+    groups = lines.where(F.col("value").startswith("@RG")).groupBy(tag("ID").alias("_id")).agg(F.max(tag("LB")).alias("_lb"))
     c = F.split("value", "\t")
-    kinds = (("qname", "string"), ("flag", "int"), ("rname", "string"), ("pos", "long"), ("mapq", "int"), ("cigar", "string"), ("rnext", "string"), ("pnext", "long"), ("tlen", "int"), ("seq", "string"), ("qual", "string"))
-    return spark.read.text(path).where(~F.col("value").startswith("@") & (F.length("value") > 0)).select(*(F.get(c, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(kinds)))
+    rows = lines.where(~F.col("value").rlike("^@[A-Z][A-Z]\t")).select(*(F.get(c, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(_SAM)), tag("RG:Z").alias("_rg"), "_file")
+    rows = rows.join(groups, F.col("_rg") == F.col("_id"), "left")
+    score = _sum(F.filter(F.transform(F.filter(F.split("qual", ""), lambda x: x != ""), lambda x: F.ascii(x) - 33), lambda x: x >= LEAST_QUALITY))
+    more = [F.coalesce("_lb", "_rg", F.lit("unknown")).alias("library"), five_prime(F.col("flag"), F.col("pos"), F.col("cigar")).alias("five_prime"), F.when(F.col("qual") == "*", F.lit(0).cast("long")).otherwise(score).alias("base_quality_sum")]
+    return rows.select(*(name for name, _ in _SAM), *more, *([F.col("_file").alias(file_column)] if file_column else []))

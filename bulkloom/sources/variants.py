@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.genotype import lenient_depths, lenient_int, unphased, variant_type
+from ..functions.genotype import MISSING, lenient_depths, lenient_int, unphased, variant_type
 
 SITE = ("CHROM", "POS", "REF", "ALT", "TYPE")
 #: Column prefixes of the roles a sample can have.
 ROLES = {"high_parent": "hp", "low_parent": "lp", "high_bulk": "hb", "low_bulk": "lb", "bulk": "b"}
+#: INFO keys of the annotations that hard filters read, and their column names in a call table.
+ANNOTATIONS = {"QD": "qd", "FS": "fs", "SOR": "sor", "MQ": "mq", "MQRankSum": "mq_rank_sum", "ReadPosRankSum": "read_pos_rank_sum"}
 
 
 def _paths(path) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def read_wide(spark: SparkSession, path) -> DataFrame:
-    """The table as text columns. Ragged rows and repeated column names are errors; paths may be several."""
+def read_wide(spark: SparkSession, path, file_column: str | None = None) -> DataFrame:
+    """The table as text columns. Ragged rows and repeated column names are errors; paths may be several.
+
+    file_column: the name of a column with the name of each row's file.
+    """
     df = spark.read.csv(_paths(path), sep="\t", header=True, mode="FAILFAST", ignoreLeadingWhiteSpace=True, enforceSchema=False)
     head = spark.read.text(_paths(path)[0]).limit(1).collect()
     seen = [c.strip().lower() for c in head[0]["value"].split("\t")] if head else []
     if len(set(seen)) < len(seen):
         raise ValueError("a column name occurs twice")
-    return df
+    return df.withColumn(file_column, F.col("_metadata.file_name")) if file_column else df
 
 
 def samples(df: DataFrame) -> list[str]:
@@ -60,19 +65,21 @@ def resolve_roles(pairs: DataFrame) -> dict[str, str]:
     return found
 
 
-def read_vcf(spark: SparkSession, path, info: tuple[str, ...] = (), fields: tuple[str, ...] = ("GT", "AD", "DP", "GQ")) -> DataFrame:
+def read_vcf(spark: SparkSession, path, info: tuple[str, ...] = (), fields: tuple[str, ...] = ("GT", "AD", "DP", "GQ"), file_column: str | None = None) -> DataFrame:
     """VCF text, plain or gzip, flattened to a wide table, with chosen INFO keys as columns.
 
-    Genotype numbers become allele letters. The samples come from the first header line, the only line that the driver
-    reads. A gzip file is one task, so rows are dealt out by contig and position right after it.
+    Genotype numbers become allele letters. The samples come from the header lines, which must agree where there are
+    several files. A gzip file is one task, so its lines are dealt out right after it, by contig and position. file_column: the
+    name of a column with the name of each row's file.
     """
-    lines = spark.read.text(_paths(path))
-    header = lines.where(F.col("value").startswith("#CHROM")).limit(1).collect()
+    lines = spark.read.text(_paths(path)).select("value", F.col("_metadata.file_name").alias("_file"))
+    header = lines.where(F.col("value").startswith("#CHROM")).select("value").distinct().limit(2).collect()
     if not header:
         raise ValueError("no #CHROM line")
+    if len(header) > 1:
+        raise ValueError("the files' #CHROM lines differ")
     names = header[0]["value"].split("\t")[9:]
-    cells = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0)).select(cells.alias("c"))
+    rows = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0)).select(F.split("value", "\t").alias("c"), "_file")
     if any(p.endswith(".gz") for p in _paths(path)):
         rows = rows.repartition(F.get("c", 0), F.get("c", 1))
     ref, alt = F.get("c", 3), F.get("c", 4)
@@ -86,7 +93,7 @@ def read_vcf(spark: SparkSession, path, info: tuple[str, ...] = (), fields: tupl
         for k in fields:
             got = pick(k)
             out.append((_letters(got) if k == "GT" else F.coalesce(got, F.lit(""))).alias(f"{name}.{k}"))
-    return rows.select(*out)
+    return rows.select(*out, *([F.col("_file").alias(file_column)] if file_column else []))
 
 
 def _letters(gt: Column) -> Column:
@@ -95,6 +102,29 @@ def _letters(gt: Column) -> Column:
     return F.coalesce(F.when(sep == "|", F.array_join(parts, "|")).otherwise(F.array_join(parts, "/")), F.lit("./."))
 
 
+def read_calls(spark: SparkSession, path, file_column: str | None = None) -> DataFrame:
+    """A call table as the call-set operators take it, from VCF: typed site columns and annotations, and the samples' columns as they are.
+
+    chrom, pos, ref, alt, qual, filter and type, then the annotations of ANNOTATIONS as numbers, null where a call has none.
+    """
+    wide = read_vcf(spark, path, info=tuple(ANNOTATIONS), file_column=file_column)
+    number = lambda c: F.col(c).try_cast("double")
+    site = [F.col("CHROM").alias("chrom"), F.col("POS").try_cast("long").alias("pos"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), number("QUAL").alias("qual"), F.col("FILTER").alias("filter"), F.col("TYPE").alias("type")]
+    rest = [F.col(f"`{c}`") for c in wide.columns if "." in c or c == file_column]
+    return wide.select(*site, *(number(k).alias(v) for k, v in ANNOTATIONS.items()), *rest)
+
+
+def sample_calls(calls: DataFrame) -> DataFrame:
+    """(chrom, pos, ref, alt, sample, gt, ad, dp, gq): a row for each call of each sample of a table with <sample>.GT columns; missing calls stay out."""
+    each = []
+    for s in samples(calls):
+        at = lambda k, s=s: F.col(f"`{s}.{k}`") if f"{s}.{k}" in calls.columns else F.lit(None).cast("string")
+        each.append(F.struct(F.lit(s).alias("sample"), unphased(at("GT")).alias("gt"), lenient_depths(at("AD")).alias("ad"), lenient_int(at("DP")).alias("dp"), lenient_int(at("GQ")).alias("gq")))
+    site = {c.lower(): c for c in calls.columns}
+    rows = calls.select(*(F.col(site[c]).alias(c) for c in ("chrom", "pos", "ref", "alt")), F.explode(F.array(*each)).alias("s"))
+    return rows.select("chrom", F.col("pos").cast("long").alias("pos"), "ref", "alt", "s.*").where(F.col("gt") != MISSING)
+
+
 def read_variants(spark: SparkSession, path, **options) -> DataFrame:
     """A wide table from VCF (.vcf, .gz) or from tab-separated text (anything else)."""
     return read_vcf(spark, path, **options) if all(p.endswith((".vcf", ".gz")) for p in _paths(path)) else read_wide(spark, path)

@@ -86,6 +86,26 @@ def test_cohort_and_sites(spark):
     assert callsets.known_sites(df, df).count() == 2
 
 
+def test_cohort_carries_all_fields(spark):
+    df = spark.createDataFrame([("c", 1, "A", "C", "s1", "A/C", [4, 5], 9, 30)], "chrom string, pos long, ref string, alt string, sample string, gt string, ad array<int>, dp int, gq int")
+    r = callsets.cohort(df, ["s1", "s2"]).first()
+    assert (r.s1_gt, r.s1_ad, r.s1_dp, r.s1_gq, r.s2_gt, r.s2_ad, r.s2_dp, r.s2_gq) == ("A/C", [4, 5], 9, 30, "./.", None, 0, 0)
+
+
+def test_contigs_in_order_of_their_numbers(spark):
+    df = spark.createDataFrame([("chr10", 1), ("chr2", 7), ("X", 1), ("chr2", 3), ("chr1", 9)], "chrom string, pos long")
+    assert [tuple(r) for r in callsets.coordinate_sort(df).collect()] == [("chr1", 9), ("chr2", 3), ("chr2", 7), ("chr10", 1), ("X", 1)]
+
+
+def test_duplicates_by_both_ends(spark):
+    """Pairs with equal first ends and different mates are no copies; reads beside a pair's end are; secondary ones never."""
+    rows = [("p1", 99, 10, 5), ("p1", 147, 90, 5), ("p2", 99, 10, 50), ("p2", 147, 95, 50), ("p3", 99, 10, 6), ("p3", 147, 90, 6), ("f1", 73, 10, 99), ("f2", 73, 40, 1), ("f3", 73, 40, 2), ("s1", 355, 10, 9), ("u1", 77, 10, 9), ("p4", 163, 90, 6), ("p4", 83, 10, 6)]
+    df = spark.createDataFrame([(q, f, "L", "c", at, score) for q, f, at, score in rows], "qname string, flag int, library string, rname string, five_prime long, base_quality_sum long")
+    got = {(r.qname, r.flag): r.is_dup for r in reads.mark_duplicates(df).collect()}
+    assert len(got) == len(rows)
+    assert {k for k, dup in got.items() if dup} == {("p1", 99), ("p1", 147), ("f1", 73), ("f2", 73)}
+
+
 def test_scaffold_numbers_cross_slices(spark):
     df = spark.range(5).select((F.col("id") * 60_000).alias("contig_no"), F.lit("s").alias("sample"), F.lit("x").alias("name"))
     assert [r.name for r in contigs.rename_scaffolds(df).orderBy("contig_no").collect()] == [f"s_scaff_{i}" for i in range(1, 6)]
