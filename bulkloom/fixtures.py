@@ -77,10 +77,20 @@ SELECT p_partkey, substr('ACGTAC', CAST(p_partkey % 4 AS INT) + 1, CAST(1 + p_si
 VIEWS = {"variants": (VARIANTS, "lineitem"), "stage_log": (STAGE_LOG, "events"), "effects": (EFFECTS, "part"), "contigs": (CONTIGS, "documents"), "reads": (READS, "orders"), "alleles": (ALLELES, "part")}
 
 
+#: Columns by which a table of few splits is dealt out.
+_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "events": ("event_id",), "part": ("p_partkey",), "documents": ("doc_id",)}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of sf_dir. One that comes in fewer splits than there are cores is dealt out over them before rows are worked on."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *_KEYS[name]) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of VIEWS over the tables in sf_dir."""
-    text, table = VIEWS[name]
-    return tune(spark).sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    text, of = VIEWS[name]
+    return tune(spark).sql(text.replace(f"FROM {of}", f"FROM {{{of}}}"), **{of: table(spark, sf_dir, of)})
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
