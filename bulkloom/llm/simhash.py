@@ -17,12 +17,10 @@ from .components import Forest, connected_components
 BITS = 64
 #: Fingerprints that one bucket may hold before it is split by further bits.
 BUCKET = 20_000
-#: Times that buckets are split at most; what is larger then is compared in blocks, in bounded memory.
+#: Times that buckets are split by further bits; what is larger then is dealt out in pairs of blocks of BUCKET fingerprints.
 SPLITS = 3
 #: Keys of such buckets are broadcast up to so many rows.
 MAX_BROADCAST = 1_000_000
-#: When one of a group is to stay: bits of the wider links, words of the second fingerprint's shingles, bits of its distance.
-WIDE, CHECK_WORDS, CHECK_DISTANCE = 7, 5, 12
 #: Cost of a key against that of a candidate pair.
 KEY_COST = 4.0
 _PLACES = (np.arange(8, dtype=np.int64) * 256)[None, :]
@@ -36,7 +34,13 @@ def fingerprint(text: str | None, words: int = 3, repeats: bool = True) -> int:
         return 0
     shingles = [b" ".join(w)] if len(w) < words else map(b" ".join, zip(*(w[k:] for k in range(words)), strict=False))
     h = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64)
-    h = h if repeats else np.unique(h)
+    return of_hashes(h if repeats else np.unique(h))
+
+
+def of_hashes(h: np.ndarray) -> int:
+    """SimHash of shingles given by their hashes: a bit is set if it is in over half of them."""
+    if not len(h):
+        return 0
     seen = np.bincount((h.view(np.uint8).reshape(-1, 8) + _PLACES).ravel(), minlength=2048).reshape(8, 256)
     ones = (seen @ _TABLE).ravel() * 2 > len(h)
     return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
@@ -213,27 +217,39 @@ def _link(keyed: DataFrame, distance: int, check_distance: int) -> DataFrame:
     return keyed.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long")
 
 
+def _in_blocks(keyed: DataFrame) -> DataFrame:
+    """keyed, whose buckets have `count` fingerprints, as groups of two blocks of about BUCKET: every two fingerprints of a bucket meet in one."""
+    blocks = F.ceil(F.col("count") / BUCKET).cast("int")
+    dealt = keyed.withColumns({"_k": blocks, "_t": F.pmod(F.xxhash64("node"), blocks).cast("int")}).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    return dealt.select(F.xxhash64("key", F.least("_t", "_o"), F.greatest("_t", "_o")).alias("key"), "node", "fp", "check")
+
+
 def near_prints(prints: DataFrame, distance: int = 2, check_distance: int = BITS) -> DataFrame:
     """(a, b) links of prints(node, fp, check) that connect whatever lies within both distances.
 
     A bucket above BUCKET agrees on its group's bits; it is dealt again by other cuts of all bits into distance + 1
     parts, one of which must be equal for a pair to link; so on for SPLITS rounds, always with all of its
-    fingerprints. Each bucket gives a spanning forest of its links instead of all its pairs.
+    fingerprints. Buckets that are large even then are compared block by block over many tasks. Each bucket or pair of blocks gives a
+    spanning forest of its links instead of all its pairs.
     """
     n, together = bit_counts(prints)
     groups, thresholds = allocate(n, together, distance)
     keyed, links = _keyed(prints, signatures(groups, thresholds), F.lit(0)), None
     for split in range(SPLITS + 1):
-        hot = materialise(keyed.groupBy("key").count().where(F.col("count") > BUCKET).select("key"), "hot-buckets")
-        any_hot = split < SPLITS and hot.limit(1).count() > 0
+        hot = materialise(keyed.groupBy("key").count().where(F.col("count") > BUCKET), "hot-buckets")
+        any_hot = hot.limit(1).count() > 0
         hot = broadcast_if_small(hot, MAX_BROADCAST)
         found = _link(keyed.join(hot, "key", "left_anti") if any_hot else keyed, distance, check_distance)
         links = found if links is None else links.union(found)
         if not any_hot:
             break
+        large = keyed.join(hot, "key")
+        if split == SPLITS:
+            links = links.union(_link(_in_blocks(large), distance, check_distance))
+            break
         parts = group_bits(n, together, (distance + 1) * (split + 2))
         again = [sorted(b for g in parts[k :: distance + 1] for b in g) for k in range(distance + 1)]
-        keyed = _keyed(keyed.join(hot, "key", "left_semi"), again, F.col("key"))
+        keyed = _keyed(large, again, F.col("key"))
     return links
 
 
@@ -264,31 +280,5 @@ def near_documents(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFr
     return restore(inner.withColumn("_row", row_ordinal()).join(found, F.col("_row") == F.col("_ord")), ["fingerprint", "component_id"])
 
 
-def keep_one(docs: DataFrame, words: int = 3, distance: int = 2, check_words: int = CHECK_WORDS, wide: int = WIDE, check_distance: int = CHECK_DISTANCE) -> DataFrame:
-    """docs with one row of each group: that with the smallest doc_id, and of several such rows the first in the scan.
-
-    Rows group over two kinds of links: fingerprints within `distance` bits; and fingerprints within `wide` bits if
-    those of the distinct check_words-word shingles are within check_distance, which stands for a similarity of
-    about 0.8 or more: copies with a few words changed are often 3 to 7 bits apart. Repeated lines weigh once in
-    the second, so that texts that share only these stay. The rows that go are few as a rule, so they are what the
-    documents are joined with.
-    """
-    inner, restore = shield(docs, ["doc_id", "text"])
-    keys = materialise(with_fingerprints(inner.select("doc_id", "text", row_ordinal().alias("_ord")), words, check_words), "prints")
-    prints = materialise(keys.groupBy("fp", "check").agg(F.min("_ord").alias("node")), "distinct-prints")
-    same = prints.groupBy("fp").agg(F.min("node").alias("least"))
-    first = same.select(F.col("least").alias("node"), "fp", F.lit(0).cast("long").alias("check"))
-    twins = prints.join(same.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).select(F.col("node").alias("a"), F.col("least").alias("b"))
-    links = twins.union(near_prints(materialise(first, "first-prints"), distance)).union(near_prints(prints, wide, check_distance))
-    parts = connected_components(links).withColumnRenamed("node", "_node")
-    roots = prints.join(parts, F.col("node") == F.col("_node")).select(F.col("fp").alias("_fp"), F.col("check").alias("_check"), F.col("component").alias("root"))
-    shared = keys.groupBy("fp", "check").agg(F.count("*").alias("n"), F.min("_ord").alias("node")).where("n > 1").select(F.col("fp").alias("_fp"), F.col("check").alias("_check"), F.col("node").alias("root"))
-    groups = roots.union(shared.join(roots.select("_fp", "_check"), ["_fp", "_check"], "left_anti"))
-    found = materialise(keys.join(groups, (F.col("fp") == F.col("_fp")) & (F.col("check") == F.col("_check"))).select("_ord", "root", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_rank")), "near-labels")
-    best = found.groupBy("root").agg(F.min(F.struct("_rank", "_ord")).alias("_best")).select(F.col("root").alias("_root"), F.col("_best._ord").alias("_stays"))
-    gone = materialise(found.join(best, F.col("root") == F.col("_root")).where("_ord <> _stays").select("_ord"), "near-gone")
-    return restore(inner.withColumn("_ord", row_ordinal()).join(gone, "_ord", "left_anti"), [])
-
-
 def op7(docs: DataFrame) -> DataFrame:
     return label(docs.select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
