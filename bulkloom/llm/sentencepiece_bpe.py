@@ -42,6 +42,7 @@ class Codec:
         self.piece = {i: sp.id_to_piece(i).replace("▁", " ") for i in plain}
         self.id = {p: i for i, p in self.piece.items()}
         self.score = {p: sp.get_score(i) for p, i in self.id.items()}
+        self._read_as_assumed(sp)
         self.chunk = self._chunks()
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple[str, str]] = {}
@@ -52,6 +53,12 @@ class Codec:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
 
+    def _read_as_assumed(self, sp: sentencepiece.SentencePieceProcessor) -> None:
+        """Stop if the model normalises texts, folds or trims blanks, or puts no blank in front: this codec does what a model without these does."""
+        seen = "Ａ ﬁ ①  e\u0301 x "
+        if sp.decode(sp.encode(seen)) != seen or not sp.encode("a", out_type=str)[0].startswith("▁"):
+            raise ValueError("the model normalises text or puts no blank in front of it")
+
     def _chunks(self) -> re.Pattern:
         """A pattern whose matches cover any text and end only where no piece goes on.
 
