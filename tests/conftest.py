@@ -21,7 +21,7 @@ def spark():
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g", "spark.sql.session.timeZone": "UTC",
         "spark.local.dir": at, "spark.sql.warehouse.dir": f"{at}/warehouse", "spark.checkpoint.dir": f"file://{at}/shared",
     }
-    session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
+    session = SparkSession.builder.master("local[8]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
