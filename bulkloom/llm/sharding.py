@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, materialise, row_ordinal, shield, shuffle_parts, stored
+from .common import materialise, row_ordinal, shield, shuffle_parts, stored
 
 #: Bytes of text that a bucket holds on average; a task shuffles one bucket in memory.
 BUCKET_BYTES = 8 << 20
@@ -66,9 +66,13 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int =
     rows = docs.withColumns({"size": size, "_scatter": F.xxhash64(F.lit(seed), "doc_id", "text", row_ordinal())})
     rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_scatter"), F.lit(buckets)).cast("int"))
     counts = materialise(rows.groupBy("_bucket").count(), "bucket-counts")
-    offsets = broadcast_if_small(materialise(bucket_offsets(counts), "bucket-offsets"), MAX_BROADCAST)
+    offsets = materialise(bucket_offsets(counts), "bucket-offsets")
     parts = max(shuffle_parts(docs.sparkSession), -(-buckets // PER_TASK))
-    rows = rows.repartition(parts, "_bucket").join(offsets, "_bucket").select("_bucket", "_before", "_scatter", *names, "size")
+    if buckets <= MAX_BROADCAST:  # ranges of buckets: no partition holds more than its share
+        rows = rows.repartitionByRange(parts, "_bucket").join(F.broadcast(offsets), "_bucket")
+    else:
+        rows = rows.repartition(parts, "_bucket").join(offsets, "_bucket")
+    rows = rows.select("_bucket", "_before", "_scatter", *names, "size")
     fields = [f for f in rows.schema.fields if f.name not in ("_bucket", "_before", "_scatter")]
     schema = T.StructType([*fields, T.StructField("_at", T.LongType())])
 
