@@ -16,6 +16,8 @@ from .common import prepare
 
 #: Chunks in each of the two halves of a worker's memory; when the newer is full, it becomes the older, whose rest goes.
 MEMORY = 200_000
+#: Characters of a chunk that is remembered, at most, so that the memory is bounded in bytes too.
+LONGEST = 64
 _NEVER = float("-inf")
 
 
@@ -147,7 +149,9 @@ class Codec:
                 if len(known) > MEMORY:
                     self.older, self.known = known, {}
                     known = self.known
-                got = known[c] = self.older.get(c) or self._chunk_ids(c)
+                got = self.older.get(c) or self._chunk_ids(c)
+                if len(c) <= LONGEST:
+                    known[c] = got
             out.append(got)
         return out
 
