@@ -15,10 +15,12 @@ from .common import broadcast_if_small, materialise, prepare, shield
 
 #: Labelled documents of each language that the network is fitted on, at most, and stretches of each: a bounded sample, on the driver.
 SAMPLE_DOCS, SAMPLE_STRETCHES = 400, 6
+#: Groups of tasks that choose before all do.
+FANS = 64
 #: Cells of each direction, bytes of a training stretch, passes of training, stretches in each.
 HIDDEN, LENGTH, STEPS, BATCH = 12, 48, 200, 384
-#: Bytes that a stretch labels, and bytes of context that it reads on either side.
-STRETCH, CONTEXT = 224, 16
+#: Bytes that a stretch labels at most, the steps in which it is fitted to a text, and bytes of context that it reads on either side.
+STRETCH, FIT, CONTEXT = 320, 32, 16
 #: Numbers that a block of stretches may hold per array, about.
 BLOCK = 4_000_000
 #: Chosen documents are broadcast up to so many.
@@ -29,8 +31,9 @@ JUDGED_DOCS, LOW_SHARE = 200, 0.001
 NOTHING = "nothing learned"
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+def _gate(x: np.ndarray) -> np.ndarray:
+    """The hard sigmoid, as gates are used in many places: it costs a tenth of the smooth one."""
+    return np.clip(0.25 * x + 0.5, 0, 1)
 
 
 class ByteGru:
@@ -54,7 +57,7 @@ class ByteGru:
             a, g = table[x[t]], h @ u
             zr = a[:, : 2 * h_]
             zr += g[:, : 2 * h_]
-            zr = _sigmoid(zr)
+            zr = _gate(zr)
             z, r, gn = zr[:, :h_], zr[:, h_:], g[:, 2 * h_ :]
             c = np.tanh(a[:, 2 * h_ :] + r * gn)
             if keep:
@@ -66,12 +69,12 @@ class ByteGru:
     def _states(self, x: np.ndarray, d: str) -> np.ndarray:
         """States after each byte of x (bytes x stretches), read in the order given, without what training needs: (bytes, hidden, stretches).
 
-        Cells come before stretches, so that gates are whole blocks of memory; the halves of the sigmoids are in the weights.
+        Cells come before stretches, so that gates are whole blocks of memory; the slope and middle of the gates are in the weights.
         """
         (length, n), h_ = x.shape, self.hidden
-        half = np.repeat(np.array([0.5, 1.0], np.float32), [2 * h_, h_])
-        table = np.ascontiguousarray(((self.p[f"in_{d}"] + self.p[f"b_{d}"]) * half).T, np.float32)
-        u = np.ascontiguousarray((self.p[f"u_{d}"] * half).T, np.float32)
+        slope, middle = (np.repeat(np.array(x, np.float32), [2 * h_, h_]) for x in ([0.25, 1.0], [0.5, 0.0]))
+        table = np.ascontiguousarray(((self.p[f"in_{d}"] + self.p[f"b_{d}"]) * slope + middle).T, np.float32)
+        u = np.ascontiguousarray((self.p[f"u_{d}"] * slope).T, np.float32)
         h, a, g = np.zeros((h_, n), np.float32), np.empty((3 * h_, n), np.float32), np.empty((3 * h_, n), np.float32)
         states = np.empty((length, h_, n), np.float32)
         zr, z, r, c = a[: 2 * h_], a[:h_], a[h_ : 2 * h_], a[2 * h_ :]
@@ -79,9 +82,7 @@ class ByteGru:
             np.take(table, x[t], axis=1, out=a, mode="clip")
             np.dot(u, h, out=g)
             zr += g[: 2 * h_]
-            np.tanh(zr, out=zr)
-            zr += 1
-            zr *= 0.5
+            np.clip(zr, 0, 1, out=zr)
             r *= g[2 * h_ :]
             c += r
             np.tanh(c, out=c)
@@ -153,8 +154,8 @@ class ByteGru:
                 h, z, r, gn, c = tape[d][t]
                 dh = dh + into[d][t]
                 dc = dh * (1 - z) * (1 - c * c)
-                dz = dh * (h - c) * z * (1 - z)
-                dr = dc * gn * r * (1 - r)
+                dz = dh * (h - c) * (0.25 * ((z > 0) & (z < 1)))
+                dr = dc * gn * (0.25 * ((r > 0) & (r < 1)))
                 das[t] = np.concatenate([dz, dr, dc], axis=1)
                 dg = np.concatenate([dz, dr, dc * r], axis=1)
                 d_u += h.T @ dg
@@ -213,14 +214,14 @@ def stretches_of(text: bytes, stretch: int = STRETCH, context: int = CONTEXT) ->
 def document_scores(model: ByteGru, texts: list[str]) -> np.ndarray:
     """Mean probabilities over all bytes of each text, white space included; a text without bytes gets zeros.
 
-    Short texts take narrower stretches, so that little is spent on what lies beyond their ends. Stretches of
+    A text is cut into equal stretches, so that little is spent on what lies beyond its end. Stretches of
     many texts go through the network together, in blocks of bounded size.
     """
     raw = [t.encode("utf-8", "replace") for t in texts]
     out = np.zeros((len(texts), len(model.languages)))
-    width = np.array([next((w for w in (32, 64, 128) if len(r) <= w), STRETCH) for r in raw])
+    width = np.array([-(-len(r) // (max(1, -(-len(r) // STRETCH)) * FIT)) * FIT for r in raw])
     for w in np.unique(width):
-        own = np.nonzero((width == w) & np.array([len(r) > 0 for r in raw]))[0]
+        own = np.nonzero(width == w)[0] if w else []
         rows_at_once = max(64, BLOCK // ((w + 2 * CONTEXT) * 2 * model.hidden))
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
@@ -252,14 +253,15 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> ByteGru | None:
     """A network fitted on at most sample_docs documents of each language, those with the least hashes, that aren't held out.
 
-    The choice ranks ids by a hash within each language; Spark keeps the first of each task before it shuffles, so a
-    language with a third of all rows costs sample_docs rows per task. Of each chosen document SAMPLE_STRETCHES
+    The choice ranks ids by a hash within each language. Spark keeps the first of each task before it shuffles, and
+    FANS groups of tasks rank theirs before all do, so no task reads many rows however many tasks there are. Of each chosen document SAMPLE_STRETCHES
     stretches at random places, cut in the tasks, reach the driver. Without a labelled document there is no network.
     """
     own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     order = F.xxhash64(F.lit("sample"), "doc_id")
-    ranked = own.select("doc_id", "lang").withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy(order, "doc_id")))
-    chosen = materialise(ranked.where(F.col("_rank") <= sample_docs).select(F.col("doc_id").alias("_chosen"), F.col("lang").alias("_lang")).distinct(), "lang-sample")
+    first = lambda rows, *by: rows.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(order, "doc_id"))).where(F.col("_rank") <= sample_docs)
+    ranked = first(first(own.select("doc_id", "lang", (F.spark_partition_id() % FANS).alias("_fan")), "lang", "_fan"), "lang")
+    chosen = materialise(ranked.select(F.col("doc_id").alias("_chosen"), F.col("lang").alias("_lang")).distinct(), "lang-sample")
     few = own.join(broadcast_if_small(chosen, MAX_BROADCAST), (F.col("doc_id") == F.col("_chosen")) & (F.col("lang") == F.col("_lang"))).select("lang", "text", order.alias("seed"))
     # a doc_id that many rows repeat brings them all: of each language no more than the bound's own rows are taken
     few = few.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("seed", F.xxhash64("text")))).where(F.col("_rank") <= sample_docs).select("lang", "text", "seed")
