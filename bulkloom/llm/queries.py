@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, langid, mixing, pii, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup
+from . import embedding_dedup, exact_dedup, importance, langid, mixing, pii, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup
 from .common import read_table
 from .sql import ORACLE_SQL
 
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_language": _over(langid.op8),
     "op9_sentencepiece": _over(sentencepiece_bpe.op9),
     "op10_embedding_dedup": _over(embedding_dedup.op10, "embeddings"),
+    "op11_resample": lambda spark, sf_dir: importance.op11(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
 }
 
 
