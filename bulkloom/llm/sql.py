@@ -70,3 +70,16 @@ m AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT m.a AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.component_id::BIGINT AS component_id, m.a = m.component_id AS kept FROM m LEFT JOIN n ON m.a = n.a
 """
+
+ORACLE_SQL["op12_lexical"] = r"""
+WITH dt AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+dn AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+al AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM dn),
+dm AS (SELECT doc_id, 50 + (50 * n * nd) // l AS m FROM dn, al),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dt WHERE term IN (SELECT term FROM it) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, al GROUP BY term),
+sc AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM it JOIN tf USING (term) JOIN w USING (term) JOIN dm USING (doc_id) GROUP BY item_id, doc_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM rk WHERE rank <= 50
+"""

@@ -10,8 +10,9 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from bulkloom.llm import importance, queries, terms
+from bulkloom.llm import importance, lexical, queries, terms
 
 from ..conftest import SF
 
@@ -124,3 +125,59 @@ def test_op11(spark):
     want = resample_by_loop([(r["doc_id"], r["text"]) for r in docs.collect()], [r["text"] for r in target.collect()])
     got = queries.queries()["op11_resample"](spark, SF).collect()
     assert sorted(tuple(r) for r in got) == sorted(want, key=lambda r: r[0]) and sum(r["rank"] is not None for r in got) > 5
+
+
+# -- 12 lexical search
+
+
+def search_by_loop(docs, items, k=50):
+    bags = [(i, collections.Counter(words_of(t))) for i, t in docs]
+    bags = [(i, b, b.total()) for i, b in bags if b]
+    total = sum(n for *_, n in bags)
+    df = collections.Counter(t for _, b, _ in bags for t in b)
+    out = []
+    for item, text in items:
+        terms_ = set(words_of(text)) & set(df)
+        w = {t: math.floor(1000 * math.log((2 * len(bags) + 2) / (2 * df[t] + 1))) for t in terms_}
+        scored = []
+        for i, b, n in bags:
+            m = 100 - 50 + (50 * n * len(bags)) // total
+            scored.append((sum(w[t] * (10**9 * b[t] // (1000 * b[t] + 20 * m)) for t in terms_ if b[t]), i))
+        best = sorted((x for x in scored if x[0] > 0), key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:k]
+        out += [(item, r + 1, i, s) for r, (s, i) in enumerate(best)]
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(map(tuple, df.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_search(docs, spark, k):
+    """Ties of copies, repeated ids and items, null ids and texts."""
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    items = [(0, "the of and WORD"), (1, None), (2, ""), (3, "one two é 日本"), (3, rows[0][1]), (None, rows[1][1]), (5, "nowhere"), (6, rows[1][1]), (6, rows[1][1])]
+    table_ = spark.createDataFrame([(*x, "more") for x in items], "item_id long, text string, doc_id string")
+    assert found(lexical.search(docs, table_, k)) == search_by_loop(rows, items, k)
+
+
+def test_search_in_blocks(docs, spark, monkeypatch):
+    """Small blocks and score matrices give the same."""
+    monkeypatch.setattr(lexical, "BLOCK_PAIRS", 40)
+    monkeypatch.setattr(lexical, "CELLS", 30)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    items = [(i, rows[i][1]) for i in (0, 1, 2, 5)]
+    assert found(lexical.search(docs, spark.createDataFrame(items, "item_id int, text string"), 5)) == search_by_loop(rows, items, 5)
+
+
+def test_search_of_nothing(docs, nothing, spark):
+    items = spark.createDataFrame([(1, "the")], "item_id int, text string")
+    assert lexical.search(nothing, items).count() == 0
+    assert lexical.search(docs, items.limit(0)).columns == ["item_id", "rank", "doc_id", "score"] and lexical.search(docs, items.limit(0)).count() == 0
+
+
+def test_a_class_of_many_copies_passes_on_few_rows(spark):
+    bagged = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(3).cast("long").alias("n"), F.lit(b"12345678").alias("bag"))
+    out = lexical.classes(bagged, 5000, 15_000, 7)
+    assert [r["members"] for r in out.collect()] == [list(range(7))]
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
