@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, importance, langid, lexical, mixing, pii, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup
+from . import embedding_dedup, exact_dedup, importance, langid, lexical, mixing, pii, secrets, sentencepiece_bpe, sharding, simhash, substring_dedup, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL
 
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_sentencepiece": _over(sentencepiece_bpe.op9),
     "op10_embedding_dedup": _over(embedding_dedup.op10, "embeddings"),
     "op11_resample": lambda spark, sf_dir: importance.op11(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
+    "op13_toxicity": lambda spark, sf_dir: toxicity.op13(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")),
     "op12_lexical": lambda spark, sf_dir: lexical.op12(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
 }
 

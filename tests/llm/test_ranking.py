@@ -12,9 +12,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from bulkloom.llm import importance, lexical, queries, terms
+from bulkloom.llm import importance, lexical, queries, terms, toxicity
 
-from ..conftest import SF
+from ..conftest import SF, SF_LARGER
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -181,3 +181,107 @@ def test_a_class_of_many_copies_passes_on_few_rows(spark):
     out = lexical.classes(bagged, 5000, 15_000, 7)
     assert sorted(r["members"] for r in out.collect()) == [list(range(0, 14, 2)), list(range(1, 14, 2))]
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+# -- 13 toxicity
+
+
+def nearest_by_loop(rows, idf, terms_, k, leave_out=None):
+    """(cosine, id) of the k nearest of (id, label, terms), by dense vectors."""
+    def vector(t):
+        v = np.zeros(len(idf))
+        v[t] = idf[t]
+        return v / max(np.linalg.norm(v), 1e-300)
+
+    q = vector(terms_)
+    scored = [(float(q @ vector(t)), i) for i, _, t in rows if i != leave_out]
+    return sorted((x for x in scored if x[0] > 0), key=lambda x: (-round(x[0], 9), x[1]))[:k]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_block_max_search_is_exact(seed):
+    rng = np.random.default_rng(seed)
+    n_terms = 40
+    idf = rng.uniform(1, 6, n_terms)
+    rows = [(i, int(rng.random() < 0.3), np.sort(rng.choice(n_terms, rng.integers(0, 9), replace=False))) for i in range(900)]
+    rows += [(1000 + i, 1, rows[5][2]) for i in range(70)]  # ties over blocks
+    index = toxicity.Index(rows, idf)
+    assert index.blocks > 10
+    for k in (1, 9):
+        for i, _, t in [*rows[:120], rows[-1], (-1, 0, np.array([3, 7, 20]))]:
+            near, who = index.nearest(t, k, index.number.get(i, -1))
+            want = nearest_by_loop(rows, idf, t, k, leave_out=i)
+            assert np.allclose(near, [c for c, _ in want], atol=1e-9) and len(who) == len(want)
+            if len({round(c, 9) for c, _ in want}) == len(want):  # without ties the same examples
+                assert index.id[who].tolist() == [i for _, i in want]
+
+
+def test_an_index_without_examples():
+    index = toxicity.Index([], np.ones(3))
+    assert index.nearest(np.array([1]), 5)[1].size == 0 and index.vote(*index.nearest(np.array([], int), 5)) == -1
+
+
+def test_calibration_rises_and_keeps_shares():
+    rng = random.Random(5)
+    votes = [round(rng.random(), 2) for _ in range(500)] + [-1.0] * 40
+    labels = [int(rng.random() < max(v, 0)) for v in votes]
+    share = toxicity.Calibration(votes, labels)
+    out = [share(v) for v in sorted(set(votes))]
+    assert out == sorted(out) and abs(sum(map(share, votes)) - sum(labels)) < len(share.at)
+    assert share(-5) == share.overall and toxicity.Calibration([], [])(0.4) == 0.0
+
+
+def test_toxicity(docs, spark):
+    """A hot term is found in held-out and unlabelled documents; clean ones, empty and null texts stay below the threshold."""
+    rng = random.Random(8)
+    plain = [f"the {rng.choice(['cat', 'dog', 'cow'])} is on {rng.choice(['a', 'the'])} mat of {rng.choice('pqrst')}{k % 40}" for k in range(300)]
+    rows = [(1000 + k, t + (" you grumbling numbskull!" if k % 3 == 0 else "")) for k, t in enumerate(plain)]
+    table_ = docs.select("doc_id", "text", "lang", "_ord", "kept").unionByName(spark.createDataFrame([(i, t, "en", "x", "y") for i, t in rows], "doc_id long, text string, lang string, _ord string, kept string"))
+    labels = spark.createDataFrame([(i, int("numbskull" in t)) for i, t in rows[:200]] + [(3, 0), (3, None), (None, 1), (99_999, 1)], "doc_id long, toxic int")
+    out = toxicity.score_toxicity(table_, labels)
+    assert out.columns == ["doc_id", "text", "lang", "_ord", "kept", "score", "predicted", "evidence"] and out.count() == table_.count()
+    for r in out.collect():
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) == ("numbskull" in (r["text"] or ""))
+        assert all(e["label"] == 1 and e["doc_id"] < 1200 for e in r["evidence"]) or not r["predicted"]
+    # labels of held-out documents are never read
+    flipped = labels.withColumn("toxic", F.when(toxicity.learns_from(F.col("doc_id")), F.col("toxic")).otherwise(1 - F.col("toxic")))
+    key = lambda df: sorted(map(str, df.select("doc_id", "text", "score").collect()))
+    assert key(toxicity.score_toxicity(table_, flipped)) == key(out)
+
+
+def test_toxicity_of_nothing(docs, nothing, spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(nothing, labels).count() == 0
+    none = toxicity.score_toxicity(docs, labels.limit(0))
+    assert none.count() == docs.count() and {r["score"] for r in none.collect()} == {0.0}
+
+
+def test_op13(spark):
+    """Over a larger table: held-out documents, by whole brute force of vectors and votes as well."""
+    docs, labels = table(spark, "documents", SF_LARGER), table(spark, "labels", SF_LARGER)
+    rows = {r["doc_id"]: r for r in queries.queries()["op13_toxicity"](spark, SF_LARGER).collect()}
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) and r["predicted"] == (r["score"] >= 0.3) for i, r in rows.items())
+    known = toxicity.examples(docs, labels)
+    chosen = toxicity.choose_terms(known)
+
+    def bag(text):
+        words = collections.Counter(words_of(text))
+        tf = collections.Counter()
+        for w, k in words.items():
+            for p in toxicity.pieces(w.encode()):
+                tf[p] += k
+        return np.array([t for t, (p, level) in enumerate(chosen) if tf[p] >= level], int)
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    bags = {i: bag(t) for i, t in texts.items()}
+    df = np.bincount(np.concatenate([b for b in bags.values() if b.size]), minlength=len(chosen))
+    idf = np.log((len(texts) + 1) / (df + 1)) + 1
+    index_rows = [(r["doc_id"], r["label"], bags[r["doc_id"]]) for r in known.collect()]
+    for i in list(texts)[::7]:
+        want = nearest_by_loop(index_rows, idf, bags[i], toxicity.NEIGHBOURS)
+        got = [x.split(":") for x in rows[i]["evidence"].split(",") if x]
+        assert np.allclose([float(c) for *_, c in got], [c for c, _ in want], atol=2e-6)
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [(rows[i]["predicted"], y) for i, y in truth.items() if rows[i]["held_out"]]
+    assert sum(p == y for p, y in held) / len(held) > 0.9
