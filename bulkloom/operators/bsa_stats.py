@@ -26,13 +26,19 @@ def one_bulk_statistics(variants: DataFrame) -> DataFrame:
     return variants.withColumn("si", snp_index(count, F.col("b_dp")))
 
 
-def add_two_bulk_thresholds(stats: DataFrame, high_frequency: float = 0.5, low_frequency: float = 0.5) -> DataFrame:
-    """Thresholds are made and written once per distinct depth pair and joined back; Spark broadcasts them where their size allows."""
-    limits = materialise(two_bulk_thresholds(stats.select(F.col("hb_dp").alias("high_dp"), F.col("lb_dp").alias("low_dp")), high_frequency, low_frequency), "thresholds")
-    return stats.join(limits, (stats["hb_dp"] == limits["high_dp"]) & (stats["lb_dp"] == limits["low_dp"])).drop("high_dp", "low_dp")
+def two_bulk_limits(stats: DataFrame, high_frequency: float = 0.5, low_frequency: float = 0.5) -> DataFrame:
+    """(hb_dp, lb_dp, thresholds), made and written once per distinct depth pair."""
+    pairs = stats.select(F.col("hb_dp").alias("high_dp"), F.col("lb_dp").alias("low_dp"))
+    return materialise(two_bulk_thresholds(pairs, high_frequency, low_frequency).withColumnsRenamed({"high_dp": "hb_dp", "low_dp": "lb_dp"}), "thresholds")
 
 
-def add_one_bulk_thresholds(stats: DataFrame, frequency: float = 0.5) -> DataFrame:
+def one_bulk_limits(stats: DataFrame, frequency: float = 0.5) -> DataFrame:
+    """(b_dp, thresholds), made and written once per distinct depth."""
     limits = one_bulk_thresholds(stats.select(F.col("b_dp").alias("n")), frequency)
-    limits = materialise(limits.select("n", *(F.col(n).alias(f"b_{n}") for n, _ in QUANTILES)), "thresholds")
-    return stats.join(limits, stats["b_dp"] == limits["n"]).drop("n")
+    return materialise(limits.select(F.col("n").alias("b_dp"), *(F.col(n).alias(f"b_{n}") for n, _ in QUANTILES)), "thresholds")
+
+
+def add_limits(stats: DataFrame, limits: DataFrame, keys: list[str]) -> DataFrame:
+    """stats with the thresholds of its depths; Spark broadcasts them where their size allows."""
+    added = [c for c in limits.columns if c not in keys]
+    return stats.join(limits, keys).select(*stats.columns, *added)

@@ -37,8 +37,11 @@ def call_qtl(points: DataFrame, kinds=TWO_BULK_SERIES) -> DataFrame:
     last crossing before the peak to the first after it, and one at the peak counts for neither. All tests run at once
     over the long table, each contig and test being one window partition.
     """
-    each = F.array(*(F.struct(F.lit(order).alias("o"), F.lit(label).alias("label"), F.lit(sign).alias("sign"), F.lit(name).alias("of"), F.col(limit).alias("limit")) for order, name, limit, label, sign in tests(kinds)))
-    rows = points.withColumn("t", F.explode(each)).where((F.col("t.of") == F.col("statistic")) & F.col("t.limit").isNotNull())
+    of_statistic = lambda own: F.array(*(F.struct(F.lit(order).alias("o"), F.lit(label).alias("label"), F.lit(sign).alias("sign"), F.col(limit).alias("limit")) for order, name, limit, label, sign in tests(kinds) if name == own))
+    own = F.lit(None)
+    for name in reversed([k[0] for k in kinds]):  # a point meets the tests of its own statistic only
+        own = F.when(F.col("statistic") == name, of_statistic(name)).otherwise(own)
+    rows = points.withColumn("t", F.explode(own)).where(F.col("t.limit").isNotNull())
     rows = rows.select("chrom", "type", "pos", "statistic", F.col("t.o").alias("test_order"), F.col("t.label").alias("threshold"), F.col("t.sign").alias("sign"), (F.col("t.sign") * F.col("value")).alias("y"), (F.col("t.sign") * F.col("t.limit")).alias("h"))
     key = ["chrom", "type", "test_order"]
     by_pos, whole = W.partitionBy(*key).orderBy("pos"), W.partitionBy(*key)

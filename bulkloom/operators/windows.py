@@ -18,20 +18,44 @@ def _means(summed: DataFrame, columns: list[str], window: int, step: int) -> Dat
     return summed.select("chrom", "type", centre.alias("centre"), "n", *((F.round(F.try_divide(F.col(c).cast("double"), F.col("n"))) / 1e6).alias(c) for c in columns))
 
 
+def step_sums(stats: DataFrame, columns: list[str], step: int, *more: str) -> DataFrame:
+    """(chrom, type, k, *more, n, sums of columns in whole micros) of the rows in each step k; a missing value counts as 0."""
+    return stats.groupBy("chrom", "type", _bin(step).alias("k"), *more).agg(F.count("*").alias("n"), *_sums(columns))
+
+
+def _sums(columns: list[str]) -> list:
+    return [F.coalesce(F.sum(micros(F.col(c))), F.lit(0)).alias(c) for c in columns]
+
+
+def weighted_step_sums(stats: DataFrame, columns: list[str], step: int, keys: list[str], limits: DataFrame, limit_columns: list[str]) -> DataFrame:
+    """The same with columns that depend on the keys alone, from limits(*keys, *limit_columns): rows are counted by step and keys
+    before the join, and each limit is weighted by its count. So the join meets counts, never rows."""
+    counted = step_sums(stats, columns, step, *keys)
+    each = counted.join(limits, keys)
+    weighted = [F.coalesce(F.sum(F.col("n") * micros(F.col(c))), F.lit(0)).alias(c) for c in limit_columns]
+    return each.groupBy("chrom", "type", "k").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in columns), *weighted)
+
+
 def window_means(stats: DataFrame, columns: list[str], window: int = 2_000_000, step: int = 10_000) -> DataFrame:
     """(chrom, type, centre, n, means of columns) over [s, s + window) for s = 0, step, 2 step, ... up to the last position.
 
     Values carry six decimals and are summed as whole micros, so results don't depend on the order of rows; a missing
     value counts as 0. If the step divides the window, rows are first summed per step, with a partial sum in each task.
-    Steps without rows are filled in, as windows may start there, and a window's sum is the difference of two
-    running sums, whatever the window holds. Otherwise rows go to each of their windows. Windows without rows are left out.
+    Otherwise rows go to each of their windows. Windows without rows are left out.
     """
-    sums = [F.coalesce(F.sum(micros(F.col(c))), F.lit(0)).alias(c) for c in columns]
     if window % step:
         low = F.greatest(F.lit(0), F.floor((F.col("pos") - window) / step) + 1)
         each = stats.withColumn("k", F.explode(F.sequence(low, _bin(step))))
-        return _means(each.groupBy("chrom", "type", "k").agg(F.count("*").alias("n"), *sums), columns, window, step)
-    bins = stats.groupBy("chrom", "type", _bin(step).alias("k")).agg(F.count("*").alias("n"), *sums)
+        return _means(each.groupBy("chrom", "type", "k").agg(F.count("*").alias("n"), *_sums(columns)), columns, window, step)
+    return means_of_steps(step_sums(stats, columns, step), columns, window, step)
+
+
+def means_of_steps(bins: DataFrame, columns: list[str], window: int, step: int) -> DataFrame:
+    """Window means from sums per step, where the step divides the window.
+
+    Steps without rows are filled in, as windows may start there, and a window's sum is the difference of two running
+    sums, whatever the window holds.
+    """
     whole = W.partitionBy("chrom", "type")
     by_step, names = whole.orderBy("k"), ["n", *columns]
     # each bin stands for its own step and the empty ones up to the next bin, the first also for those before it

@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.bsa_stats import add_one_bulk_thresholds, add_two_bulk_thresholds, one_bulk_statistics, two_bulk_statistics
+from ..operators.bsa_stats import add_limits, one_bulk_limits, one_bulk_statistics, two_bulk_limits, two_bulk_statistics
 from ..operators.filters import filter_design
 from ..operators.null_model import ONE_BULK_LIMITS, TWO_BULK_LIMITS, null_frequency
 from ..operators.qtl import ONE_BULK_SERIES, TWO_BULK_SERIES, call_qtl, series
-from ..operators.windows import window_means
+from ..operators.windows import means_of_steps, weighted_step_sums, window_means
 from ..session import materialise, tune
 from ..sources.sinks import qtl_table, statistics_table, write_series, write_tsv
 from ..sources.variants import assign_roles
@@ -31,17 +31,27 @@ def analyse(variants: DataFrame, design: str, window: int = 2_000_000, step: int
     """The tables of a run over canonical variants; design as in filters.DESIGNS.
 
     The filtered variants with their statistics are written once: the distinct depth pairs, the threshold join and
-    the windows all read them, and the input is scanned no more.
+    the windows all read them, and the input is scanned no more. The windows' rows are counted by step and depths before
+    they meet the thresholds, and windows are written once, as series and intervals read them too.
     """
     frequency = null_frequency(population)
     rows = filter_design(variants, design, window, step, min_depth)
     if design == "one_bulk":
-        stats, values, kinds = add_one_bulk_thresholds(materialise(one_bulk_statistics(rows), "stats"), frequency), ONE_BULK_VALUES, ONE_BULK_SERIES
+        values, own, keys, kinds = ONE_BULK_VALUES, ["si"], ["b_dp"], ONE_BULK_SERIES
+        stats = materialise(one_bulk_statistics(rows), "stats")
+        limits = one_bulk_limits(stats, frequency)
     else:
-        stats, values, kinds = add_two_bulk_thresholds(materialise(two_bulk_statistics(rows, design == "two_bulk"), "stats"), frequency, frequency), TWO_BULK_VALUES, TWO_BULK_SERIES
-    windows = window_means(stats.where(stats["type"].isin("SNP", "INDEL")), values, window, step)
+        values, own, keys, kinds = TWO_BULK_VALUES, ["high_si", "low_si", "dsi", "gs"], ["hb_dp", "lb_dp"], TWO_BULK_SERIES
+        stats = materialise(two_bulk_statistics(rows, design == "two_bulk"), "stats")
+        limits = two_bulk_limits(stats, frequency, frequency)
+    full, typed = add_limits(stats, limits, keys), stats.where(stats["type"].isin("SNP", "INDEL"))
+    if window % step:
+        windows = window_means(add_limits(typed, limits, keys), values, window, step)
+    else:
+        windows = means_of_steps(weighted_step_sums(typed, own, step, keys, limits, [v for v in values if v not in own]), values, window, step)
+    windows = materialise(windows, "windows")
     points = series(windows, kinds)
-    return BsaResult(stats, windows, points, call_qtl(points, kinds))
+    return BsaResult(full, windows, points, call_qtl(points, kinds))
 
 
 def choose_design(high_parent=None, low_parent=None, high_bulk=None, low_bulk=None) -> str:
@@ -69,9 +79,7 @@ def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_b
     result.stats.write.mode("overwrite").partitionBy("chrom").parquet(f"{out}/stats")
     stats = spark.read.schema(result.stats.schema).parquet(f"{out}/stats")
     write_tsv(statistics_table(stats.orderBy("chrom", "pos"), **roles), f"{out}/statistics.tsv")
-    values = ONE_BULK_VALUES if design == "one_bulk" else TWO_BULK_VALUES
-    windows = window_means(stats.where(stats["type"].isin("SNP", "INDEL")), values, options.get("window", 2_000_000), options.get("step", 10_000))
-    windows.orderBy("chrom", "type", "centre").write.mode("overwrite").parquet(f"{out}/windows")
+    result.windows.orderBy("chrom", "type", "centre").write.mode("overwrite").parquet(f"{out}/windows")
     points = series(spark.read.parquet(f"{out}/windows"), kinds)
     write_series(points, f"{out}/series")
     for kind in ("SNP", "INDEL"):

@@ -378,10 +378,10 @@ def run_one_bulk_tsv(spark, sf_dir):
 def _write_effects(spark, sf_dir):
     at = new_path(spark, "effects")
     rows = view(spark, sf_dir, "effects").select("p_partkey", F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("eff").alias("EFF"))
-    head = spark.createDataFrame([("\t".join(rows.columns),)], "value string")
-    # one file, as each has its header in its first line; a line of two cells is to be rejected
     lines = rows.select(F.concat_ws("\t", *(F.col(c).cast("string") for c in rows.columns)).alias("value"))
-    head.union(lines).union(spark.createDataFrame([("bad\tline",)], "value string")).coalesce(1).write.text(at)
+    lines = lines.union(spark.createDataFrame([("bad\tline",)], "value string"))  # of two cells, to be rejected
+    # one column whose name is the header, so that each file of the folder begins with it
+    lines.select(F.col("value").alias("\t".join(rows.columns))).write.csv(at, header=True, sep="\x01", quote="", escape="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return at
 
 
