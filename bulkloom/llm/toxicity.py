@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from .common import materialise, prepare, shield
 from .terms import texts_of, word_lists
 
 #: Labelled documents that the index holds, chosen by a hash of their id; about so many, whatever the table's size.
-MAX_EXAMPLES = 16_384
+MAX_EXAMPLES = 8192
 #: Terms of the index, those that part the labels best.
 MAX_TERMS = 1024
 #: A term must be in so many toxic examples, and its G statistic against the label must reach this.
@@ -32,9 +33,9 @@ MEMORY = 50_000
 
 
 def pieces(word: bytes) -> list[bytes]:
-    """The word with both ends marked, and its stretches of PIECES bytes, each once."""
+    """The word with both ends marked, and its stretches of PIECES bytes, as often as they occur."""
     w = b"^" + word + b"$"
-    return list({w} | {w[i : i + n] for n in PIECES for i in range(len(w) - n + 1)})
+    return [w[i : i + n] for n in PIECES for i in range(len(w) - n + 1)] + ([w] if len(w) not in PIECES else [])
 
 
 def word_counts(text: bytes | None) -> Counter:
@@ -44,6 +45,24 @@ def word_counts(text: bytes | None) -> Counter:
     return out
 
 
+class Finder:
+    """Counts known pieces in a text in one run of an automaton over its marked words."""
+
+    def __init__(self, known: list[bytes]):
+        self.automaton = ahocorasick.Automaton()
+        for piece in known:
+            self.automaton.add_word(piece.decode("latin-1"), piece)
+        self.automaton.make_automaton()
+        self.empty = not known
+
+    def __call__(self, text: bytes | None) -> Counter:
+        out: Counter = Counter()
+        for part in word_lists(text):
+            if part and not self.empty:
+                out.update(piece for _, piece in self.automaton.iter((b"^" + b"$^".join(part) + b"$").decode("latin-1")))
+        return out
+
+
 def learns_from(doc_id: Column) -> Column:
     """Rows whose labels may be learned from: crc32 of the id as text, modulo 4, is not 2. A null id is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))
@@ -113,14 +132,11 @@ def bags(docs: DataFrame, terms: list[tuple[bytes, int]], keep_text: bool = True
         levels: dict[bytes, list[tuple[int, int]]] = {}
         for k, (piece, level) in enumerate(terms):
             levels.setdefault(piece, []).append((level, k))
-        known = lru_cache(MEMORY)(lambda w: [p for p in pieces(w) if p in levels])
+        find = Finder(list(levels))
         for batch in batches:
             out = []
             for text in texts_of(batch):
-                tf: Counter = Counter()
-                for w, k in word_counts(text).items():
-                    for p in known(w):
-                        tf[p] += k
+                tf = find(text)
                 out.append(np.array(sorted(t for p, k in tf.items() for level, t in levels[p] if k >= level), "<i4").tobytes())
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in names), pa.array(out, pa.binary())], names=[*names, "bag"])
 

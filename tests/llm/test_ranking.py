@@ -216,6 +216,16 @@ def test_block_max_search_is_exact(seed):
                 assert index.id[who].tolist() == [i for _, i in want]
 
 
+def test_pieces_are_found_as_they_are_counted():
+    rng = random.Random(6)
+    for _ in range(60):
+        text = "".join(rng.choice(["ha", "é", "b", " ", "HAHA", "x1 ", "\n"]) for _ in range(80))
+        want = collections.Counter(p for w in words_of(text) for p in toxicity.pieces(w.encode()))
+        known = rng.sample(sorted(want), min(20, len(want))) + [b"^zzz$"]
+        assert toxicity.Finder(known)(text.encode()) == {p: want[p] for p in known if want[p]}
+    assert toxicity.Finder([])(b"some text") == {} and toxicity.Finder([b"^a$"])(None) == {}
+
+
 def test_an_index_without_examples():
     index = toxicity.Index([], np.ones(3))
     assert index.nearest(np.array([1]), 5)[1].size == 0 and index.vote(*index.nearest(np.array([], int), 5)) == -1
