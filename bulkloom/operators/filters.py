@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.genotype import is_biallelic, is_called, is_homozygous
+from ..session import materialise
+from .stages import chosen_partitions
 
 #: Least depths, inclusive.
 MIN_DEPTH = {"hp": 5, "lp": 5, "hb": 40, "lb": 40, "b": 40}
@@ -30,6 +32,28 @@ def contig_ends(variants: DataFrame) -> DataFrame:
     return variants.groupBy("chrom").agg(F.max("pos").alias("max_pos"))
 
 
+def stored_contig_ends(spark: SparkSession, path: str) -> DataFrame:
+    """(contig, max_pos) of a Parquet table with a folder per contig: from the files' footers, no row is read.
+
+    The second version of the Parquet source hands aggregates over a partition's columns down to the footers; it is used for
+    this read alone.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        table = spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+    return table.groupBy("contig").agg(F.max("pos").alias("max_pos"))
+
+
+def long_stored_contigs(spark: SparkSession, path: str, window: int, step: int) -> DataFrame:
+    """Rows of such a table on contigs whose last position lies beyond window + step: ends from footers, then the folders of these contigs alone."""
+    ends = materialise(stored_contig_ends(spark, path), "contig-ends")
+    return chosen_partitions(spark.read.parquet(path), "contig", ends.where(F.col("max_pos") > window + step))
+
+
 def drop_short_contigs(variants: DataFrame, window: int, step: int) -> DataFrame:
     """Rows of contigs whose last position, over all rows, lies beyond window + step."""
     good = contig_ends(variants).where(F.col("max_pos") > window + step).select("chrom")

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import round6
-from ..session import materialise
+from ..session import materialise, with_code
 
 #: Allele frequency of a bulk under no linkage: the mean dose of the population's genotypes.
 NULL_AF = {"F2": 0.5, "RIL": 0.5, "BC": 0.25}
@@ -124,7 +124,7 @@ def two_bulk_thresholds(pairs: DataFrame, high_frequency: float, low_frequency:
     Quantiles of difference and G come from sweeps over the two distributions, in O((n + m) log) steps a pair instead of the
     (n + 1)(m + 1) outcomes of the grid. The distinct pairs are written once and dealt out over all cores.
     """
-    spark = pairs.sparkSession
+    spark = with_code(pairs.sparkSession)
     high_dp, low_dp = (F.col(c).cast("int").alias(c) for c in ("high_dp", "low_dp"))
     pairs = materialise(pairs.select(high_dp, low_dp).where("high_dp >= 1 AND low_dp >= 1").distinct(), "pairs")
     shares = np.array([q for _, q in QUANTILES])

@@ -252,4 +252,14 @@ ORACLE_SQL = {
     "sam_read": f"{_RD} SELECT qname, flag, library, rname, pos, mapq, tlen, five_prime, base_quality_sum FROM rd",
     "sam_duplicates": f"{_DUP} SELECT qname, flag, library, is_dup FROM du",
     "fastq_files": f"{_RD} SELECT unnest([concat('@', qname, '/', {_MATE}), CASE WHEN {_BACK} THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END, '+', CASE WHEN {_BACK} THEN reverse(qual) ELSE qual END]) AS value, {_MATE} AS mate FROM rd WHERE (flag & 12) <> 0 AND (flag & 256) = 0",
+    "calls_resume": f"{_RAW} SELECT {_SITE} FROM v WHERE {_PASSING}",
+    "contig_pruned": f"{_RAW} SELECT {_SITE} FROM v WHERE chrom IN (SELECT chrom FROM v GROUP BY chrom HAVING avg(qual) > (SELECT avg(qual) FROM v))",
+    "short_contigs_stored": f"{_RAW} SELECT chrom, max(pos) AS max_pos, max(pos) > {WINDOW + STEP} AS kept FROM v GROUP BY chrom",
+    "stage_status": f"{_LOG}, cp AS ({_COMPLETED}) SELECT p.program, s.sample, c.chromosome, (p.program, s.sample, c.chromosome) IN (SELECT (program, sample, chromosome) FROM cp) AS done FROM (SELECT DISTINCT program FROM lg) p, (SELECT DISTINCT sample FROM lg) s, (SELECT DISTINCT chromosome FROM lg) c",
+    "stage_log_rejected": f"""{_LOG}, li AS (SELECT status, concat('{{"time":"2024-01-01T00:00:00Z","msg":"', tool, '","PROGRAM":"', program, '","SAMPLE":"', sample, '","CHROMOSOME":"', chromosome, '"') AS line FROM lg WHERE status <> 'COMPLETED')
+      SELECT CASE WHEN status = 'FAILED' THEN 'no JSON' ELSE 'no STATUS' END AS reason, CASE WHEN status = 'FAILED' THEN substr(line, 1, 40) ELSE concat(line, '}}') END AS line, count(*) AS n FROM li GROUP BY ALL""",
+    "vcf_united": f"{_RAW} SELECT chrom, pos, ref, {_ALT2}, type, CASE WHEN type = 'SNP' THEN hp_dp::VARCHAR ELSE '' END AS hp_dp, CASE WHEN type = 'SNP' THEN lp_dp::VARCHAR ELSE '' END AS lp_dp, hb_dp::VARCHAR AS hb_dp, CASE WHEN type = 'INDEL' THEN lb_dp::VARCHAR ELSE '' END AS lb_dp, hb_ad, true AS has_file FROM v",
+    "roles_long": f"{_roles('hp', 'lp', 'hb', 'lb')} WHERE type = 'SNP'",
+    "cohort_grown": f"{_COHORT} SELECT * FROM cg",
+    "fasta_chunks": f"{_CTG} SELECT contig_no, name, concat(repeat('ACGT', CAST(length % 500 AS INT)), 'TTA') AS seq, length % 500 * 4 + 3 AS length FROM ct",
 }

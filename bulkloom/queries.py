@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .fixtures import variants, view
 from .functions.genotype import effect_struct, lenient_depths, partition_key, variant_type
 from .operators import bsa_stats, callsets, contigs, filters, null_model, qtl, reads, stages, windows
 from .plans.bsa import ONE_BULK_VALUES, TWO_BULK_VALUES, analyse, run_bsa
+from .plans import calls
 from .plans.calls import run_calls
 from .plans.pangenome import add_sample, annotated_table, export_unmapped
-from .session import new_path
+from .session import materialise, new_path
 from .sources import sinks, text
 from .sources import variants as wide
-from .streaming.stage_status import completed_of
+from .streaming.stage_status import completed_of, keep_status, status
 
 WINDOW, STEP = 200_000, 10_000
 _SITE = ["chrom", "pos", "ref", "alt", "type"]
@@ -191,10 +194,14 @@ def _long_calls(spark, sf_dir):
 _SAMPLES = ["hp", "lp", "b0", "b1", "b2"]
 
 
-def cohort_combine(spark, sf_dir):
-    """Sites that occur more than once in the table give the largest of each field."""
+def _single_calls(spark, sf_dir):
+    """One call for each site and sample; sites that occur more than once in the table give the largest of each field."""
     once = _long_calls(spark, sf_dir).groupBy("chrom", "pos", "ref", "alt", "sample").agg(F.max("gt").alias("gt"), F.max(F.array_join("ad", ",")).alias("ad"), F.max("dp").alias("dp"), F.max("gq").alias("gq"))
-    rows = callsets.cohort(once.withColumn("ad", lenient_depths(F.col("ad"))), _SAMPLES)
+    return once.withColumn("ad", lenient_depths(F.col("ad")))
+
+
+def cohort_combine(spark, sf_dir):
+    rows = callsets.cohort(_single_calls(spark, sf_dir), _SAMPLES)
     return rows.withColumns({f"{s}_ad": F.array_join(f"{s}_ad", ",") for s in _SAMPLES})
 
 
@@ -321,24 +328,30 @@ def wide_read_one_bulk(spark, sf_dir):
     return _roles_back(spark, sf_dir, high_parent="HP", low_parent="LP", bulk="HB")
 
 
-def _write_vcf(spark, sf_dir):
+def _write_text(lines, head, at):
+    """Lines as text files, each of which begins with the head."""
+    n = max(1, lines.rdd.getNumPartitions())
+    each = lines.sparkSession.range(n).select(F.col("id").cast("int").alias("_file"), F.lit(0).alias("_o"), F.lit(head).alias("value"))
+    lines = lines.select(F.spark_partition_id().alias("_file"), F.lit(1).alias("_o"), "value")
+    each.unionByName(lines).repartitionByRange(n, "_file").sortWithinPartitions("_file", "_o").select("value").write.text(at)
+    return at
+
+
+def _write_vcf(spark, sf_dir, names=("HP", "LP", "HB", "LB"), rows=None):
     """The variants as VCF text; those called INDEL get a second letter in ALT, as their type follows from the alleles."""
-    rows, at = view(spark, sf_dir, "variants"), new_path(spark, "calls") + ".vcf"
-    names = ("HP", "LP", "HB", "LB")
+    rows, at = view(spark, sf_dir, "variants") if rows is None else rows, new_path(spark, "calls") + ".vcf"
     info = F.concat_ws(";", *(F.concat(F.lit(f"{k}="), F.col(c).cast("string")) for k, c in wide.ANNOTATIONS.items()))
     gt = lambda s: F.replace(F.replace(F.col(f"{s}_gt"), F.col("ref"), F.lit("0")), F.col("alt"), F.lit("1"))
     sample = lambda s: F.concat_ws(":", gt(s), f"{s}_ad", F.col(f"{s}_dp").cast("string"))
     alt = F.when(F.col("type") == "INDEL", F.concat("alt", F.lit("T"))).otherwise(F.col("alt"))
     line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", alt, F.col("qual").cast("string"), F.lit("."), info, F.lit("GT:AD:DP"), *(sample(s.lower()) for s in names))
-    head = spark.createDataFrame([("##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + "\t".join(names),)], "value string")
-    head.union(rows.select(line.alias("value"))).write.text(at)
-    return at
+    return _write_text(rows.select(line.alias("value")), "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + "\t".join(names), at)
 
 
 def vcf_read(spark, sf_dir):
-    calls = wide.read_calls(spark, _write_vcf(spark, sf_dir))
+    rows = wide.read_calls(spark, _write_vcf(spark, sf_dir))
     gt = F.when(F.col("type") == "SNP", F.col("`HP.GT`")).alias("hp_gt")
-    return calls.select(*_CALL, "qual", *wide.ANNOTATIONS.values(), gt, F.col("`HB.AD`").alias("hb_ad"), F.col("`HB.DP`").cast("int").alias("hb_dp"))
+    return rows.select(*_CALL, "qual", *wide.ANNOTATIONS.values(), gt, F.col("`HB.AD`").alias("hb_ad"), F.col("`HB.DP`").cast("int").alias("hb_dp"))
 
 
 def vcf_post_process(spark, sf_dir):
@@ -408,8 +421,7 @@ def vcf_effects(spark, sf_dir):
     at = new_path(spark, "annotated-calls") + ".vcf"
     rows = view(spark, sf_dir, "effects")
     line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), F.lit("A"), F.lit("C"), F.lit("9"), F.lit("."), F.concat(F.lit("DB;EFF="), "eff"), F.lit("GT"), F.lit("0/1"))
-    head = spark.createDataFrame([("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS",)], "value string")
-    head.union(rows.select(line.alias("value"))).write.text(at)
+    _write_text(rows.select(line.alias("value")), "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS", at)
     split = annotated_table(wide.read_variants(spark, at, info=("EFF",)).select("CHROM", "POS", "EFF", F.col("`S.GT`").alias("GT")))
     return split.select(*(F.col(c).alias(c.lower()) for c in split.columns))
 
@@ -431,11 +443,16 @@ def fasta_files(spark, sf_dir):
 
 
 def _write_sam(spark, sf_dir):
-    at = new_path(spark, "reads")
-    cells = ["qname", F.col("flag").cast("string"), "rname", F.col("pos").cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.col("tlen").cast("string"), "seq", "qual", F.concat(F.lit("RG:Z:g"), F.substring("library", 4, 1))]
-    head = spark.createDataFrame([("@HD\tVN:1.6\n" + "\n".join(f"@RG\tID:g{k}\tLB:lib{k}\tSM:s" for k in range(3)),)], "value string")
-    head.union(view(spark, sf_dir, "reads").select(F.concat_ws("\t", *cells).alias("value"))).write.text(at)
-    return at
+    """The reads in two folders whose headers give the same group ids to different libraries."""
+    paths, rows = [], view(spark, sf_dir, "reads")
+    number = F.substring("library", 4, 1).cast("int")
+    for turn in (0, 1):
+        group = F.concat(F.lit("RG:Z:g"), ((number + turn) % 3).cast("string"))
+        cells = ["qname", F.col("flag").cast("string"), "rname", F.col("pos").cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.col("tlen").cast("string"), "seq", "qual", group]
+        half = rows.where(F.crc32(F.col("qname").cast("binary")) % 2 == turn)
+        head = "@HD\tVN:1.6\n" + "\n".join(f"@RG\tID:g{(k + turn) % 3}\tLB:lib{k}\tSM:s" for k in range(3))
+        paths.append(_write_text(half.select(F.concat_ws("\t", *cells).alias("value")), head, new_path(spark, "reads")))
+    return paths
 
 
 def sam_read(spark, sf_dir):
@@ -454,6 +471,101 @@ def fastq_files(spark, sf_dir):
     return spark.read.text(f"{at}/1").withColumn("mate", F.lit(1)).union(spark.read.text(f"{at}/2").withColumn("mate", F.lit(2)))
 
 
+# -- runs that resume, pruned scans, status as a stream
+
+
+def _laid_out(spark, sf_dir):
+    """The raw calls with a folder per contig."""
+    at = new_path(spark, "laid-out")
+    calls.lay_out(view(spark, sf_dir, "variants").select(*_CALL, "qual", *wide.ANNOTATIONS.values()), at)
+    return at
+
+
+def calls_resume(spark, sf_dir):
+    """Post-processing that stops after two contigs and is taken up again."""
+    raw, out, log = _laid_out(spark, sf_dir), new_path(spark, "resumed"), new_path(spark, "log")
+    calls.resume_calls(spark, raw, out, log, batch=2, rounds=1)
+    return calls.resume_calls(spark, raw, out, log, batch=2).select(*_CALL)
+
+
+def contig_pruned(spark, sf_dir):
+    """Calls of the contigs of above-average quality: the list of contigs prunes the folders that are read."""
+    at, units = _laid_out(spark, sf_dir), new_path(spark, "units")
+    rows = view(spark, sf_dir, "variants")
+    mean = rows.agg(F.avg("qual").alias("mean"))
+    each = rows.groupBy(partition_key(F.col("chrom")).alias("contig")).agg(F.avg("qual").alias("q")).join(F.broadcast(mean), F.lit(True))  # one row
+    each.select("contig", F.when(F.col("q") > F.col("mean"), "chosen").otherwise("left").alias("status")).write.parquet(units)
+    return stages.chosen_partitions(spark.read.parquet(at), "contig", spark.read.parquet(units).where("status = 'chosen'")).select(*_CALL)
+
+
+def short_contigs_stored(spark, sf_dir):
+    """The short-contig rule from the footers of a table with a folder per contig."""
+    ends = filters.stored_contig_ends(spark, _laid_out(spark, sf_dir))
+    return ends.select(F.col("contig").alias("chrom"), "max_pos", (F.col("max_pos") > WINDOW + STEP).alias("kept"))
+
+
+def stage_status(spark, sf_dir):
+    """Completed and pending stages kept current by a stream over two appends to a log."""
+    log, at = view(spark, sf_dir, "stage_log"), new_path(spark, "status")
+    work = materialise(stages.work_list(log, log, log), "work")
+    for part in (F.crc32(F.col("sample").cast("binary")) % 2 == 0, F.crc32(F.col("sample").cast("binary")) % 2 == 1):
+        sinks.append_stage_log(log.where(part).withColumn("cmd", F.lit("run")), f"{at}/log")
+        keep_status(work, text.read_stage_log(spark, f"{at}/log", stream=True), f"{at}/table", f"{at}/state")
+    return status(spark, f"{at}/table")
+
+
+def stage_log_rejected(spark, sf_dir):
+    """The lines of a log that can't be read: every failed stage's line is cut in half, and started ones lose their status."""
+    at = new_path(spark, "log")
+    log = view(spark, sf_dir, "stage_log")
+    line = F.to_json(F.struct(F.lit("2024-01-01T00:00:00Z").alias("time"), F.col("tool").alias("msg"), *(F.col(k).alias(k.upper()) for k in ("program", "sample", "chromosome")), F.when(F.col("status") != "STARTED", F.col("status")).alias("STATUS")))
+    log.select(F.when(F.col("status") == "FAILED", F.substring(line, 1, 40)).otherwise(line).alias("value")).write.text(at)
+    return text.rejected_log_lines(spark, at).groupBy("reason", "line").agg(F.count("*").alias("n"))
+
+
+# -- many samples, many files, long contigs
+
+
+def vcf_united(spark, sf_dir):
+    """Two VCF folders with different samples as one table: SNPs of three samples, INDELs of two, one in common."""
+    rows = view(spark, sf_dir, "variants")
+    paths = [_write_vcf(spark, sf_dir, names, rows.where(F.col("type") == kind)) for kind, names in (("SNP", ("HP", "LP", "HB")), ("INDEL", ("LB", "HB")))]
+    got = wide.read_calls(spark, paths, file_column="file")
+    called = [F.col(f"`{s}.DP`").alias(f"{s.lower()}_dp") for s in ("HP", "LP", "HB", "LB")]
+    return got.select(*_CALL, *called, F.col("`HB.AD`").alias("hb_ad"), F.col("file").startswith("part-").alias("has_file"))
+
+
+def roles_long(spark, sf_dir):
+    """Roles from long calls of a VCF, by a join and a pivot; no sample is a column before."""
+    roles = spark.createDataFrame([("HIGH_PARENT", "HP"), ("LOW_PARENT", "LP"), ("HIGH_BULK", "HB"), ("LOW_BULK", "LB")], "role string, sample string")
+    out = wide.assign_roles_long(wide.read_vcf_long(spark, _write_vcf(spark, sf_dir)), roles).where("type = 'SNP'")
+    return out.drop("hp_gq", "lp_gq", "hb_gq", "lb_gq").withColumns({c: F.array_join(c, ",") for c in out.columns if c.endswith("_ad")})
+
+
+def cohort_grown(spark, sf_dir):
+    """The cohort of four samples, stored by site, and a fifth that is merged into it."""
+    each = _single_calls(spark, sf_dir)
+    name, at, buckets = f"cohort_{uuid.uuid4().hex}", new_path(spark, "cohort"), 8
+    first = callsets.sample_column(each.where("sample = 'hp'"), "hp")
+    for s in _SAMPLES[1:4]:
+        first = first.join(callsets.sample_column(each.where(F.col("sample") == s), s), ["chrom", "pos", "ref", "alt"], "full_outer")
+    callsets.store_cohort(first, name, at, buckets)
+    rows = callsets.flat_cohort(callsets.grow_cohort(spark.table(name), each.where("sample = 'b2'"), "b2", buckets))
+    return rows.withColumns({f"{s}_ad": F.array_join(f"{s}_ad", ",") for s in _SAMPLES})
+
+
+def fasta_chunks(spark, sf_dir):
+    """Contigs written as short lines over several files, read as chunks, written from them and read as whole contigs."""
+    at = new_path(spark, "fasta")
+    rows = view(spark, sf_dir, "contigs").select("contig_no", "name", F.concat(F.repeat(F.lit("ACGT"), (F.col("length") % 500).cast("int")), F.lit("TTA")).alias("seq"))
+    lines = F.concat(F.lit(">"), "name", F.lit(" made\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))
+    rows.orderBy("contig_no").select(lines).write.text(f"{at}/lines")
+    contigs_, chunks = text.read_fasta_chunks(spark, f"{at}/lines", lines=7)
+    sinks.write_fasta_chunks(contigs_, chunks, f"{at}/again")
+    again = text.read_fasta_chunks(spark, f"{at}/again")[1].groupBy("contig_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "chunk"))), lambda x: x["chunk"]), "").alias("seq"))
+    return contigs_.join(again, "contig_no").select("contig_no", "name", "seq", "length")
+
+
 QUERIES = {
     "bsa_filter": bsa_filter, "bsa_filter_two_bulk_only": bsa_filter_two_bulk_only, "bsa_filter_one_bulk": bsa_filter_one_bulk, "filter_funnel": filter_funnel, "short_contigs": short_contigs,
     "bsa_stats": bsa_stats_query, "bsa_two_bulk_only_stats": bsa_two_bulk_only_stats, "bsa_one_bulk_stats": bsa_one_bulk_stats,
@@ -469,4 +581,6 @@ QUERIES = {
     "wide_read_two_bulk": wide_read_two_bulk, "wide_read_two_bulk_only": wide_read_two_bulk_only, "wide_read_one_bulk": wide_read_one_bulk, "vcf_read": vcf_read, "vcf_post_process": vcf_post_process, "vcf_sample_calls": vcf_sample_calls,
     "run_two_bulk": run_two_bulk, "run_two_bulk_tsv": run_two_bulk_tsv, "run_two_bulk_only_tsv": run_two_bulk_only_tsv, "run_one_bulk_tsv": run_one_bulk_tsv,
     "effects_read": effects_read, "effects_rejected": effects_rejected, "vcf_effects": vcf_effects, "stage_log_files": stage_log_files, "fasta_files": fasta_files, "sam_read": sam_read, "sam_duplicates": sam_duplicates, "fastq_files": fastq_files,
+    "calls_resume": calls_resume, "contig_pruned": contig_pruned, "short_contigs_stored": short_contigs_stored, "stage_status": stage_status, "stage_log_rejected": stage_log_rejected,
+    "vcf_united": vcf_united, "roles_long": roles_long, "cohort_grown": cohort_grown, "fasta_chunks": fasta_chunks,
 }

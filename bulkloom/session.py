@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def with_code(spark: SparkSession) -> SparkSession:
+    """Put this package on the path of Python workers, for plans that run functions in them."""
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, the folder that all machines share. Only a local master may do without; a folder of this machine then stands in."""
     base = spark.conf.get("spark.checkpoint.dir", None)

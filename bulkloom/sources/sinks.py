@@ -47,6 +47,12 @@ def write_fasta(contigs: DataFrame, path: str) -> None:
     contigs.orderBy("contig_no").select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq")).write.text(path)
 
 
+def write_fasta_chunks(contigs: DataFrame, chunks: DataFrame, path: str) -> None:
+    """FASTA from contigs(contig_no, name) and chunks(contig_no, offset, chunk), sorted by ranges: a contig may go on in the next file of the folder."""
+    heads = contigs.select("contig_no", F.lit(-1).cast("long").alias("offset"), F.concat(F.lit(">"), "name").alias("line"))
+    heads.unionByName(chunks.select("contig_no", "offset", F.col("chunk").alias("line"))).orderBy("contig_no", "offset").select("line").write.text(path)
+
+
 def append_stage_log(log: DataFrame, path: str) -> None:
     keys = [F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("time"), F.col("tool").alias("msg"), *(F.col(k).alias(k.upper()) for k in ("program", "sample", "chromosome", "status", "cmd"))]
     log.select(*keys).write.mode("append").json(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.genotype import MISSING, lenient_depths, lenient_int, unphased, variant_type
+from ..session import with_code
+from .vcf_source import VcfSource
 
 SITE = ("CHROM", "POS", "REF", "ALT", "TYPE")
 #: Column prefixes of the roles a sample can have.
@@ -65,35 +69,72 @@ def resolve_roles(pairs: DataFrame) -> dict[str, str]:
     return found
 
 
+def vcf_rows(spark: SparkSession, path, split: int | None = None) -> tuple[DataFrame, list[str]]:
+    """(rows of VCF files as format("vcf") gives them, the samples of all files). Only headers are read here."""
+    with_code(spark).dataSource.register(VcfSource)
+    reader = spark.read.format("vcf").option("paths", json.dumps(_paths(path)))
+    rows = (reader.option("split", split) if split else reader).load()
+    return rows, rows.schema["cells"].metadata["samples"]
+
+
+def _vcf_columns(rows: DataFrame, path) -> DataFrame:
+    """Alleles and INFO as collections. A packed file is one task, so its rows are dealt out, by contig and position."""
+    if any(p.endswith(".gz") for p in _paths(path)):
+        rows = rows.repartition("CHROM", "POS")
+    return rows.withColumns({"_alleles": F.concat(F.array("REF"), F.split("ALT", ",")), "_info": F.str_to_map("INFO", F.lit(";"), F.lit("=")), "_keys": F.split("FORMAT", ":")})
+
+
+def _field(cell: Column, key: str) -> Column:
+    got = F.get(F.split(cell, ":"), F.array_position("_keys", key).cast("int") - 1)
+    return _letters(got) if key == "GT" else F.coalesce(got, F.lit(""))
+
+
 def read_vcf(spark: SparkSession, path, info: tuple[str, ...] = (), fields: tuple[str, ...] = ("GT", "AD", "DP", "GQ"), file_column: str | None = None) -> DataFrame:
     """VCF text, plain or gzip, flattened to a wide table, with chosen INFO keys as columns.
 
-    Genotype numbers become allele letters. The samples come from the header lines, which must agree where there are
-    several files. A gzip file is one task, so its lines are dealt out right after it, by contig and position. file_column: the
-    name of a column with the name of each row's file.
+    Genotype numbers become allele letters. Files may have different samples: the table has those of all, and a row of a
+    file without a sample has missing calls for it. file_column: the name of a column with the name of each row's file.
+    For thousands of samples read_vcf_long keeps the table narrow.
     """
-    lines = spark.read.text(_paths(path)).select("value", F.col("_metadata.file_name").alias("_file"))
-    header = lines.where(F.col("value").startswith("#CHROM")).select("value").distinct().limit(2).collect()
-    if not header:
-        raise ValueError("no #CHROM line")
-    if len(header) > 1:
-        raise ValueError("the files' #CHROM lines differ")
-    names = header[0]["value"].split("\t")[9:]
-    rows = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0)).select(F.split("value", "\t").alias("c"), "_file")
-    if any(p.endswith(".gz") for p in _paths(path)):
-        rows = rows.repartition(F.get("c", 0), F.get("c", 1))
-    ref, alt = F.get("c", 3), F.get("c", 4)
-    rows = rows.withColumn("_alleles", F.concat(F.array(ref), F.split(alt, ","))).withColumn("_info", F.str_to_map(F.get("c", 7), F.lit(";"), F.lit("=")))
-    keys = F.split(F.get("c", 8), ":")
-    out = [F.get("c", 0).alias("CHROM"), F.get("c", 1).alias("POS"), ref.alias("REF"), alt.alias("ALT"), F.get("c", 5).alias("QUAL"), F.get("c", 6).alias("FILTER"), variant_type(ref, alt).alias("TYPE")]
+    rows, names = vcf_rows(spark, path)
+    rows = _vcf_columns(rows, path)
+    out = [F.col(c) for c in ("CHROM", "POS", "REF", "ALT", "QUAL", "FILTER")] + [variant_type(F.col("REF"), F.col("ALT")).alias("TYPE")]
     out += [F.try_element_at("_info", F.lit(k)).alias(k) for k in info]
-    for i, name in enumerate(names):
-        values = F.split(F.get("c", 9 + i), ":")
-        pick = lambda k, values=values: F.get(values, F.array_position(keys, k).cast("int") - 1)
-        for k in fields:
-            got = pick(k)
-            out.append((_letters(got) if k == "GT" else F.coalesce(got, F.lit(""))).alias(f"{name}.{k}"))
-    return rows.select(*out, *([F.col("_file").alias(file_column)] if file_column else []))
+    out += [_field(F.get("cells", i), k).alias(f"{name}.{k}") for i, name in enumerate(names) for k in fields]
+    return rows.select(*out, *([F.col("file").alias(file_column)] if file_column else []))
+
+
+def read_vcf_long(spark: SparkSession, path, missing: bool = True) -> DataFrame:
+    """(row_no, chrom, pos, ref, alt, qual, type, sample, gt, ad, dp, gq): a row for each call and sample that the call's file has.
+
+    However many samples there are, there is one column for each field. row_no parts calls at one site; missing=False leaves
+    missing genotypes out.
+    """
+    rows, names = vcf_rows(spark, path)
+    rows = _vcf_columns(rows, path).withColumn("row_no", F.monotonically_increasing_id())
+    each = rows.select("*", F.posexplode("cells").alias("_i", "_cell")).where(F.col("_cell").isNotNull())
+    site = [F.col("CHROM").alias("chrom"), F.col("POS").try_cast("long").alias("pos"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("QUAL").try_cast("double").alias("qual"), variant_type(F.col("REF"), F.col("ALT")).alias("type")]
+    call = [unphased(_field(F.col("_cell"), "GT")).alias("gt"), lenient_depths(_field(F.col("_cell"), "AD")).alias("ad"), *(lenient_int(_field(F.col("_cell"), k)).alias(k.lower()) for k in ("DP", "GQ"))]
+    named = spark.createDataFrame(list(enumerate(names)), "_n int, sample string")
+    out = each.join(F.broadcast(named) if len(names) <= 100_000 else named, F.col("_i") == F.col("_n")).select("row_no", *site, "sample", *call)
+    return out if missing else out.where(F.col("gt") != MISSING)
+
+
+def assign_roles_long(calls: DataFrame, roles: DataFrame) -> DataFrame:
+    """Canonical columns from long calls (row_no, chrom, pos, ref, alt, qual, type, sample, gt, ad, dp, gq) and roles(role, sample).
+
+    Only the samples that have a role are kept, before anything moves; their calls come side by side by a pivot over the
+    few role names. A role's sample without a call in a row leaves nulls.
+    """
+    named = roles.select(F.lower("role").alias("role"), "sample")
+    found = resolve_roles(named)
+    prefix = F.create_map(*(F.lit(x) for r, p in ROLES.items() for x in (r, p)))
+    mine = calls.join(F.broadcast(named.select("sample", F.element_at(prefix, F.col("role")).alias("_p"))), "sample")  # a row per role
+    fields = ("gt", "ad", "dp", "gq")
+    prefixes = [ROLES[r] for r in ROLES if r in found]
+    site = ["chrom", "pos", "ref", "alt", "qual", "type"]
+    wide = mine.groupBy("row_no", *site).pivot("_p", prefixes).agg(F.first(F.struct(*fields)))
+    return wide.select(*site, *(F.col(f"{p}.{f}").alias(f"{p}_{f}") for p in prefixes for f in fields))
 
 
 def _letters(gt: Column) -> Column:
