@@ -36,8 +36,8 @@ def is_called(gt: Column) -> Column:
 
 def is_homozygous(gt: Column) -> Column:
     """Two alleles, both the same."""
-    alleles = F.split(gt, "/")
-    return (F.size(alleles) == 2) & (F.get(alleles, 0) == F.get(alleles, 1))
+    first = F.substring_index(gt, "/", 1)
+    return gt == F.concat(first, F.lit("/"), first)
 
 
 def is_biallelic(ad: Column) -> Column:

@@ -17,14 +17,15 @@ DESIGNS = {"two_bulk": ("hp", "lp", "hb", "lb"), "two_bulk_only": ("hb", "lb"),
 
 
 def passes(design: str, min_depth: dict[str, int] | None = None) -> Column:
-    """The design's filter as one predicate: called, deep and biallelic in every role; parents homozygous and different."""
-    least = MIN_DEPTH | (min_depth or {})
-    tests = []
-    for r in DESIGNS[design]:
-        tests += [is_called(F.col(f"{r}_gt")), F.col(f"{r}_dp") >= least[r], is_biallelic(F.col(f"{r}_ad"))]
-    if "hp" in DESIGNS[design]:
+    """The design's filter as one predicate: called, deep and biallelic in every role; parents homozygous and different.
+
+    Tests are in order of what they cost, as a row that fails one is not asked the next: depths, genotypes, allele depths.
+    """
+    least, roles = MIN_DEPTH | (min_depth or {}), DESIGNS[design]
+    tests = [F.col(f"{r}_dp") >= least[r] for r in roles] + [is_called(F.col(f"{r}_gt")) for r in roles]
+    if "hp" in roles:
         tests += [is_homozygous(F.col("hp_gt")), is_homozygous(F.col("lp_gt")), F.col("hp_gt") != F.col("lp_gt")]
-    return reduce(lambda a, b: a & b, tests)
+    return reduce(lambda a, b: a & b, tests + [is_biallelic(F.col(f"{r}_ad")) for r in roles])
 
 
 def contig_ends(variants: DataFrame) -> DataFrame:

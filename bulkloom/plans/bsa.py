@@ -27,22 +27,26 @@ class BsaResult:
     qtl: DataFrame
 
 
-def analyse(variants: DataFrame, design: str, window: int = 2_000_000, step: int = 10_000, population: str = "F2", min_depth: dict[str, int] | None = None) -> BsaResult:
+def analyse(variants: DataFrame, design: str, window: int = 2_000_000, step: int = 10_000, population: str = "F2", min_depth: dict[str, int] | None = None, detail: bool = True) -> BsaResult:
     """The tables of a run over canonical variants; design as in filters.DESIGNS.
 
     The filtered variants with their statistics are written once: the distinct depth pairs, the threshold join and
     the windows all read them, and the input is scanned no more. The windows' rows are counted by step and depths before
-    they meet the thresholds, and windows are written once, as series and intervals read them too.
+    they meet the thresholds, and windows are written once, as series and intervals read them too. Without detail, what is
+    written of a variant is its place, type, depths and statistics; its genotypes and other columns are not read further.
     """
     frequency = null_frequency(population)
     rows = filter_design(variants, design, window, step, min_depth)
     if design == "one_bulk":
         values, own, keys, kinds = ONE_BULK_VALUES, ["si"], ["b_dp"], ONE_BULK_SERIES
-        stats = materialise(one_bulk_statistics(rows), "stats")
-        limits = one_bulk_limits(stats, frequency)
+        stats = one_bulk_statistics(rows)
     else:
         values, own, keys, kinds = TWO_BULK_VALUES, ["high_si", "low_si", "dsi", "gs"], ["hb_dp", "lb_dp"], TWO_BULK_SERIES
-        stats = materialise(two_bulk_statistics(rows, design == "two_bulk"), "stats")
+        stats = two_bulk_statistics(rows, design == "two_bulk")
+    stats = materialise(stats if detail else stats.select("chrom", "pos", "type", *keys, *own), "stats")
+    if design == "one_bulk":
+        limits = one_bulk_limits(stats, frequency)
+    else:
         limits = two_bulk_limits(stats, frequency, frequency)
     full, typed = add_limits(stats, limits, keys), stats.where(stats["type"].isin("SNP", "INDEL"))
     if window % step:

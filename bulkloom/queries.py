@@ -26,8 +26,8 @@ def _filtered(spark, sf_dir, design="two_bulk", window=WINDOW, step=STEP):
     return filters.filter_design(variants(spark, sf_dir), design, window, step)
 
 
-def _run(spark, sf_dir, design="two_bulk"):
-    return analyse(variants(spark, sf_dir), design, WINDOW, STEP)
+def _run(spark, sf_dir, design="two_bulk", detail=False):
+    return analyse(variants(spark, sf_dir), design, WINDOW, STEP, detail=detail)
 
 
 def bsa_filter(spark, sf_dir):
@@ -86,11 +86,11 @@ def null_thresholds_one_bulk(spark, sf_dir):
 
 
 def bsa_stats_with_thresholds(spark, sf_dir):
-    return _run(spark, sf_dir).stats.select(*_SITE, "hb_dp", "lb_dp", *TWO_BULK_VALUES)
+    return _run(spark, sf_dir, detail=True).stats.select(*_SITE, "hb_dp", "lb_dp", *TWO_BULK_VALUES)
 
 
 def bsa_one_bulk_with_thresholds(spark, sf_dir):
-    return _run(spark, sf_dir, "one_bulk").stats.select(*_SITE, "b_dp", *ONE_BULK_VALUES)
+    return _run(spark, sf_dir, "one_bulk", True).stats.select(*_SITE, "b_dp", *ONE_BULK_VALUES)
 
 
 def bsa_window_dsi(spark, sf_dir, window=WINDOW, step=STEP):
@@ -146,7 +146,7 @@ def _as_text(df):
 
 def statistics_tsv(spark, sf_dir):
     """The statistics table as text, in the sink's 35 columns."""
-    return _as_text(sinks.statistics_table(_run(spark, sf_dir).stats, high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB"))
+    return _as_text(sinks.statistics_table(_run(spark, sf_dir, detail=True).stats, high_parent="HP", low_parent="LP", high_bulk="HB", low_bulk="LB"))
 
 
 _CALL = ["chrom", "pos", "ref", "alt", "type"]
