@@ -204,6 +204,19 @@ def test_long_runs_take_seconds(span_model):
     assert pii.base_spans("1.2.3.4.5.6.7.8.9")[:2] == [("ip", 0, 7), ("ip", 8, 15)]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["at", "AT", "(at)", "{ at }", "[at ", " at ", "dot", " dot ", "(dot)", "[ DOT ]", ".", ".x", "joe", "hôst", "a-b", " ", "  ", "\n", "it", "that", "@", "7", "_"]), max_size=12))
+def test_a_proposal_implies_the_trigger(parts):
+    text = "".join(parts)
+    assert not pii.proposals(text) or re.search(pii.TRIGGER, text)
+
+
+def test_spelt_out_addresses_are_found_on_spark(spark, docs):
+    texts = ["write to joe {at} host.com please", "joe ( at ) example.org now", "meet at the harbour. Then go", "nothing here"]
+    found = {r["text"]: [r["text"][s["start"] : s["end"]] for s in r["pii"]] for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), pii.train(docs)).collect()}
+    assert found == {texts[0]: ["joe {at} host.com"], texts[1]: ["joe ( at ) example.org"], texts[2]: [], texts[3]: []}
+
+
 # -- 4 substring dedup
 
 
