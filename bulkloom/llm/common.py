@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: What every contract calls a word, as a Java pattern.
@@ -71,6 +72,29 @@ def row_ordinal() -> Column:
     return F.monotonically_increasing_id()
 
 
+#: Numbers of rows that repeat are broadcast up to so many.
+MAX_REPEATS = 1_000_000
+
+
+def repeat_numbers(keys: DataFrame) -> DataFrame | None:
+    """(_row, _nth) of keys(_ord, _key) whose key repeats: each gets a number of its own among its equals, 0, 1, ...; None if no key repeats.
+
+    What a row gets depends on the scan, the numbers that a key's rows have do not: so hashes of key and number are the same
+    for any splits of the files. Equals are numbered by scan task first, so a key with a third of all rows is many small groups.
+    """
+    again = materialise(keys.groupBy("_key").count().where("count > 1").select(F.col("_key").alias("_again")), "repeats")
+    if not again.limit(1).count():
+        return None
+    part = F.shiftright("_ord", 33)
+    mine = materialise(keys.join(broadcast_if_small(again, MAX_REPEATS), F.col("_key") == F.col("_again")).select("_key", "_ord", part.alias("_part")), "repeated")
+    counts = mine.groupBy(F.col("_key").alias("_k"), F.col("_part").alias("_p")).count()
+    before = F.coalesce(F.sum("count").over(W.partitionBy("_k").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per scan task
+    counts = counts.select("_k", "_p", before.alias("_before"))
+    inside = mine.withColumn("_at", F.row_number().over(W.partitionBy("_key", "_part").orderBy("_ord")) - 1)
+    out = inside.join(counts, (F.col("_key") == F.col("_k")) & (F.col("_part") == F.col("_p"))).select(F.col("_ord").alias("_row"), (F.col("_before") + F.col("_at")).alias("_nth"))
+    return broadcast_if_small(materialise(out, "repeat-numbers"), MAX_REPEATS)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, materialise, row_ordinal, shield, stored
+from .common import WORD, broadcast_if_small, materialise, repeat_numbers, row_ordinal, shield, stored
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -14,8 +14,6 @@ WEIGHTS = (5, 2, 1)
 SEEDS = 16
 #: A table of sources is broadcast up to so many rows; beyond it the join shuffles.
 MAX_BROADCAST = 100_000
-#: Keys of rows that repeat are broadcast up to so many.
-MAX_REPEATS = 1_000_000
 
 
 def n_words(text: Column) -> Column:
@@ -48,18 +46,11 @@ def _coin(seed: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(2**32)
 
 
-def _repeats(keys: DataFrame) -> DataFrame | None:
-    """The keys of rows that repeat in doc_id and text; None if none does."""
-    again = materialise(keys.groupBy(F.xxhash64("doc_id", "_text_md5").alias("_again")).count().where("count > 1").select("_again"), "mix-repeats")
-    return broadcast_if_small(again, MAX_REPEATS) if again.limit(1).count() else None
-
-
-def _numbered(rows: DataFrame, again: DataFrame | None) -> DataFrame:
-    """rows with _nth: the row's number in the scan where doc_id and text repeat, else null, which the coin leaves out."""
-    if again is None:
+def _numbered(rows: DataFrame, numbers: DataFrame | None) -> DataFrame:
+    """rows with _nth: the row's number among rows equal in doc_id and text, null where there is no other, which the coin leaves out."""
+    if numbers is None:
         return rows.withColumn("_nth", F.lit(None).cast("string")).drop("_ord")
-    out = rows.withColumn("_key", F.xxhash64("doc_id", "_text_md5")).join(again, F.col("_key") == F.col("_again"), "left")
-    return out.withColumn("_nth", F.when(F.col("_again").isNotNull(), F.col("_ord").cast("string"))).drop("_ord", "_key", "_again")
+    return rows.join(numbers.withColumn("_nth", F.col("_nth").cast("string")), F.col("_ord") == F.col("_row"), "left").drop("_ord", "_row")
 
 
 def mixing_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0, seeds: int = SEEDS) -> DataFrame:
@@ -70,16 +61,16 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float
     are partial before the shuffle, so a source with a third of all rows costs a row per task.
 
     Null text has size 0; null sources form one source, last in order; empty sources get target and rate 0. Rows that
-    repeat in doc_id and text have coins of their own, by their numbers in the scan, so a source of equal rows meets
-    its target too; runs over the same files agree. Columns of docs with the added names are replaced. An empty table
+    repeat in doc_id and text have coins of their own, by their numbers among their equals, so a source of equal rows meets
+    its target too; runs agree, however files are split. Columns of docs with the added names are replaced. An empty table
     gives an empty one.
     """
     added = ["size", "source_size", "target", "rate", "copies"]
     inner, restore = shield(stored(docs), ["doc_id", "text", "source"])
     rows = inner.withColumns({"size": n_words(F.col("text")), "_text_md5": F.md5(F.coalesce(F.col("text"), F.lit(""))), "_ord": row_ordinal()})
     keys = materialise(rows.select("source", "size", "doc_id", "_text_md5", "_ord"), "mix-sizes")
-    again = _repeats(keys)
-    keys, rows = _numbered(keys, again), _numbered(rows, again)
+    numbers = repeat_numbers(keys.select("_ord", F.xxhash64("doc_id", "_text_md5", "source").alias("_key")))
+    keys, rows = _numbered(keys, numbers), _numbered(rows, numbers)
     rates = materialise(targets(keys.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap).withColumn("rate", F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))), "mix-rates")
     rates = broadcast_if_small(rates.withColumnRenamed("source", "_source"), MAX_BROADCAST)
     fraction = F.col("rate") - F.floor("rate")

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, row_ordinal, shield, shuffle_parts, stored
+from .common import materialise, repeat_numbers, row_ordinal, shield, shuffle_parts, stored
 
 #: Bytes of text that a bucket holds on average; a task shuffles one bucket in memory.
 BUCKET_BYTES = 8 << 20
@@ -48,22 +48,25 @@ def bucket_offsets(counts: DataFrame) -> DataFrame:
 def shard(docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs with size, shard (0 to shards - 1) and slot (0, 1, ... without gaps in each shard), in random order.
 
-    First pass: rows scatter by a seeded hash of doc_id, text and row number into so many buckets that one holds about
-    bucket_bytes; the row number lets copies and repeated ids scatter like all others, so no bucket is hot. Second pass: each bucket is
+    First pass: rows scatter by a seeded hash of doc_id and text into so many buckets that one holds about bucket_bytes; rows
+    equal in both are numbered, and the number is hashed too, so that they scatter like all others and no bucket is hot. Second pass: each bucket is
     put in order of that hash, shuffled by Fisher-Yates with a seed of its own, and takes its place after the buckets
     before it. The whole order is then cut into shards whose counts differ by one at most, so a bucket goes to one
     shard or two neighbours. A shuffle partition holds about PER_TASK buckets, at any size of the table.
 
     size is the text's UTF-8 bytes plus 1 (null: none). Null and repeated doc_ids, repeated rows and empty texts are
-    rows like others; copies of a text are spread, not kept together; an empty table gives an empty one. Runs over the
-    same files agree. Columns of docs with the added names are replaced.
+    rows like others; copies of a text are spread, not kept together; an empty table gives an empty one. Runs agree,
+    however the files are split. Columns of docs with the added names are replaced.
     """
     docs, restore = shield(stored(docs), ["doc_id", "text"])
     names = docs.columns
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     total, n = docs.agg(F.sum(size), F.count("*")).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
-    rows = docs.withColumns({"size": size, "_scatter": F.xxhash64(F.lit(seed), "doc_id", "text", row_ordinal())})
+    rows = docs.withColumns({"size": size, "_ord": row_ordinal(), "_key": F.xxhash64(F.lit(seed), "doc_id", "text")})
+    numbers = repeat_numbers(rows.select("_ord", "_key"))
+    rows = rows.withColumn("_nth", F.lit(None).cast("long")) if numbers is None else rows.join(numbers, F.col("_ord") == F.col("_row"), "left").drop("_row")
+    rows = rows.withColumn("_scatter", F.xxhash64(F.lit(seed), "_key", F.coalesce("_nth", F.lit(0).cast("long")))).drop("_ord", "_key", "_nth")
     rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_scatter"), F.lit(buckets)).cast("int"))
     counts = materialise(rows.groupBy("_bucket").count(), "bucket-counts")
     offsets = materialise(bucket_offsets(counts), "bucket-offsets")

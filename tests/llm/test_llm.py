@@ -63,6 +63,25 @@ def test_shard_spreads_a_hot_id(spark, tmp_path):
     assert out.groupBy("shard").count().agg(F.min("count"), F.max("count")).first()[:] == (250, 250)
 
 
+@pytest.mark.parametrize("op", ["shard", "mix"])
+def test_splits_of_files_change_nothing(spark, tmp_path, op):
+    """Rows with equal ids and texts, many of them, among others: as a whole the same for any splits."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1500).alias("doc_id"), F.concat(F.lit("some words "), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("text"), F.lit("s").alias("source"))
+    rows.repartition(3).write.parquet(str(tmp_path / "d"))
+    got = []
+    for most in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k" if most == "2k" else "4m")
+        try:
+            docs = spark.read.parquet(str(tmp_path / "d"))
+            out = sharding.shard(docs, 5, bucket_bytes=3000).select("doc_id", "text", "shard", "slot") if op == "shard" else mixing.mixing_plan(docs).select("doc_id", "text", "copies")
+            got.append((docs.rdd.getNumPartitions(), collections.Counter(map(tuple, out.collect()))))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got[0][0] != got[1][0] and got[0][1] == got[1][1]
+
+
 def test_bucket_offsets_cross_ranges(spark, monkeypatch):
     monkeypatch.setattr(sharding, "RANGE", 3)
     counts = [(b, (b * 7) % 5 + 1) for b in range(20) if b != 4]
@@ -739,6 +758,8 @@ def test_rows_are_numbered_on_storage(spark, docs):
 @pytest.mark.parametrize("name", [n for n in sorted(queries.queries()) if n != "op10_embedding_dedup"])
 def test_empty_table(spark, nothing, tmp_path, name):
     nothing.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "some words of an item")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert queries.queries()[name](spark, str(tmp_path)).count() == 0
 
 
