@@ -71,6 +71,24 @@ n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT m.a AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.component_id::BIGINT AS component_id, m.a = m.component_id AS kept FROM m LEFT JOIN n ON m.a = n.a
 """
 
+ORACLE_SQL["op11_resample"] = r"""
+WITH tb AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+bw AS (SELECT coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM dw),
+bf AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM bw),
+fs AS (SELECT f, sum(s)::BIGINT AS s, sum(t)::BIGINT AS t FROM (SELECT f, count(*) AS s, 0 AS t FROM df GROUP BY f UNION ALL SELECT f, 0, count(*) FROM bf GROUP BY f) GROUP BY f),
+fh AS (SELECT f, s, t, hex(encode(f)) AS h FROM fs),
+fb AS (SELECT f, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: 16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b FROM fh, tb),
+tot AS (SELECT sum(s)::BIGINT AS ns, sum(t)::BIGINT AS nt FROM fs),
+g AS (SELECT b, floor(1000 * ln(((sum(t) + 1)::DOUBLE * (any_value(ns) + 10000)) / ((sum(s) + 1)::DOUBLE * (any_value(nt) + 10000))))::BIGINT AS gain FROM fb, tot GROUP BY b),
+wt AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight FROM df JOIN fb USING (f) JOIN g USING (b) GROUP BY doc_id),
+sc AS (SELECT dw.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, len(w) >= 20 AS can,
+  coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || dw.doc_id), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296.0)))::BIGINT AS score FROM dw LEFT JOIN wt USING (doc_id)),
+rk AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM sc WHERE can)
+SELECT sc.doc_id, n_features, weight, score, CASE WHEN r <= 5 * (SELECT count(*) FROM rk) // 100 THEN r END AS rank FROM sc LEFT JOIN rk USING (doc_id)
+"""
+
 ORACLE_SQL["op12_lexical"] = r"""
 WITH dt AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
 it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
