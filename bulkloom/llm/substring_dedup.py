@@ -19,8 +19,10 @@ from .common import WORD, broadcast_if_small, materialise, prepare, row_ordinal,
 WINDOW, PREFIX = 20, 6
 #: Suffixes at anchors that a subtree may have; the prefix of a larger one grows.
 SUBTREE = 2_000
-#: Documents of which the growth of prefixes is learned, about.
-SAMPLE_DOCS = 1_000
+#: Words of which a suffix carries 16 bits each; prefixes of 1 to LEAD words are told by them.
+LEAD = 4
+#: Code of an anchor whose windows go by themselves.
+WHOLE = 7
 #: Pieces that a task remembers, to send equal ones once.
 REMEMBERED = 60_000
 #: Rows of whole copies are broadcast up to so many.
@@ -87,49 +89,34 @@ def anchors(h: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tuple[
     return least[first], run[least[first]], first, last
 
 
-def grown_prefixes(h: np.ndarray, at: np.ndarray, grow: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, words) of the prefix of each suffix at `at`: it grows word by word while it is among those that grow.
+def leads(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """16 bits of each of the first LEAD words of the suffixes at `at`, the first word's highest: a prefix of words is a prefix of bits."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(LEAD):
+        out = out << np.uint64(16) | h[at + k] & np.uint64(0xFFFF)
+    return out
 
-    grow[k]: sorted hashes of the prefixes of k + 1 words that hold too many suffixes. The prefixes so chosen are free
-    of one another: each suffix has one, and suffixes that share PREFIX words share theirs.
-    """
-    key, size = h[at].copy(), np.ones(len(at), np.int64)
-    open_ = np.arange(len(at))
-    for k, large in enumerate(grow):
-        if not len(open_) or not len(large):
-            break
-        found = np.minimum(np.searchsorted(large, key[open_]), len(large) - 1)
-        open_ = open_[large[found] == key[open_]]
-        key[open_] = key[open_] * _B + h[at[open_] + k + 1]
-        size[open_] += 1
-    return key ^ (size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), size
-
-
-def prefixes_that_grow(docs: DataFrame, window: int = WINDOW) -> list[np.ndarray]:
-    """For 1, 2, ... PREFIX - 1 words: the prefixes that more than SUBTREE suffixes at anchors have, as hashes.
-
-    Estimated from whole documents, about SAMPLE_DOCS of them, chosen by hash: the prefixes only decide which subtree a suffix
-    goes to, any choice finds all repeats. What comes back is bounded by the sample.
-    """
-    n = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(n, 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[list[np.ndarray]] = [[np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]]
-            for text in batch.column(0).to_pylist():
-                h = hashes_of((text or "").encode().split())
-                at, _, _, _ = anchors(h, window)
-                key = h[at]
-                for k in range(PREFIX - 1):
-                    rows[0].append(np.full(len(at), k, np.int32))
-                    rows[1].append(key)
-                    key = key * _B + h[at + k + 1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows[0])), pa.array(np.concatenate(rows[1]).view(np.int64))], names=["k", "key"])
+def prefix_keys(lead: np.ndarray, run: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Keys of prefixes of the given numbers of words: bits of lead up to LEAD words, the hash of all PREFIX words beyond."""
+    short = lead >> np.uint64(16) * np.maximum(LEAD - length, 0).astype(np.uint64)
+    mixed = (short + np.uint64(1)) * _B ^ length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return np.where(length <= LEAD, mixed, run)
 
-    some = docs.where(F.pmod(F.xxhash64(F.lit("prefixes"), "rid"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
-    large = some.mapInArrow(run, "k int, key long").groupBy("k", "key").count().where(F.col("count") > max(1.0, SUBTREE * share)).collect()
-    return [np.sort(np.array([r["key"] for r in large if r["k"] == k], np.int64).view(np.uint64)) for k in range(PREFIX - 1)]
+
+def prefix_lengths(counts: DataFrame) -> DataFrame:
+    """(_lead, words) of counts(lead, n): the fewest words, 1 to LEAD, whose prefix at most SUBTREE suffixes have, else PREFIX.
+
+    Suffixes are counted over all documents, level by level, each level from the counts of whole leads; so subtrees are
+    bounded at any size, and the prefixes chosen are free of one another: all suffixes below a prefix have the same counts.
+    """
+    words, out = F.lit(PREFIX), counts
+    for k in range(LEAD, 0, -1):
+        prefix = F.shiftrightunsigned("lead", 16 * (LEAD - k))
+        level = counts.groupBy(prefix.alias(f"_p{k}")).agg(F.sum("n").alias(f"_c{k}"))
+        out = out.join(level, prefix == F.col(f"_p{k}"))
+        words = F.when(F.col(f"_c{k}") <= SUBTREE, F.lit(k)).otherwise(words)
+    return out.select(F.col("lead").alias("_lead"), words.alias("words"))
 
 
 class SuffixTree:
@@ -190,19 +177,21 @@ class SuffixTree:
 
 
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
-    """(key, rid, at) of every anchor."""
+    """(key, lead, rid, at) of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rids, places = [], [], []
+            keys, first, rids, places = [], [], [], []
             for rid, text in zip(batch.column(0).to_numpy(), batch.column(1).to_pylist(), strict=True):
-                at, key, _, _ = anchors(hashes_of((text or "").encode().split()), window)
+                h = hashes_of((text or "").encode().split())
+                at, key, _, _ = anchors(h, window)
                 keys.append(key.view(np.int64))
+                first.append(leads(h, at).view(np.int64))
                 rids.append(np.full(len(at), rid))
                 places.append(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, rids, places)], names=["key", "rid", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, first, rids, places)], names=["key", "lead", "rid", "at"])
 
-    return docs.select("rid", "text").mapInArrow(run, "key long, rid long, at int")
+    return docs.select("rid", "text").mapInArrow(run, "key long, lead long, rid long, at int")
 
 
 _PIECE = {"key": pa.int64(), "no_id": pa.bool_(), "id": pa.int64(), "rid": pa.int64(), "at": pa.int32(), "n": pa.int32(), "words": pa.binary()}
@@ -244,24 +233,24 @@ class _Pieces:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _PIECE.values(), strict=True)], names=list(_PIECE))
 
 
-def _pieces(docs: DataFrame, grow: list[np.ndarray], window: int, collapse: bool) -> DataFrame:
+def _pieces(docs: DataFrame, window: int, collapse: bool) -> DataFrame:
     """(key, no_id, id, rid, at, n, words): of docs(rid, no_id, id, text, some), for each anchor among `some`, the words that its n windows cover.
 
-    key is that of the anchor suffix's prefix. some holds 2 x place, plus 1 where even PREFIX words are too frequent: there each window
-    goes by itself, with all its words for a prefix. Rows without words are windows that a piece of the same task has shown to be later.
+    key is that of the anchor suffix's prefix. some holds 8 x place plus the number of words of the prefix, or WHOLE where even PREFIX
+    words are too frequent: there each window goes by itself, with all its words for a prefix. Rows without words are windows that a piece of the same task has shown to be later.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pieces(collapse)
         for batch in batches:
             for rid, no_id, doc, text, some in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 words = text.encode().split()
                 h = hashes_of(words)
-                at, _, first, last = anchors(h, window)
+                at, run, first, last = anchors(h, window)
                 some = np.sort(np.array(some, np.int64))
-                where = np.searchsorted(at, some >> 1)
-                key, _ = grown_prefixes(h, at[where], grow)
-                for k, s, e, hot in zip(key.view(np.int64).tolist(), first[where].tolist(), last[where].tolist(), (some & 1).tolist(), strict=True):
+                where = np.searchsorted(at, some >> 3)
+                key = prefix_keys(leads(h, at[where]), run[where], some & 7)
+                for k, s, e, hot in zip(key.view(np.int64).tolist(), first[where].tolist(), last[where].tolist(), ((some & 7) == WHOLE).tolist(), strict=True):
                     if hot:
                         for w in range(s, e + 1):
                             piece = b" ".join(words[w : w + window])
@@ -272,7 +261,7 @@ def _pieces(docs: DataFrame, grow: list[np.ndarray], window: int, collapse: bool
         out.flush()
         yield out.take()
 
-    return docs.select("rid", "no_id", "id", "text", "some").mapInArrow(run, "key long, no_id boolean, id long, rid long, at int, n int, words binary")
+    return docs.select("rid", "no_id", "id", "text", "some").mapInArrow(cut, "key long, no_id boolean, id long, rid long, at int, n int, words binary")
 
 
 _LATER = "rid long, at int, n int, of_rid long, of_at int"
@@ -385,9 +374,14 @@ def _found(texts: DataFrame, window: int, collapse: bool) -> tuple[DataFrame, Da
     found = materialise(_anchor_rows(single, window), "anchors")
     # a computed key on one side has both sides shuffled for the join, so that the rows of a frequent key can be split
     often = found.groupBy("key").count().where("count > 1").select(F.bitwise_not(F.bitwise_not("key")).alias("_key"), (F.col("count") > SUBTREE).cast("int").alias("hot"))
-    some = found.join(often, F.col("key") == F.col("_key")).groupBy("rid").agg(F.collect_list(F.col("at") * 2 + F.col("hot")).alias("some")).select(F.col("rid").alias("_rid"), "some")
+    part = materialise(found.join(often, F.col("key") == F.col("_key")).select("lead", "rid", "at", "hot"), "repeated-anchors")
+    counts = materialise(part.where("hot = 0").groupBy("lead").agg(F.count("*").alias("n")), "leads")
+    lengths = broadcast_if_small(materialise(prefix_lengths(counts), "prefixes"), MAX_BROADCAST)
+    part = part.join(lengths, (F.col("lead") == F.col("_lead")) & (F.col("hot") == 0), "left")
+    code = F.when(F.col("hot") == 1, F.lit(WHOLE)).otherwise(F.col("words"))
+    some = part.groupBy("rid").agg(F.collect_list(F.col("at").cast("long") * 8 + code).alias("some")).select(F.col("rid").alias("_rid"), "some")
     dealt = texts.repartition(shuffle_parts(texts.sparkSession), "rid")
-    pieces = _pieces(dealt.join(some, F.col("rid") == F.col("_rid")), prefixes_that_grow(texts, window), window, collapse)
+    pieces = _pieces(dealt.join(some, F.col("rid") == F.col("_rid")), window, collapse)
     return _subtrees(pieces, window), copies, dealt
 
 
@@ -421,8 +415,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
 
     0. Rows whose whole text equals that of an earlier row, byte for byte, are later from start to end.
     1. The suffixes at anchors of all other rows are counted; those whose first words occur once can't lie in a repeat.
-    2. The others are split by prefixes of variable length: a prefix grows word by word, up to PREFIX words, while more than
-       SUBTREE suffixes have it; where even then more do, the whole window is the prefix. With a suffix go the
+    2. The others are split by prefixes of variable length: a prefix grows word by word, then to PREFIX words, while more than
+       SUBTREE suffixes have it, counted exactly; where even then more do, the whole window is the prefix. With a suffix go the
        words that its anchor's windows cover. Of equal pieces a task sends one, so that a passage in a third of all
        rows costs a few rows per task.
     3. Each subtree is built in memory from the words themselves: sorted suffixes with what neighbours share. Below

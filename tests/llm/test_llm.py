@@ -277,24 +277,31 @@ def test_hot_prefixes_are_split(spark, docs, monkeypatch):
     assert got == want
 
 
-def test_prefixes_grow_word_by_word(spark, monkeypatch):
+@pytest.mark.parametrize("bound", [2, 3, 10])
+def test_prefixes_grow_until_subtrees_are_small(spark, monkeypatch, bound):
     rng = random.Random(3)
-    texts = ["one two three " + prose(rng, 40) for _ in range(200)]
-    monkeypatch.setattr(substring_dedup, "SUBTREE", 10)
-    grow = substring_dedup.prefixes_that_grow(spark.createDataFrame(list(enumerate(texts)), "rid long, text string"))
-    assert len(grow) == substring_dedup.PREFIX - 1 and len(grow[0]) > 0
-    sizes, groups = collections.Counter(), collections.defaultdict(set)
+    texts = ["one two three " + prose(rng, 40) for _ in range(300)]
+    monkeypatch.setattr(substring_dedup, "SUBTREE", bound)
+    suffixes = []
     for text in texts:
         words = text.encode().split()
         h = substring_dedup.hashes_of(words)
-        at, _, _, _ = substring_dedup.anchors(h)
-        for a, k, n in zip(at, *substring_dedup.grown_prefixes(h, at, grow), strict=True):
-            sizes[int(n)] += 1
-            groups[int(k)].add(tuple(words[a : a + n]))
-    assert len(sizes) > 1 and max(sizes) <= substring_dedup.PREFIX
-    assert all(len(g) == 1 for g in groups.values())
-    chosen = sorted(p for g in groups.values() for p in g)
-    assert all(chosen[i] != chosen[j][: len(chosen[i])] for i in range(len(chosen)) for j in range(i + 1, min(i + 5, len(chosen))))
+        at, run, _, _ = substring_dedup.anchors(h)
+        suffixes += [(tuple(words[a : a + substring_dedup.PREFIX]), lead, r) for a, lead, r in zip(at, substring_dedup.leads(h, at), run, strict=True)]
+    counts = collections.Counter(int(np.uint64(lead).view(np.int64)) for _, lead, _ in suffixes)
+    lengths = {r["_lead"]: r["words"] for r in substring_dedup.prefix_lengths(spark.createDataFrame(list(counts.items()), "lead long, n long")).collect()}
+    words = np.array([lengths[int(np.uint64(lead).view(np.int64))] for _, lead, _ in suffixes])
+    keys = substring_dedup.prefix_keys(np.array([x for _, x, _ in suffixes], np.uint64), np.array([x for *_, x in suffixes], np.uint64), words)
+    groups = collections.defaultdict(list)
+    for key, n, (w, _, _) in zip(keys.tolist(), words.tolist(), suffixes, strict=True):
+        groups[key, n].append(w[:n])
+    assert len(set(words.tolist())) > 1 and set(words.tolist()) <= {1, 2, 3, 4, substring_dedup.PREFIX}
+    assert max(len(g) for (_, n), g in groups.items() if n <= substring_dedup.LEAD) <= bound  # the bound holds for every subtree
+    assert all(len(set(g)) == 1 for g in groups.values())
+    chosen = {g[0] for g in groups.values()}
+    assert not any(p[:k] in chosen for p in chosen for k in range(1, len(p)))  # no prefix begins another
+    by_prefix = collections.Counter(w[:n] for w, _, _ in suffixes for n in (1, 2, 3, 4))
+    assert all(n == 1 or by_prefix[g[0][: min(n, 5) - 1]] > bound for (_, n), g in groups.items())  # and none is longer than it must be
 
 
 def test_suffix_tree():
