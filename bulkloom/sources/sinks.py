@@ -48,9 +48,13 @@ def write_fasta(contigs: DataFrame, path: str) -> None:
 
 
 def write_fasta_chunks(contigs: DataFrame, chunks: DataFrame, path: str) -> None:
-    """FASTA from contigs(contig_no, name) and chunks(contig_no, offset, chunk), sorted by ranges: a contig may go on in the next file of the folder."""
+    """FASTA from contigs(contig_no, name) and chunks(contig_no, offset, chunk), dealt by ranges of contigs, so that each file holds whole ones.
+
+    Readers leave out what stands before a file's first header, so a contig must not go on in the next file. Its chunks are
+    sorted and written one after another; no row or group holds all of them.
+    """
     heads = contigs.select("contig_no", F.lit(-1).cast("long").alias("offset"), F.concat(F.lit(">"), "name").alias("line"))
-    heads.unionByName(chunks.select("contig_no", "offset", F.col("chunk").alias("line"))).orderBy("contig_no", "offset").select("line").write.text(path)
+    heads.unionByName(chunks.select("contig_no", "offset", F.col("chunk").alias("line"))).repartitionByRange("contig_no").sortWithinPartitions("contig_no", "offset").select("line").write.text(path)
 
 
 def append_stage_log(log: DataFrame, path: str) -> None:

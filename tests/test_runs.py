@@ -283,6 +283,22 @@ def test_fasta_over_files_and_splits(spark, tmp_path, split):
     assert [(r.contig_no, r.name, r.seq, r.of) for r in whole.orderBy("contig_no").collect()] == [(i, n, s, f"{2 * (i // 4)}.fa") for i, (_, n, s) in enumerate(want[:4] + want[8:])]
 
 
+def test_written_fasta_holds_whole_contigs(spark, tmp_path):
+    """Contigs of many chunks, more than a task's share: no file begins with the rest of a contig."""
+    contigs = spark.createDataFrame([(k, f"c{k}") for k in range(7)], "contig_no long, name string")
+    chunks = spark.createDataFrame([(k, 4 * i, f"{'ACGT'[k % 4]}C{'ACGT'[i % 4]}T") for k in range(7) for i in range(31 + k)], "contig_no long, offset long, chunk string").repartition(5)
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_fasta_chunks(contigs, chunks, str(tmp_path / "c"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    files = [f.read_text() for f in sorted((tmp_path / "c").glob("part-*")) if f.stat().st_size]
+    assert len(files) > 1 and all(f.startswith(">") for f in files)
+    got = {r.contig_no: (r.name, r.length) for r in text.read_fasta_chunks(spark, str(tmp_path / "c"))[0].collect()}
+    assert got == {k: (f"c{k}", 4 * (31 + k)) for k in range(7)}
+
+
 def test_order_of_written_files(spark, tmp_path):
     """Reads by name and statistics by place, as they stand in the files."""
     reads = spark.createDataFrame([(f"r{(k * 37) % 500:03d}", 77 if k % 2 else 141, "ACGT", "IIII") for k in range(1000)], "qname string, flag int, seq string, qual string").repartition(5)
