@@ -56,9 +56,13 @@ def long_stored_contigs(spark: SparkSession, path: str, window: int, step: int)
 
 
 def drop_short_contigs(variants: DataFrame, window: int, step: int) -> DataFrame:
-    """Rows of contigs whose last position, over all rows, lies beyond window + step."""
+    """Rows of contigs whose last position, over all rows, lies beyond window + step.
+
+    Rows stay where they are: there is at most one such contig for each window + step bases of a genome, so their names are
+    broadcast, while a shuffle by contig would bring all rows of a chromosome into one task.
+    """
     good = contig_ends(variants).where(F.col("max_pos") > window + step).select("chrom")
-    return variants.join(good, "chrom", "left_semi")
+    return variants.join(F.broadcast(good), "chrom", "left_semi")
 
 
 def filter_design(variants: DataFrame, design: str, window: int, step: int, min_depth: dict[str, int] | None = None) -> DataFrame:

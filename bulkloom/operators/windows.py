@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import micros
 
+#: Keys whose limits are broadcast to the rows, at most.
+MAX_LIMITS = 200_000
+#: Steps of a contig that a task takes together, at least.
+SEGMENT = 4096
+
 
 def _bin(step: int):
     return F.floor(F.col("pos") / step)
@@ -28,8 +33,14 @@ def _sums(columns: list[str]) -> list:
 
 
 def weighted_step_sums(stats: DataFrame, columns: list[str], step: int, keys: list[str], limits: DataFrame, limit_columns: list[str]) -> DataFrame:
-    """The same with columns that depend on the keys alone, from limits(*keys, *limit_columns): rows are counted by step and keys
-    before the join, and each limit is weighted by its count. So the join meets counts, never rows."""
+    """The same with columns that depend on the keys alone, from limits(*keys, *limit_columns).
+
+    Up to MAX_LIMITS limits are broadcast to the rows, which are then summed by step alone: a task holds a group for each step,
+    not one for each step and key. For more, rows are counted by step and keys before the join, and each limit is
+    weighted by its count, so that the join meets counts, never rows.
+    """
+    if limits.limit(MAX_LIMITS + 1).count() <= MAX_LIMITS:
+        return step_sums(stats.join(F.broadcast(limits), keys), [*columns, *limit_columns], step)
     counted = step_sums(stats, columns, step, *keys)
     each = counted.join(limits, keys)
     weighted = [F.coalesce(F.sum(F.col("n") * micros(F.col(c))), F.lit(0)).alias(c) for c in limit_columns]
@@ -53,17 +64,20 @@ def window_means(stats: DataFrame, columns: list[str], window: int = 2_000_000,
 def means_of_steps(bins: DataFrame, columns: list[str], window: int, step: int) -> DataFrame:
     """Window means from sums per step, where the step divides the window.
 
-    Steps without rows are filled in, as windows may start there, and a window's sum is the difference of two running
-    sums, whatever the window holds.
+    A contig is cut into segments of steps; a step also goes to the segment before where windows that start there reach it,
+    so no task needs a whole contig. Within a segment, steps without rows are filled in, as windows may start there, and
+    a window's sum is the difference of two running sums, whatever the window holds.
     """
-    whole = W.partitionBy("chrom", "type")
+    last, size = window // step - 1, max(SEGMENT, window // step)
+    own = F.floor(F.col("k") / size)
+    bins = bins.withColumn("_s", F.explode(F.when((own > 0) & (F.col("k") - own * size < last), F.array(own, own - 1)).otherwise(F.array(own))))
+    whole = W.partitionBy("chrom", "type", "_s")
     by_step, names = whole.orderBy("k"), ["n", *columns]
     # each bin stands for its own step and the empty ones up to the next bin, the first also for those before it
-    filled = bins.withColumns({"_next": F.coalesce(F.lead("k").over(by_step), F.col("k") + 1), "_from": F.when(F.lag("k").over(by_step).isNull(), F.lit(0)).otherwise(F.col("k"))})
+    filled = bins.withColumns({"_next": F.coalesce(F.lead("k").over(by_step), F.col("k") + 1), "_from": F.when(F.lag("k").over(by_step).isNull(), F.col("_s") * size).otherwise(F.col("k"))})
     filled = filled.withColumn("_k", F.explode(F.sequence(F.least("_from", "k"), F.col("_next") - 1)))
-    dense = filled.select("chrom", "type", F.col("_k").alias("k"), *(F.when(F.col("_k") == F.col("k"), F.col(c)).otherwise(F.lit(0)).alias(c) for c in names))
+    dense = filled.select("chrom", "type", "_s", F.col("_k").alias("k"), *(F.when(F.col("_k") == F.col("k"), F.col(c)).otherwise(F.lit(0)).alias(c) for c in names))
     up_to = by_step.rowsBetween(W.unboundedPreceding, 0)
     run = dense.withColumns({f"_{c}": F.sum(c).over(up_to) for c in names})
-    last = window // step - 1
-    sliding = run.select("chrom", "type", "k", *((F.coalesce(F.lead(f"_{c}", last).over(by_step), F.sum(c).over(whole)) - F.col(f"_{c}") + F.col(c)).alias(c) for c in names))
-    return _means(sliding.where("n > 0"), columns, window, step)
+    sliding = run.select("chrom", "type", "k", "_s", *((F.coalesce(F.lead(f"_{c}", last).over(by_step), F.sum(c).over(whole)) - F.col(f"_{c}") + F.col(c)).alias(c) for c in names))
+    return _means(sliding.where((F.col("n") > 0) & (F.col("k") < (F.col("_s") + 1) * size)), columns, window, step)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bulkloom.operators import callsets, filters, null_model, stages, windows
 from bulkloom.plans import calls
+from bulkloom.session import SPLIT, tune
 from bulkloom.sources import sinks, text, variants, vcf_source
 from bulkloom.streaming.stage_status import keep_status, status, upsert_status
 
@@ -71,6 +72,41 @@ def test_counted_windows_equal_windows_of_rows(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 10
 
 
+def test_long_contigs_are_cut_for_windows(spark, monkeypatch):
+    """Windows over segments of a few steps equal those by exploding rows, with gaps longer than a segment; no task holds a whole contig."""
+    monkeypatch.setattr(windows, "SEGMENT", 5)
+    places = [0, 3, 49, 50, 51, 199, 200, 201, 249, 250, 251, 1300, 1301, 2499, 2500, 4950]
+    df = spark.createDataFrame([("c", "SNP", p, round(p % 11 / 11, 6)) for p in places] + [("d", "SNP", 777, 0.5)], "chrom string, type string, pos long, v double")
+    for window in (50, 100, 200, 250, 300):
+        got = windows.window_means(df, ["v"], window, 50)
+        each = df.withColumn("k", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("pos") - window) / 50) + 1), F.floor(F.col("pos") / 50))))
+        want = windows._means(each.groupBy("chrom", "type", "k").agg(F.count("*").alias("n"), *windows._sums(["v"])), ["v"], window, 50)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 10
+    assert windows.window_means(df, ["v"], 200, 50)._jdf.queryExecution().optimizedPlan().toString().count("_s#") > 0
+
+
+def test_rows_of_a_contig_are_not_brought_together(spark):
+    """The short-contig rule moves names alone, however large a shuffle Spark would choose, and its join is a broadcast."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("long", 10 * k) for k in range(50)] + [("short", 7)], "chrom string, pos long")
+        kept = filters.drop_short_contigs(df, 100, 50)
+        assert "SortMergeJoin" not in plan_of(kept) and {r.chrom for r in kept.collect()} == {"long"} and kept.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_splits_are_small(spark):
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for given, want in (("128MB", SPLIT), ("1MB", 1 << 20)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+            assert tune(spark)._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 # -- runs
 
 
