@@ -8,12 +8,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from bulkloom import queries
 from bulkloom.operators import callsets, filters, null_model, stages, windows
 from bulkloom.plans import calls
 from bulkloom.session import SPLIT, tune
 from bulkloom.sources import sinks, text, variants, vcf_source
 from bulkloom.streaming.stage_status import keep_status, status, upsert_status
 
+from .conftest import SF
+
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -97,6 +100,19 @@ def test_rows_of_a_contig_are_not_brought_together(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
+def test_calls_move_once_by_site(spark):
+    """Rows are dealt over the cores, then by site, before there is a call for each sample; grouping by site and sample, and by site, moves nothing more."""
+    assert plan_of(queries.cohort_combine(spark, SF)).count("Exchange hashpartitioning(") == 2
+
+
+def test_buckets_follow_the_table(spark, monkeypatch):
+    """A stored cohort has as many buckets as its sites ask for, so a task's bucket stays as large as it is."""
+    monkeypatch.setattr(queries, "SITES_OF_BUCKET", 400)
+    seen, own = [], callsets.store_cohort
+    monkeypatch.setattr(callsets, "store_cohort", lambda rows, name, at, buckets: seen.append(buckets) or own(rows, name, at, buckets))
+    assert queries.cohort_grown(spark, SF).count() > 0 and seen == [-(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 400)]
+
+
 def test_splits_are_small(spark):
     was = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
