@@ -32,3 +32,25 @@ def test_rejection_score_follows_the_languages(spark, tmp_path, monkeypatch):
     mixed.p["out"][:] = 0
     assert abs(langid.identify(docs, mixed).first()["score"] - 0.5) < 1e-6 < score - 0.5
     assert langid.rejection_score(docs.where(~langid.held_out(F.col("doc_id"))), model) < 0.5
+
+
+def test_rejection_score_counts_every_held_out_document(spark):
+    """The least scores count wherever they stand: one among 5,000, of a document that a sample of a few hundred would leave out."""
+    scores = spark.range(5000).select((F.lit(0.9) + F.col("id") / 100_000).alias("score"))
+    for part in (scores, scores.limit(1), scores.limit(2), scores.limit(1001), scores.limit(1500)):
+        assert abs(langid.low_end(part) - part.agg(F.percentile("score", langid.LOW_SHARE)).first()[0]) < 1e-12
+    assert langid.low_end(scores.limit(0)) is None
+    model = langid.ByteGru(["aa", "xx"])
+    ids = [k for k, held in spark.range(3000).select("id", langid.held_out(F.col("id"))).collect() if held]
+    for odd in (ids[0], ids[-1], ids[len(ids) // 2]):
+        scored = spark.createDataFrame([(k, "aa", True, "aa", 0.6 if k == odd else 0.9) for k in ids], "doc_id long, lang string, held_out boolean, lang_pred string, score double")
+        assert 0.5 < langid._threshold(scored, model) < 0.7
+
+
+def test_judged_documents_are_all_of_the_held_out(spark, tmp_path, monkeypatch):
+    """Many more labelled documents than a sample of 200 of a language: every held-out one is scored for the rejection score."""
+    spark.createDataFrame([(k, "abba baab", "aa", "a", 1) for k in range(3000)], COLUMNS).write.parquet(str(tmp_path / "d"))
+    docs, seen = spark.read.parquet(str(tmp_path / "d")), []
+    monkeypatch.setattr(langid, "identify", lambda rows, model, keep_text=True, own=langid.identify: seen.append(rows.count()) or own(rows, model, keep_text))
+    langid.rejection_score(docs, langid.ByteGru(["aa"]))
+    assert seen == [docs.where(langid.held_out(F.col("doc_id"))).count()]
