@@ -11,7 +11,7 @@ from ..operators.filters import filter_design
 from ..operators.null_model import ONE_BULK_LIMITS, TWO_BULK_LIMITS, null_frequency
 from ..operators.qtl import ONE_BULK_SERIES, TWO_BULK_SERIES, call_qtl, series
 from ..operators.windows import means_of_steps, weighted_step_sums, window_means
-from ..session import materialise, tune
+from ..session import in_order, materialise, small_splits, tune
 from ..sources.sinks import qtl_table, statistics_table, write_series, write_tsv
 from ..sources.variants import assign_roles
 
@@ -71,7 +71,8 @@ def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_b
     """Analyse a wide variant table and write statistics, windows, series and QTL below `out`; returns the design.
 
     Statistics and windows are written once and read back, so that the later tables don't recompute them; both are
-    in order of contig and position.
+    in order of contig and position. Writing by contig and the total order both sort whole rows: the tasks that do so read
+    small splits and get ranges of a bounded number of rows, so what a task holds does not grow with the table.
     """
     design = choose_design(high_parent, low_parent, high_bulk, low_bulk)
     roles = {"high_parent": high_parent, "low_parent": low_parent, "high_bulk": high_bulk, "low_bulk": low_bulk}
@@ -80,10 +81,11 @@ def run_bsa(wide: DataFrame, out: str, high_parent=None, low_parent=None, high_b
     roles = {k: v for k, v in roles.items() if v}
     spark, kinds = tune(wide.sparkSession), ONE_BULK_SERIES if design == "one_bulk" else TWO_BULK_SERIES
     result = analyse(assign_roles(wide, **roles), design, **options)
-    result.stats.write.mode("overwrite").partitionBy("chrom").parquet(f"{out}/stats")
-    stats = spark.read.schema(result.stats.schema).parquet(f"{out}/stats")
-    write_tsv(statistics_table(stats.orderBy("chrom", "pos"), **roles), f"{out}/statistics.tsv")
-    result.windows.orderBy("chrom", "type", "centre").write.mode("overwrite").parquet(f"{out}/windows")
+    with small_splits(spark):
+        result.stats.write.mode("overwrite").partitionBy("chrom").parquet(f"{out}/stats")
+        stats = spark.read.schema(result.stats.schema).parquet(f"{out}/stats")
+        write_tsv(statistics_table(in_order(stats, "chrom", "pos"), **roles), f"{out}/statistics.tsv")
+    in_order(result.windows, "chrom", "type", "centre").write.mode("overwrite").parquet(f"{out}/windows")
     points = series(spark.read.parquet(f"{out}/windows"), kinds)
     write_series(points, f"{out}/series")
     for kind in ("SNP", "INDEL"):
