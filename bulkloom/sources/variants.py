@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.genotype import MISSING, lenient_depths, lenient_int, unphased, variant_type
+from ..functions.genotype import MISSING, lenient_depths, lenient_int, unphased, variant_type, whole
 from ..session import with_code
 from .vcf_source import VcfSource
 
@@ -89,6 +89,27 @@ def _field(cell: Column, key: str) -> Column:
     return _letters(got) if key == "GT" else F.coalesce(got, F.lit(""))
 
 
+def _vcf_site() -> list[Column]:
+    number = lambda c, kind: F.col(c).try_cast(kind).alias(c.lower())
+    return [F.col("CHROM").alias("chrom"), number("POS", "long"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), number("QUAL", "double"), variant_type(F.col("REF"), F.col("ALT")).alias("type")]
+
+
+def _with_calls(rows: DataFrame, cells: dict[str, Column]) -> DataFrame:
+    """rows with gt, ad, dp and gq of each prefix's cell, nulls where there is none.
+
+    Cells are split and keys are looked up in a projection of their own, as within conditions each use would do it again.
+    """
+    keys = ("GT", "AD", "DP", "GQ")
+    rows = rows.withColumns({f"_cell_{p}": F.split(c, ":") for p, c in cells.items()} | {f"_at_{k}": F.array_position("_keys", k).cast("int") - 1 for k in keys})
+    at = lambda p, k: F.get(f"_cell_{p}", f"_at_{k}")
+    rows, out = rows.withColumns({f"_gt_{p}": _letters(at(p, "GT")) for p in cells}), {}
+    for p in cells:
+        gt = F.when(F.contains(f"_gt_{p}", F.lit("|")), unphased(F.col(f"_gt_{p}"))).otherwise(F.col(f"_gt_{p}"))
+        call = {"gt": gt, "ad": lenient_depths(F.coalesce(at(p, "AD"), F.lit(""))), "dp": lenient_int(at(p, "DP")), "gq": lenient_int(at(p, "GQ"))}
+        out |= {f"{p}{k}": F.when(F.col(f"_cell_{p}").isNotNull(), c) for k, c in call.items()}
+    return rows.withColumns(out)
+
+
 def read_vcf(spark: SparkSession, path, info: tuple[str, ...] = (), fields: tuple[str, ...] = ("GT", "AD", "DP", "GQ"), file_column: str | None = None) -> DataFrame:
     """VCF text, plain or gzip, flattened to a wide table, with chosen INFO keys as columns.
 
@@ -113,10 +134,9 @@ def read_vcf_long(spark: SparkSession, path, missing: bool = True) -> DataFrame:
     rows, names = vcf_rows(spark, path)
     rows = _vcf_columns(rows, path).withColumn("row_no", F.monotonically_increasing_id())
     each = rows.select("*", F.posexplode("cells").alias("_i", "_cell")).where(F.col("_cell").isNotNull())
-    site = [F.col("CHROM").alias("chrom"), F.col("POS").try_cast("long").alias("pos"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("QUAL").try_cast("double").alias("qual"), variant_type(F.col("REF"), F.col("ALT")).alias("type")]
-    call = [unphased(_field(F.col("_cell"), "GT")).alias("gt"), lenient_depths(_field(F.col("_cell"), "AD")).alias("ad"), *(lenient_int(_field(F.col("_cell"), k)).alias(k.lower()) for k in ("DP", "GQ"))]
     named = spark.createDataFrame(list(enumerate(names)), "_n int, sample string")
-    out = each.join(F.broadcast(named) if len(names) <= 100_000 else named, F.col("_i") == F.col("_n")).select("row_no", *site, "sample", *call)
+    each = each.join(F.broadcast(named) if len(names) <= 100_000 else named, F.col("_i") == F.col("_n"))
+    out = _with_calls(each, {"": F.col("_cell")}).select("row_no", *_vcf_site(), "sample", "gt", "ad", "dp", "gq")
     return out if missing else out.where(F.col("gt") != MISSING)
 
 
@@ -137,10 +157,29 @@ def assign_roles_long(calls: DataFrame, roles: DataFrame) -> DataFrame:
     return wide.select(*site, *(F.col(f"{p}.{f}").alias(f"{p}_{f}") for p in prefixes for f in fields))
 
 
+def read_vcf_roles(spark: SparkSession, path, roles: DataFrame) -> DataFrame:
+    """What assign_roles_long gives for the long calls of VCF text, straight from its lines.
+
+    However many samples there are, a line's cells stay one array, from which the cell of each role's sample is taken by its
+    place: only cells of roles are parsed, no call becomes a row of its own and no row moves. Lines of files that have no
+    sample with a role are left out.
+    """
+    found = resolve_roles(roles.select(F.lower("role").alias("role"), "sample"))
+    rows, names = vcf_rows(spark, path)
+    mine = {f"{p}_": F.get("cells", names.index(found[r])) if found[r] in names else F.lit(None).cast("string") for r, p in ROLES.items() if r in found}
+    calls = _with_calls(_vcf_columns(rows.where(F.coalesce(*mine.values()).isNotNull()), path), mine)
+    return calls.select(*_vcf_site(), *(f"{p}{k}" for p in mine for k in ("gt", "ad", "dp", "gq")))
+
+
 def _letters(gt: Column) -> Column:
-    sep = F.when(F.contains(gt, F.lit("|")), F.lit("|")).otherwise(F.lit("/"))
-    parts = F.transform(F.split(gt, r"[/|]"), lambda x: F.coalesce(F.get(F.col("_alleles"), x.try_cast("int")), F.lit(".")))
-    return F.coalesce(F.when(sep == "|", F.array_join(parts, "|")).otherwise(F.array_join(parts, "/")), F.lit("./."))
+    """Allele letters of a genotype's numbers. The common form of two digits or dots does without a function over elements."""
+    letter = lambda n: F.coalesce(F.get(F.col("_alleles"), n), F.lit("."))
+    parts = F.transform(F.split(gt, r"[/|]"), lambda x: letter(whole(x)))
+    a, between, b = (F.substring(gt, i, 1) for i in (1, 2, 3))
+    digit = lambda x: F.when(x.between("0", "9"), x.try_cast("int"))
+    pair = (F.length(gt) == 3) & between.isin("/", "|") & ~a.isin("/", "|") & ~b.isin("/", "|")
+    several = F.when(F.contains(gt, F.lit("|")), F.array_join(parts, "|")).otherwise(F.array_join(parts, "/"))
+    return F.coalesce(F.when(pair, F.concat(letter(digit(a)), between, letter(digit(b)))).otherwise(several), F.lit("./."))
 
 
 def read_calls(spark: SparkSession, path, file_column: str | None = None) -> DataFrame:

@@ -59,3 +59,17 @@ def test_variant_type(spark):
     rows = [("A", "C"), ("AC", "GT"), ("A", "AT"), ("AC", "A,GT"), ("A", "C,G")]
     got = spark.createDataFrame(rows, "r string, a string").select(genotype.variant_type(F.col("r"), F.col("a")).alias("t")).collect()
     assert [r.t for r in got] == ["SNP", "MNP", "INDEL", "MIXED", "SNP"]
+
+
+def test_numbers_are_read_as_by_casts(spark):
+    """Texts without a digit are not cast; all else is what the casts give."""
+    texts = [None, "", ".", "./.", "7", " 7 ", "+7", "-7", "x7", "7x", "1.5", "99999999999", "3,4", ".,.", "3,.", ",", "٣", "é", "-", ":", "0"]
+    t, parts = F.col("t"), F.split("t", ",")
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", genotype.lenient_int(t).alias("n"), F.coalesce(t.try_cast("int"), F.lit(0)).alias("n2"), genotype.lenient_depths(t).alias("a"), parts.try_cast("array<int>").alias("a2"))
+    assert all((r.n, r.a) == (r.n2, r.a2) for r in rows.collect()) and rows.schema["a"].dataType == rows.schema["a2"].dataType
+
+
+def test_types_of_one_alt_and_of_several(spark):
+    cases = [("A", "C", "SNP"), ("AC", "GT", "MNP"), ("A", "AC", "INDEL"), ("A", "C,G", "SNP"), ("AC", "GT,TT", "MNP"), ("A", "AC,ACC", "INDEL"), ("A", "C,AC", "MIXED"), ("A", "", "INDEL"), ("A", "C,", "MIXED"), (None, "A", "MIXED"), ("A", None, "MIXED")]
+    rows = spark.createDataFrame([c[:2] for c in cases], "r string, a string").select(genotype.variant_type(F.col("r"), F.col("a")).alias("t")).collect()
+    assert [r.t for r in rows] == [c[2] for c in cases]

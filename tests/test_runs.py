@@ -283,6 +283,25 @@ def test_roles_of_many_samples(spark, tmp_path):
         variants.assign_roles_long(long_, spark.createDataFrame([("middle", "s7")], "role string, sample string"))
 
 
+def test_roles_of_vcf_lines(spark, tmp_path):
+    """The same as from long calls, for files of different samples, odd cells and roles without a sample; no row moves."""
+    odd = ["0/1:3,4:7:9", "1|2:.:.:.", "./.", ".", "", "0", "0/1/2:1,x,3:+5: 6", "10|0:1,2:99999999999:1.5", "//1", "2/|:,:-3:x", "|:0,1", "é/1:7:7:7"]
+    row = lambda p, *cells: ("c", p, ".", "A", "C,GT", "." if p % 2 else 9, ".", "", "GT:AD:DP:GQ" if p % 3 else "AD:DP", *cells)
+    (tmp_path / "a.vcf").write_text(vcf(["s1", "s2"], [row(p, cell, odd[-p]) for p, cell in enumerate(odd)]))
+    (tmp_path / "b.vcf").write_text(vcf(["s2", "s3"], [row(p, cell, cell) for p, cell in enumerate(odd, 100)]))
+    (tmp_path / "c.vcf").write_text(vcf(["s4"], [row(1, "0/0")]))
+    for pairs in ([("HIGH_BULK", "s1"), ("low_bulk", "s3"), ("high_parent", "nobody")], [("bulk", "s2"), ("low_parent", "s2")], [("bulk", "nobody")]):
+        roles = spark.createDataFrame(pairs, "role string, sample string")
+        got, want = variants.read_vcf_roles(spark, str(tmp_path), roles), variants.assign_roles_long(variants.read_vcf_long(spark, str(tmp_path)), roles)
+        assert "Exchange" not in got._jdf.queryExecution().toString()
+        assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.count() == {"HIGH_BULK": 2, "bulk": 2}[pairs[0][0]] * len(odd) * (pairs[0][1] != "nobody")
+    called = {r.pos: r for r in variants.read_vcf_roles(spark, str(tmp_path / "a.vcf"), spark.createDataFrame([("bulk", "s1")], "role string, sample string")).collect()}
+    assert [called[p].b_gt for p in range(12)] == ["./.", "C/GT", "./.", "./.", ".", "A", "./.", "./A", "././C", "./.", "./.", "./C"]
+    assert [called[p].b_ad for p in (1, 4, 7, 10)] == [[None], [None], [1, 2], [0, 1]] and (called[7].b_dp, called[7].b_gq) == (0, 0)
+    assert "Exchange" not in queries.roles_long(spark, SF)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+
+
 # -- other files
 
 
