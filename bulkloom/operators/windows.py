@@ -32,6 +32,11 @@ def _sums(columns: list[str]) -> list:
     return [F.coalesce(F.sum(micros(F.col(c))), F.lit(0)).alias(c) for c in columns]
 
 
+def are_few(limits: DataFrame) -> bool:
+    """Whether limits can be broadcast to the rows."""
+    return limits.limit(MAX_LIMITS + 1).count() <= MAX_LIMITS
+
+
 def weighted_step_sums(stats: DataFrame, columns: list[str], step: int, keys: list[str], limits: DataFrame, limit_columns: list[str]) -> DataFrame:
     """The same with columns that depend on the keys alone, from limits(*keys, *limit_columns).
 
@@ -39,7 +44,7 @@ def weighted_step_sums(stats: DataFrame, columns: list[str], step: int, keys: li
     not one for each step and key. For more, rows are counted by step and keys before the join, and each limit is
     weighted by its count, so that the join meets counts, never rows.
     """
-    if limits.limit(MAX_LIMITS + 1).count() <= MAX_LIMITS:
+    if are_few(limits):
         return step_sums(stats.join(F.broadcast(limits), keys), [*columns, *limit_columns], step)
     counted = step_sums(stats, columns, step, *keys)
     each = counted.join(limits, keys)

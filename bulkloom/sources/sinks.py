@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a packed text file, at most.
+PACKED_ROWS = 500_000
+
 
 def _six(name: str) -> Column:
     return F.format_string("%.6f", F.col(name))
@@ -34,8 +37,10 @@ def qtl_table(qtl: DataFrame) -> DataFrame:
     return qtl.orderBy("chrom", "test_order").select(F.col("chrom").alias("CHROM"), F.col("qtl_start").alias("QTLstart"), F.col("qtl_end").alias("QTLend"), F.col("peak").alias("PEAK"), F.col("statistic").alias("STATISTIC"), F.col("threshold").alias("THRESHOLD"))
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, sep="\t", header=True)
+def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Text with a header in each file, packed if a codec is given. Readers can't cut a packed file, so such ones hold PACKED_ROWS at most."""
+    writer = df.write.option("maxRecordsPerFile", PACKED_ROWS) if compression else df.write
+    writer.csv(path, sep="\t", header=True, compression=compression)
 
 
 def write_series(series: DataFrame, path: str) -> None:
